@@ -318,3 +318,75 @@ def sheet_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         by_style(lambda s: _literal_array(effective_keys([header_key_text(h) for h in headers(s)]))).alias("keys"),
         by_style(cells).alias("cells"),
     )
+
+
+# Products and variants with every kind of damage, and products without variants.
+DQ_PRODUCTS = f"""
+select run_id, cat as product_ord, 'P' || cast(cat as string) as product_id,
+  case when cat % 31 = 4 then ' ' else 'Name ' || cast(cat as string) end as product_name,
+  case when cat % 37 = 5 then '' else 'Cat ' || cast(cat as string) end as catalog_name,
+  case when cat % 29 = 6 then '  ' else 'Sup ' || cast(cat % 9 as string) end as supplier_name,
+  case when cat % 5 = 1 then null when cat % 7 = 2 then -50.0 else 400.0 + cat end as supplier_price,
+  case cat % 6 when 0 then 5.0 when 1 then 120.0 when 2 then -1.0 when 3 then 100.0 when 4 then 0.0 else null end as gst_percent,
+  case cat % 5 when 0 then 'sarees' when 1 then 'Kurti Set' when 2 then 'UPPER' when 3 then ' ok-slug_2 ' else null end as category_slug,
+  cast(case cat % 4 when 0 then 0 when 1 then 1 when 2 then null else -3 end as int) as moq
+from (select {run_columns('p_partkey')} from {{part}}) p
+group by run_id, cat
+union all
+select 'run-' || lpad(cast(s_nationkey as string), 6, '0') as run_id, 900000000 + s_suppkey as product_ord,
+  'S' || cast(s_suppkey as string) as product_id, s_name as product_name, s_name as catalog_name,
+  s_name as supplier_name, 1.0 as supplier_price, 5.0 as gst_percent, 'sarees' as category_slug, 1 as moq
+from {{supplier}}
+"""
+DQ_VARIANTS = f"""
+select run_id, cat as product_ord, 'P' || cast(cat as string) as product_id, cast(k % 4 + 1 as int) as variant_ord,
+  case when k % 23 = 1 then ' ' when k % 19 = 2 then 'v' || cast(k - 1 as string) else 'V' || cast(k as string) end as variant_code,
+  case when k % 17 = 3 then '' when k % 10 = 7 then null when cat % 2 = 0 then 'AM-' || cast(cat % 50 as string)
+       else 'SKU' || cast(k as string) end as supplier_sku,
+  case when k % 27 = 5 then '  ' else 'Variant ' || cast(k as string) end as variant_name,
+  cast(case k % 7 when 0 then 0 when 1 then -1 when 2 then null else k % 40 end as int) as stock_quantity,
+  case k % 9 when 0 then -5.0 when 1 then null else 100.0 + k end as supplier_cost,
+  case k % 6 when 0 then 2999.0 when 1 then -10.0 when 2 then 1499.5 else null end as selling_price,
+  k % 5 = 0 as publish,
+  case k % 4 when 0 then 'https://a/u' || cast(k as string) when 1 then '' when 2 then null else 'https://a/g' || cast(k as string) end as primary_image_url,
+  case when k % 3 = 0 then 'https://a/u' || cast(k as string) when k % 3 = 1 then 'https://a/g' || cast(k as string) end as g1,
+  case when k % 2 = 0 then 'https://a/g' || cast(k as string) end as g2,
+  case when k % 4 = 0 then 'https://a/g' || cast(k as string) end as g3
+from (select p_partkey as k, {run_columns('p_partkey')} from {{part}}) p
+"""
+# Runs that were started, some of which gave no product.
+RUNS = f"""
+select run_id, count(*) as source_rows from (
+  select {run_columns('p_partkey')} from {{part}}
+  union all select 0 as cat, 'run-' || lpad(cast(s_nationkey as string), 6, '0') as run_id, 0 as style from {{supplier}}
+  union all select 0 as cat, 'run-none-' || cast(s_nationkey as string) as run_id, 0 as style from {{supplier}}) r
+group by run_id
+"""
+
+# The older 21-column table.
+LEGACY = f"""
+select run_id, cast(k + 2 as int) as row_number,
+  case when k % 13 = 2 then ' ' else 'Sup ' || cast(cat % 9 as string) end as supplier_name,
+  'Cat ' || cast(cat as string) as catalog_name,
+  case when k % 3 = 0 then '' else 'Item ' || cast(k as string) end as product_name,
+  case when k % 17 = 3 then null when k % 17 = 4 then 'NaN' when k % 5 = 1 then 'am-' || cast(k - 1 as string)
+       else 'AM-' || cast(k as string) end as supplier_sku,
+  case when k % 11 = 0 then null else 'Saree' end as product_type,
+  case when k % 7 = 0 then null else 'B' end as brand_name,
+  case when k % 6 = 0 then '' else 'Silk' end as fabric, case when k % 9 = 0 then null else 'Zari' end as work,
+  case k % 8 when 0 then 'free' when 1 then '0' when 2 then '-4' when 3 then null else cast(k as string) end as supplier_price,
+  case k % 6 when 0 then '101' when 1 then 'five' when 2 then '-1' when 3 then ' ' else '5' end as gst_percent,
+  case when k % 2 = 0 then 'text' else ' ' end as description, case when k % 5 = 0 then '99' end as selling_proce,
+  case when k % 4 = 0 then 'D' || cast(k as string) else '' end as image_sku, cast(null as string) as image_url,
+  case k % 7 when 0 then 'True' when 1 then ' no ' when 2 then '0' when 3 then '' when 4 then 'yes' else 'false' end as publish
+from (select p_partkey as k, {run_columns('p_partkey')} from {{part}}) p
+"""
+
+
+def dq_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bind(spark, sf_dir, DQ_PRODUCTS)
+
+
+def dq_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    gallery = F.array_compact(F.array("g1", "g2", "g3"))
+    return bind(spark, sf_dir, DQ_VARIANTS).withColumn("gallery_image_urls", gallery).drop("g1", "g2", "g3")
