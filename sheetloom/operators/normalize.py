@@ -67,7 +67,7 @@ def layouts(rows: DataFrame, chosen: DataFrame | None = None) -> DataFrame:
 
     Aliases are resolved here once per sheet; rows then only pick columns.
     """
-    per_run = detect_profiles(rows, chosen)
+    per_run = detect_profiles(rows, chosen).where(F.col("profile").isNotNull())
     wanted = F.when(is_wholesale(), _alias_lists(fv.WHOLESALE_ALIASES)).otherwise(_alias_lists(fv.GENERIC_ALIASES))
     counts = F.array(*[F.lit(k) for k in _keys(fv.DECLARED_COUNT_ALIASES)])
     return per_run.select(
@@ -139,7 +139,8 @@ def profile_of_spelling(spelling: Column) -> Column:
 def detect_profiles(rows: DataFrame, chosen: DataFrame | None = None) -> DataFrame:
     """One profile per run: signature headers, or the first row's supplier name.
 
-    ``chosen(run_id, spelling)`` overrides the detection for its runs.
+    ``chosen(run_id, spelling)`` overrides the detection for its runs; an
+    unknown spelling leaves the profile null, and such a run is not processed.
     """
     signature = F.array(*[F.lit(k) for k in fv.WHOLESALE_SIGNATURE])
     def cell(key: str) -> Column:
@@ -157,9 +158,11 @@ def detect_profiles(rows: DataFrame, chosen: DataFrame | None = None) -> DataFra
                       F.lit(fv.WHOLESALE)).otherwise(F.lit(fv.GENERIC))
     if chosen is None:
         return per_run.withColumn("profile", detected)
-    choice = chosen.select("run_id", profile_of_spelling(F.col("spelling")).alias("choice"))
+    choice = chosen.select("run_id", F.lit(True).alias("is_chosen"),
+                           profile_of_spelling(F.col("spelling")).alias("choice"))
     return (per_run.join(choice, "run_id", "left")
-            .withColumn("profile", F.coalesce("choice", detected)).drop("choice"))
+            .withColumn("profile", F.when(F.col("is_chosen"), F.col("choice")).otherwise(detected))
+            .drop("choice", "is_chosen"))
 
 
 def group_key() -> Column:
