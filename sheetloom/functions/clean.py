@@ -145,7 +145,8 @@ def natural_key(c: C) -> Column:
     """Text whose plain order is the natural order of ``c``.
 
     Digit runs are written as ``length of digits`` + digits without leading
-    zeros, so 2 sorts before 10 for numbers of any length up to 999 digits.
+    zeros, so 2 sorts before 10 for numbers of any length up to 999 digits.  A
+    text that starts with a digit sorts before any other.
     """
     chunks = F.regexp_extract_all(F.lower(col(c)), F.lit(r"(\d+|\D+)"), F.lit(1))
 
@@ -154,4 +155,5 @@ def natural_key(c: C) -> Column:
         number = F.concat(F.lpad(F.length(bare).cast("string"), 3, "0"), bare)
         return F.when(chunk.rlike("^[0-9]"), number).otherwise(chunk)
 
-    return F.array_join(F.transform(chunks, one), "\u0001")
+    joined = F.array_join(F.transform(chunks, one), "\u0001")
+    return F.when(col(c).rlike("^[0-9]"), F.concat(F.lit("\u0001"), joined)).otherwise(joined)

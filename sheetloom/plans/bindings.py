@@ -127,7 +127,8 @@ _IMAGE_DIR = f"coalesce({catalogue_text('cat', 'k')}, 'loose')"
 
 # One image per order: exact codes, suffixes, folders, shared SKUs, junk.
 IMAGES = f"""
-select o as image_ord, k, run_id, cat, kind,
+select run_id, source_identity, relative_path, min(image_ord) as image_ord, min(file_size_bytes) as file_size_bytes
+from (select o as image_ord, run_id,
   'archive/' || run_id || '.zip' as source_identity,
   case kind
     when 0 then 'all/D' || cast(k as string) || '.jpg'
@@ -143,7 +144,8 @@ select o as image_ord, k, run_id, cat, kind,
     else 'notes/readme' || cast(o as string) || '.txt' end as relative_path,
   cast(1000 + o % 977 as bigint) as file_size_bytes
 from (select o_orderkey as o, o_custkey as k, {run_columns('o_custkey')}, o_orderkey % 11 as kind
-      from {{orders}}) i
+      from {{orders}}) i) f
+group by run_id, source_identity, relative_path
 """
 
 # One text slip per order; the file name ties it to the image of the order.
@@ -180,6 +182,21 @@ from (select o_orderkey as o, o_custkey as k, {run_columns('o_custkey')},
       from {{orders}}) s
 """
 
+# What was read from the slips, for matching.
+SLIP_FACTS = f"""
+select run_id, doc_id, filename, 1 as fact_ord, 'sku' as field, ' SKU' || cast(k as string) as value from (SLIP_BASE) a
+union all
+select run_id, doc_id, filename, 2 as fact_ord, 'design_number' as field, 'd' || cast(k + o % 2 as string) as value from (SLIP_BASE) b
+union all
+select run_id, doc_id, filename, 3 as fact_ord, 'color' as field, 'Shade ' || {_pick('k', _SHADES)} as value from (SLIP_BASE) c
+""".replace("SLIP_BASE", f"""
+select o as doc_id, k, o, run_id,
+  case when o % 11 = 7 then 'IMG ' || cast(o as string) || 'q.jpg'
+       when o % 11 = 3 then coalesce({_pick('k', _SHADES)}, 'plain') || ' ' || cast(o as string) || 'x.jpg'
+       when o % 11 = 5 then 'N-00' || cast(o % 6 + 1 as string) || '.webp'
+       else 'slip' || cast(o as string) || '.jpg' end as filename
+from (select o_orderkey as o, o_custkey as k, {run_columns('o_custkey')} from {{orders}}) s""")
+
 # Two review events per image, in event order.
 DECISIONS = """
 select event_id as decision_ord, cast(floor(event_id / 2) as bigint) as image_ord,

@@ -15,9 +15,11 @@ from sheetloom.plans import oracle_base as o
 from sheetloom.plans.oracle_base import cte, sql
 from sheetloom.plans.registry import query
 
-CHOSEN = f"""
-select run_id, case source_rows % 4 when 0 then 'amra-wholesale' when 1 then ' Default ' when 2 then 'amr' else 'nobody' end as spelling
-from ({b.RUNS}) r where source_rows % 3 <> 0
+# Runs whose profile was named when they were started.
+CHOSEN = """
+select 'run-' || lpad(cast(s_nationkey as string), 6, '0') as run_id,
+  case min(s_suppkey) % 4 when 0 then 'amra-wholesale' when 1 then ' Default ' when 2 then 'amr' else 'nobody' end as spelling
+from {supplier} group by s_nationkey
 """
 
 
