@@ -407,3 +407,50 @@ def dq_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dq_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     gallery = F.array_compact(F.array("g1", "g2", "g3"))
     return bind(spark, sf_dir, DQ_VARIANTS).withColumn("gallery_image_urls", gallery).drop("g1", "g2", "g3")
+
+
+# Review manifest: about ten images per variant code, some stale, some unknown.
+MANIFEST = f"""
+select run_id, o as manifest_ord, 'img_' || cast(o as string) as image_id, filename as original_filename,
+  'all/' || filename as image_path, 'Cat ' || cast(cat as string) as catalog_name, 'D' || cast(k as string) as matched_code,
+  case when o % 9 = 4 then null when o % 23 = 5 then 'GHOST' || cast(k as string) else 'D' || cast(k as string) end as proposed_variant_code,
+  case o % 5 when 0 then 'AMBIGUOUS' when 1 then 'UNMATCHED' else 'MATCHED' end as match_status,
+  case when k % 3 = 0 then 'PENDING' when k % 3 = 1 then case when o % 6 = 0 then 'APPROVED' when o % 6 = 1 then 'REJECTED' else 'PENDING' end
+       when o % 7 < 2 then 'APPROVED' else 'REJECTED' end as approval_status,
+  case when o % 4 = 1 then 'OTHER' when o % 9 = 4 then 'UNASSIGNED' when o % 23 = 5 then 'GHOST' || cast(k as string)
+       else 'D' || cast(k as string) end as hash_code,
+  'user' || cast(o % 5 as string) as approved_by, '2024-01-0' || cast(o % 9 + 1 as string) as approved_at,
+  case o % 6 when 0 then 'IS' || cast(k as string) when 1 then ' ' end as image_sku,
+  case when o % 5 = 2 then {_pick('k', _SHADES)} end as detected_color,
+  case when o % 8 = 3 then 0.7 end as evidence_confidence,
+  case when o % 3 = 1 then 'UNCERTAIN' end as evidence_status,
+  case when o % 4 = 0 then 'manual' end as ocr_provider, case when o % 4 = 0 then 'SKU' || cast(k + o % 2 as string) end as ocr_sku,
+  case when o % 8 = 0 then 'Teal' end as ocr_color
+from (select o_orderkey as o, o_custkey as k, {run_columns('o_custkey')},
+  case when o_orderkey % 11 = 7 then 'IMG ' || cast(o_orderkey as string) || 'q.jpg'
+       when o_orderkey % 11 = 0 then 'D' || cast(o_custkey as string) || '.jpg'
+       else 'slip' || cast(o_orderkey as string) || '.jpg' end as filename from {{orders}}) m
+"""
+# Colour result per image.
+COLOURS = f"""
+select run_id, 'img_' || cast(o as string) as image_id,
+  case o % 4 when 0 then 'EXTRACTED' when 1 then 'UNCERTAIN' when 2 then 'EXTRACTED' else 'BACKGROUND_ONLY' end as status,
+  case when o % 2 = 0 then coalesce({_pick('k', _SHADES)}, 'Grey') end as canonical_color,
+  cast(o % 50 + 50 as double) / 100 as confidence, case when o % 2 = 0 then '#0a0b0c' end as hex_code,
+  o % 4 in (1, 3) as is_ambiguous, case when o % 4 = 1 then 'Multi-tonal image' end as notes
+from (select o_orderkey as o, o_custkey as k, {run_columns('o_custkey')} from {{orders}} where o_orderpriority <> '5-LOW') c
+"""
+# Validation findings that name a variant code or only a SKU.
+ISSUES = f"""
+select run_id, case k % 4 when 0 then 'ERROR' when 1 then 'WARNING' when 2 then 'INFO' else 'ERROR' end as severity,
+  'C' || cast(k % 7 as string) as code, 'text ' || cast(k as string) as message,
+  case when k % 5 = 2 then null else 'D' || cast(k as string) end as variant_code, 'SKU' || cast(k as string) as supplier_sku
+from (select p_partkey as k, {run_columns('p_partkey')} from {{part}}) i
+"""
+# Outcome of uploads per variant and image place.
+UPLOADS = f"""
+select run_id, 'D' || cast(k as string) as variant_code, o as sort_index, o % 10 = 0 as is_primary,
+  case o % 6 when 0 then 'SKIPPED' when 1 then 'FAILED' when 2 then 'COLLISION' else 'UPLOADED' end as status,
+  case when o % 6 > 2 then 'https://x.blob.example.com/' || cast(o as string) || '.jpg' end as blob_url
+from (select o_orderkey as o, o_custkey as k, {run_columns('o_custkey')} from {{orders}}) u
+"""
