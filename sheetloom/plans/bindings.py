@@ -454,3 +454,14 @@ select run_id, 'D' || cast(k as string) as variant_code, o as sort_index, o % 10
   case when o % 6 > 2 then 'https://x.blob.example.com/' || cast(o as string) || '.jpg' end as blob_url
 from (select o_orderkey as o, o_custkey as k, {run_columns('o_custkey')} from {{orders}}) u
 """
+
+
+# Canonical rows of three datasets with a few conflicting identities.
+DATASETS = f"""
+select cast(k % 3 as int) as dataset_ord, run_id, 'P' || cast(cat as string) as product_id,
+  case when k % 50 = 3 then 'Other ' || cast(cat as string) else 'Cat ' || cast(cat as string) end as catalog_name,
+  case when k % 40 = 15 then 'V' || cast(k - 10 as string) when k % 30 = 4 then '' else 'V' || cast(k as string) end as variant_code,
+  case when k % 7 = 0 then '' else 'Variant ' || cast(k as string) end as variant_name, cast(k as int) as row_number,
+  case when k % 9 = 0 then null else 'P' || cast(cat as string) end as given_product_id
+from (select p_partkey as k, {run_columns('p_partkey')} from {{part}}) d
+"""
