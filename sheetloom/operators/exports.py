@@ -42,6 +42,22 @@ def join_parent(variants: DataFrame, products: DataFrame, columns: list[str | Co
     return variants.join(products.select(*PRODUCT, *columns), PRODUCT)
 
 
+def write_trace(rows: DataFrame, path: str) -> None:
+    """Extracted rows as tab-separated files per run, white space kept."""
+    (rows.write.partitionBy("run_id").option("sep", "\t").option("header", "true")
+     .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path))
+
+
+def write_canonical_json(documents: DataFrame, path: str) -> None:
+    """Nested documents as JSON lines, one folder per run."""
+    documents.withColumn("run", F.col("run_id")).write.partitionBy("run").json(path)
+
+
+def write_csv(table: DataFrame, path: str) -> None:
+    """Flat table as CSV, texts safe for spreadsheets."""
+    safe_table(table).write.option("header", "true").csv(path)
+
+
 # ------------------------------------------------------------------ nested
 def canonical_documents(products: DataFrame, variants: DataFrame, images: DataFrame) -> DataFrame:
     """Product documents with their variants and images nested.

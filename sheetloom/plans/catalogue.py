@@ -1,4 +1,5 @@
 """All registered queries."""
 
-from sheetloom.plans import match_queries, normalise_queries, quality_queries  # noqa: F401
+from sheetloom.plans import (  # noqa: F401
+    facts_queries, io_queries, match_queries, normalise_queries, output_queries, quality_queries, review_queries)
 from sheetloom.plans.registry import ORACLE, QUERIES  # noqa: F401
