@@ -12,6 +12,7 @@ from sheetloom import fixed_values as fv
 from sheetloom.functions import clean as c
 from sheetloom.functions import titles
 from sheetloom.operators.ranking import rank_by_number
+from sheetloom.session import written
 
 EXPAND_BLOCK = 1024
 PRODUCT_FIELDS = [
@@ -418,7 +419,12 @@ def build_variants(keyed: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def normalise(rows: DataFrame, chosen: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Products and variants of all runs."""
-    keyed = keyed_rows(rows, chosen)
-    products = build_products(keyed)
+    """Products and variants of all runs.
+
+    The keyed rows feed five branches (first rows, places, first uses, rows,
+    provenance) and cleaning their cells is the dear part, so they are written
+    once; so are the products, which the variants and every output join.
+    """
+    keyed = written(keyed_rows(rows, chosen), "keyed")
+    products = written(build_products(keyed), "products")
     return products, build_variants(keyed, products)

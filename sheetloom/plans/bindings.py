@@ -292,7 +292,15 @@ from {part}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; one of fewer files than cores is spread over the cores.
+
+    The row-wise work that follows (cell cleaning, text rules, pixel colours)
+    costs far more than moving the rows once.  Large tables have many files and
+    are read as they are.
+    """
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
 
 
 def bind(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
