@@ -209,3 +209,13 @@ def summary(refined: DataFrame) -> DataFrame:
         F.count_if(F.col("ocr_status") == "SUCCESS").alias("ocr_enriched_variants"),
         F.count_if("is_uploaded").alias("uploaded_variants"),
         F.count_if("requires_review").alias("variants_requiring_review"))
+
+
+def write_refined(refined: DataFrame, path: str) -> None:
+    """All variants, those that need review, and the audit numbers."""
+    from sheetloom.session import written
+
+    once = written(refined, "refined")
+    once.write.partitionBy("run_id").parquet(f"{path}/refined_variants")
+    once.where("requires_review").write.partitionBy("run_id").parquet(f"{path}/review_required")
+    summary(once).write.parquet(f"{path}/audit_summary")

@@ -6,6 +6,7 @@ import io
 import zipfile
 
 import pandas as pd
+from pyarrow import fs as pafs
 from pyspark.sql import functions as F
 
 from sheetloom import fixed_values as fv
@@ -101,13 +102,16 @@ def reject_empty_sources(spark, sf):
 
 # ---------------------------------------------------- archives, documents
 def _zip_block(path: str):
+    """Writes the archive of one block; ``path`` may lie on any file system pyarrow knows."""
     def write(pdf: pd.DataFrame) -> pd.DataFrame:
         buffer = io.BytesIO()
         with zipfile.ZipFile(buffer, "w") as archive:
             for name, size in zip(pdf["relative_path"], pdf["file_size_bytes"]):
                 archive.writestr(name, b"x" * int(size))
         name = f"{pdf['run_id'].iloc[0]}-{pdf['block'].iloc[0]}.zip"
-        with open(f"{path}/{name}", "wb") as out:
+        system, folder = pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path.removeprefix("file:"))
+        system.create_dir(folder, recursive=True)
+        with system.open_output_stream(f"{folder}/{name}") as out:
             out.write(buffer.getvalue())
         return pd.DataFrame({"name": [name]})
 
@@ -122,12 +126,9 @@ select run_id || '-' || block || '.zip' as source_zip, relative_path as source_f
   file_size_bytes as size_bytes, 'PENDING_REVIEW' as status from f_zip where file_extension in {o.in_list(fv.IMAGE_EXTENSIONS)}""", "f_zip"))
 def archive_inventory(spark, sf):
     """Lists archives written from the image table, five hundred orders per archive."""
-    import os
-
     path = new_path(spark, "archives")
-    os.makedirs(path.replace("file:", ""), exist_ok=True)
     listed = b.bind(spark, sf, b.IMAGES).withColumn("block", F.floor(F.col("image_ord") / 500))
-    made = listed.groupBy("run_id", "block").applyInPandas(_zip_block(path.replace("file:", "")), "name string")
+    made = listed.groupBy("run_id", "block").applyInPandas(_zip_block(path), "name string")
     made.write.format("noop").mode("overwrite").save()
     return files.archive_inventory(spark, path)
 

@@ -67,13 +67,14 @@ def scan(spark: SparkSession, paths: str | list[str], run_id: Column | None = No
     every = lines(spark, paths)
     heads = infer_delimiters(every.where(F.col("line_no") == 1))
     width = (heads.agg(F.max("delimiter_count")).first()[0] or 0) + 1
-    named = (heads.withColumn("row", F.slice(_parsed(width), F.lit(1), F.col("delimiter_count") + 1))
-             .withColumn("headers", F.transform("row", lambda h: F.coalesce(c.pystrip(h), F.lit(""))))
+    named_upto = F.array_max(F.transform("row", lambda h, i: F.when(h.isNotNull(), i + F.lit(1))))
+    named = (heads.withColumn("row", _parsed(width)).withColumn("columns", named_upto)
+             .withColumn("headers", F.transform(F.slice("row", F.lit(1), F.col("columns")),
+                                                lambda h: F.coalesce(c.pystrip(h), F.lit(""))))
              .withColumn("keys", effective_keys_column(F.transform("headers", c.header_key)))
-             .select(FILE, "delimiter", "delimiter_count", "headers", "keys"))
+             .select(FILE, "delimiter", "columns", "headers", "keys"))
     rows = every.where(F.col("line_no") > 1).join(named, FILE)
-    cells = F.transform(F.slice(_parsed(width), F.lit(1), F.col("delimiter_count") + 1),
-                        lambda x: F.nullif(x, F.lit("")))
+    cells = F.transform(F.slice(_parsed(width), F.lit(1), F.col("columns")), lambda x: F.nullif(x, F.lit("")))
     sheet = rows.select(FILE, F.col("line_no").alias("row_number"), "headers", "keys", cells.alias("cells"))
     return sheet.withColumn("run_id", F.col(FILE) if run_id is None else run_id).select(
         "run_id", FILE, "row_number", "headers", "keys", "cells")
