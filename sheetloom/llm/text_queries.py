@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheetloom.llm import decontaminate, language_id, token_counts, toxicity
+from sheetloom.llm import decontaminate, language_id, ngram_join, token_counts, toxicity
 from sheetloom.llm.common import held_out, table
 from sheetloom.llm.queries import query
 
@@ -52,6 +52,31 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_texts(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "toxicity.score", "toxicity.predicted")
 
 
+OP4_SQL = rf"""
+with recursive doc as (
+  select row_number() over () as rid, doc_id, coalesce(regexp_extract_all({_LOWER.format('text')}, '[^\x20\x09-\x0D]+'), []) as w from documents),
+sets as (
+  select distinct rid, array_to_string(w[i:i + 2], ' ') as s
+  from (select rid, w, unnest(range(1, greatest(1, len(w) - 2) + 1)) as i from doc where len(w) > 0)),
+size as (select rid, count(*) as n from sets group by rid),
+pair as (
+  select a.rid as x, b.rid as y, count(*) as common from sets a join sets b on a.s = b.s and a.rid <> b.rid group by a.rid, b.rid),
+link as (
+  select x, y from pair join size sx on sx.rid = x join size sy on sy.rid = y where 100 * common >= 90 * (sx.n + sy.n - common)),
+reach as (select rid, rid as other from doc union select r.rid, l.y from reach r join link l on l.x = r.other),
+low as (select r.rid, min(d.doc_id) as component_id from reach r join doc d on d.rid = r.other group by r.rid)
+select doc.doc_id, cast(coalesce(size.n, 0) as bigint) as n_shingles, low.component_id,
+  cast((select count(*) from link where link.x = doc.rid) as bigint) as n_links
+from doc left join size using (rid) left join low using (rid)
+"""
+
+
+@query("op4_ngram_join", OP4_SQL)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's component of similar documents and its number of links."""
+    return ngram_join.link_classes(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("class")
+
+
 @query("op8_language_id")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's language, learned from texts outside the held-out fifth."""
