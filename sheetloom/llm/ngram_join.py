@@ -33,10 +33,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from sheetloom.llm.common import as_bytes, rows_of
+from sheetloom.llm.common import append_struct, as_bytes, free_name, rows_of
 from sheetloom.llm.components import components
 from sheetloom.session import written
 
@@ -155,7 +156,7 @@ def described(docs: DataFrame, counts: np.ndarray, size: int, percent: int, id_c
                 out["n"].append(len(tokens))
                 if len(tokens):
                     a, b, _ = prefixes(tokens, shared.value, percent)
-                    out["class"].append(hashlib.blake2b(tokens.tobytes(), digest_size=16).digest())
+                    out["class"].append(fingerprint(tokens))
                     out["a"].append(_signed(a))
                     out["b"].append(_short(b).tobytes())
                 else:
@@ -266,12 +267,25 @@ def verified(tiles: DataFrame, counts: np.ndarray, size: int, percent: int) -> D
     return ready.mapInArrow(run, "class binary, links long, near binary")
 
 
-def texts_of(docs: DataFrame, wanted: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, found, text) of wanted ids; ``found`` is the text's own class, as an id may have several texts."""
-    cells = wanted.select(F.pmod(F.xxhash64("doc_id"), F.lit(1 << WANTED_BITS)).cast("int").alias("cell")).distinct().toArrow()
+def _cell(id_col: str):
+    return F.pmod(F.xxhash64(F.col(id_col).cast("long")), F.lit(1 << WANTED_BITS)).cast("int")
+
+
+def bit_table(ids: DataFrame, id_col: str = "doc_id") -> np.ndarray:
+    """A bit for each cell that an id falls into: 2^WANTED_BITS of them, however many ids there are."""
+    cells = ids.select(_cell(id_col).alias("cell")).distinct().toArrow()
     table = np.zeros(1 << WANTED_BITS, bool)
     table[cells.column("cell").to_numpy()] = True
-    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(table))
+    return np.packbits(table)
+
+
+def fingerprint(tokens: np.ndarray) -> bytes:
+    return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
+
+
+def texts_of(docs: DataFrame, wanted: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, found, text) of wanted ids; ``found`` is the text's own class, as an id may have several texts."""
+    shared = docs.sparkSession.sparkContext.broadcast(bit_table(wanted))
 
     def make():
         hit, shingler = np.unpackbits(shared.value).view(bool), Shingler(size)
@@ -279,17 +293,16 @@ def texts_of(docs: DataFrame, wanted: DataFrame, size: int, id_col: str, text_co
         def work(batch):
             kept = batch.filter(pa.array(hit[batch.column("cell").to_numpy()]))
             texts = as_bytes(kept.column("text")).to_pylist()
-            found = [hashlib.blake2b(shingler.shingles(t).tobytes(), digest_size=16).digest() for t in texts]
-            yield {"doc_id": kept.column("doc_id"), "found": found, "text": texts}
+            yield {"doc_id": kept.column("doc_id"), "found": [fingerprint(shingler.shingles(t)) for t in texts], "text": texts}
         return work
 
-    cell = F.pmod(F.xxhash64(F.col(id_col).cast("long")), F.lit(1 << WANTED_BITS)).cast("int")
-    source = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), cell.alias("cell"))
+    source = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
+                                                         _cell(id_col).alias("cell"))
     return rows_of(source, "doc_id long, found binary, text binary", make)
 
 
 def link_classes(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, class (fingerprint), component_id, n_links.
+    """One row per row of ``docs``: doc_id, n_shingles, class (fingerprint), root (smallest class of the component), component_id, n_links.
 
     ``n_links`` counts the other documents that a document is linked with, copies included.
     """
@@ -318,8 +331,44 @@ def link_classes(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, id_c
     degree = links.groupBy("class").agg(F.sum("links").alias("links"))
     merged = classes.join(roots, "class", "left").join(degree, "class", "left").withColumn("root", F.coalesce("root", "class"))
     least = merged.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    known = merged.join(least, "root").select("class", "component_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    known = merged.join(least, "root").select("class", "root", "component_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     alone = rows.where(F.col("class").isNull() | F.col("doc_id").isNull())
     return (alive.select("doc_id", "n", "class").join(known, "class")
-            .select("doc_id", F.col("n").alias("n_shingles"), "class", "component_id", "n_links")
-            .unionAll(alone.select("doc_id", F.col("n").alias("n_shingles"), "class", F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links"))))
+            .select("doc_id", F.col("n").alias("n_shingles"), "class", "root", "component_id", "n_links")
+            .unionAll(alone.select("doc_id", F.col("n").alias("n_shingles"), "class", F.lit(None).cast("binary").alias("root"),
+                                   F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links"))))
+
+
+def keep_one(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows of ``docs``, one of each component: the one with the smallest id (of equal rows any one).
+
+    Rows without shingles or without id stay. Texts of rows that are surely kept are not shuffled: a bit
+    table over the ids of rows that may go tells them apart.
+    """
+    found = written(link_classes(docs, size, percent, id_col, text_col).where("root is not null"), "linked")
+    keepers = found.groupBy("root").agg(F.min(F.struct("doc_id", "class")).alias("k")).select("k.*")
+    rows = found.groupBy("doc_id", "class").agg(F.count("*").alias("rows"))
+    going = rows.join(keepers.withColumn("stays", F.lit(True)), ["doc_id", "class"], "left").where("stays is null or rows > 1")
+    shared = docs.sparkSession.sparkContext.broadcast(bit_table(going))
+    cell, mark = free_name(docs, "cell"), free_name(docs, "mark")
+
+    def make():
+        hit, shingler = np.unpackbits(shared.value).view(bool), Shingler(size)
+
+        def work(batch):
+            cells = batch.column(cell).to_numpy(zero_copy_only=False)
+            out = []
+            for at, text in zip(cells, as_bytes(batch.column(text_col)).to_pylist(), strict=True):
+                tokens = shingler.shingles(text) if at >= 0 and hit[int(at)] else ()
+                out.append(fingerprint(tokens) if len(tokens) else None)
+            return {"class": out}
+        return work
+
+    own = docs.withColumn(cell, F.when(F.col(id_col).isNull(), -1).otherwise(_cell(id_col)))
+    marked = append_struct(own, mark, T.StructType([T.StructField("class", T.BinaryType())]), make, text_col)
+    asked = marked.where(F.col(mark)["class"].isNotNull())
+    k = keepers.select(F.col("doc_id").alias(free_name(docs, "keeper_id")), F.col("class").alias(free_name(docs, "keeper_class")))
+    both = [F.col(id_col).cast("long") == F.col(k.columns[0]), F.col(mark)["class"] == F.col(k.columns[1])]
+    first = Window.partitionBy(*k.columns).orderBy(k.columns[0])
+    one = asked.join(k, both).withColumn(cell, F.row_number().over(first)).where(F.col(cell) == 1)
+    return marked.where(F.col(mark)["class"].isNull()).select(docs.columns).unionAll(one.select(docs.columns))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheetloom.llm import decontaminate, language_id, ngram_join, token_counts, toxicity
+from sheetloom.llm import decontaminate, language_id, ngram_join, pieces, token_counts, toxicity
 from sheetloom.llm.common import held_out, table
 from sheetloom.llm.queries import query
 
@@ -74,7 +74,7 @@ from doc left join size using (rid) left join low using (rid)
 @query("op4_ngram_join", OP4_SQL)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's component of similar documents and its number of links."""
-    return ngram_join.link_classes(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("class")
+    return ngram_join.link_classes(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("class", "root")
 
 
 @query("op8_language_id")
@@ -86,6 +86,18 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "language.lang_pred", "language.score")
 
 
+@query("op9_pieces")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's best segmentations, and whether decoding gives its text back."""
+    encoded = pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    r = F.col("pieces")
+    rows = encoded.select("doc_id", "text", r.ids.alias("ids"), r.n_pieces.alias("n_pieces"), r.score.alias("score"),
+                          F.concat(F.array(r.score), F.transform(r.alternatives, lambda a: a.score)).alias("nbest_scores"))
+    return pieces.decode(rows, "ids").select("doc_id", "n_pieces", "score", "nbest_scores",
+                                             F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+                                             (F.col("decoded.text") == F.coalesce("text", F.lit(""))).alias("round_trip"))
+
+
 @query("op10_token_counts")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's tokens, and how much of it fits into the limit."""
