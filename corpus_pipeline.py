@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheetloom.llm import decontaminate, language_id, toxicity
+from sheetloom.llm import decontaminate, language_id, ngram_join, pieces, toxicity
 from sheetloom.llm.common import free_name, table
 from sheetloom.session import written
 
@@ -34,6 +34,11 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return found.where((F.col(name).lang_pred != language_id.UNKNOWN) & (F.col(name).score >= LEAST_SCORE)).select(docs.columns)
 
 
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group of similar ones, that with the smallest id."""
+    return ngram_join.keep_one(docs)
+
+
 def not_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that contain test items by the contamination rule."""
     name = free_name(docs, "contamination")
@@ -41,7 +46,16 @@ def not_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return found.where(~decontaminate.is_contaminated(F.col(name).n_hit, F.col(name).n_words)).select(docs.columns)
 
 
-STAGES = [("toxicity", not_toxic), ("language ID", known_language), ("benchmark decontamination", not_contaminated)]
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Add piece ids of the best segmentation, their number and score, and the scores of the next best."""
+    name = free_name(docs, "pieces")
+    r = F.col(name)
+    made = {"piece_ids": r.ids, "n_pieces": r.n_pieces, "piece_score": r.score, "next_scores": F.transform(r.alternatives, lambda a: a.score)}
+    return pieces.encode(docs, into=name).select(*[c for c in docs.columns if c not in made], *[v.alias(k) for k, v in made.items()])
+
+
+STAGES = [("toxicity", not_toxic), ("language ID", known_language), ("n-gram Jaccard join", one_of_each),
+          ("benchmark decontamination", not_contaminated), ("SentencePiece encoding", encoded)]
 
 ORACLE_SQL = None  # models and lattice search are beyond SQL; tests hold the stages against plain versions
 
