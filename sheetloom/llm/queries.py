@@ -22,4 +22,4 @@ def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
 
 
 # Imported for what they register.
-from sheetloom.llm import text_queries  # noqa: E402, F401
+from sheetloom.llm import text_queries, web_queries  # noqa: E402, F401
