@@ -143,8 +143,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP7_SQL = """
 with vec as (
   select vec_id, cast(embedding as double[]) as v from embeddings
-  where vec_id is not null and len(embedding) > 0 and len(list_filter(embedding, x -> x is null or isnan(x) or isinf(x))) = 0
-    and len(list_filter(embedding, x -> x <> 0)) > 0),
+  where vec_id is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0),
 pair as (
   select q.vec_id as query_id, c.vec_id, list_dot_product(q.v, c.v) as score
   from vec q join vec c on q.vec_id <> c.vec_id where q.vec_id % 20 = 0)
