@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sheetloom.llm.common import on_workers
 from sheetloom.session import written
 
 BLOCK = 8_192
@@ -121,6 +122,6 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "ve
         return pa.table({"query_id": pa.array([f[0] for f in found], pa.int64()), "vec_id": pa.array([f[1] for f in found], pa.int64()),
                          "score": pa.array([f[2] for f in found], pa.float64())})
 
-    best = queries.unionAll(candidates).groupBy("q", "c").applyInArrow(search, "query_id long, vec_id long, score double")
+    best = on_workers(queries.unionAll(candidates)).groupBy("q", "c").applyInArrow(search, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 from typing import Any
 
 import pyarrow as pa
@@ -18,6 +20,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def on_workers(df: DataFrame) -> DataFrame:
+    """Let Python workers import this library from where the driver has it, wherever they are started."""
+    environment, root = df.sparkSession.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
+    return df
+
+
 def held_out(doc_id: Column) -> Column:
     """True for the fifth of the documents that nothing is learned from; a null id belongs to it."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 5 == 0
@@ -69,7 +80,7 @@ def append_struct(df: DataFrame, into: str, fields: T.StructType, make: Callable
                                                     names=[f.name for f in fields])
                 yield pa.RecordBatch.from_arrays([*batch.columns, struct], names=[*batch.schema.names, into])
 
-    return df.select(*[F.col(f"`{f.name}`") for f in rest]).mapInArrow(run, T.StructType([*rest, T.StructField(into, fields)]))
+    return on_workers(df).select(*[F.col(f"`{f.name}`") for f in rest]).mapInArrow(run, T.StructType([*rest, T.StructField(into, fields)]))
 
 
 def rows_of(df: DataFrame, schema: str, make: Callable[[], Callable[[pa.RecordBatch], Iterator[dict[str, Any]]]],
@@ -92,4 +103,4 @@ def rows_of(df: DataFrame, schema: str, make: Callable[[], Callable[[pa.RecordBa
         for made in getattr(work, "rest", lambda: ())():
             yield pack(made)
 
-    return df.mapInArrow(run, schema)
+    return on_workers(df).mapInArrow(run, schema)
