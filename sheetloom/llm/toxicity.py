@@ -7,8 +7,8 @@
 2. *Label model.* A generative model with one hidden label per text estimates by expectation maximisation
    how often each voter votes toxic, clean or not at all given the label, and how strongly voters stay
    correlated once the label is known. A voter counts less the more it repeats others.
-3. *Classifier.* A logistic model over words and word beginnings is fitted to the posterior labels and
-   scores whole texts.
+3. *Classifier.* A logistic model over words, word beginnings and whether any voter's occurs is fitted to
+   the posterior labels and scores whole texts.
 
 Scale: steps 1 to 3 use at most ``SAMPLE`` labelled documents, chosen by the smallest hash of their id
 (a documented bound), one of each set of copies among them; they are written once, their counts are made
@@ -26,6 +26,7 @@ import re
 import zlib
 from collections import Counter
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -39,7 +40,8 @@ SAMPLE = 16_000
 FEATURES = 20_000
 SIGNIFICANT = 24.0  # likelihood ratio that a feature must reach, far beyond what the best of a million unrelated ones shows
 LEXICONS, PATTERNS = 10, 10
-BEGINNINGS = (4, 5, 6)
+BEGINNINGS = (4, 5, 6, 7, 8)
+ANY = "+any"  # the feature of a text in which some voter's word or beginning occurs
 KEPT_COUNTS = 400_000  # features that a task counts before it hands them on
 
 # Common English insults.
@@ -65,15 +67,22 @@ class Model:
 
     bias: float = -20.0
     weights: dict[str, float] = field(default_factory=dict)
+    suspicious: frozenset[str] = frozenset()  # what stands for ANY
     accuracy: dict[str, float] = field(default_factory=dict)  # share of a voter's votes that the hidden label agrees with
     correlation: np.ndarray | None = None
 
+    @cached_property
+    def known(self) -> frozenset[str]:
+        return frozenset(self.weights) | self.suspicious
+
     def score(self, text: str) -> float:
-        get = self.weights.get
         words = set(_WORD.findall(text.lower()))
-        total = sum([get(w, 0.0) for w in words])
+        found = words & self.known
         for n in BEGINNINGS:
-            total += sum([get(p, 0.0) for p in {w[:n] + "*" for w in words if len(w) > n}])
+            found |= {w[:n] + "*" for w in words if len(w) > n} & self.known
+        total = sum([self.weights.get(f, 0.0) for f in found])
+        if not self.suspicious.isdisjoint(found):
+            total += self.weights.get(ANY, 0.0)
         # the sum's last bits depend on the order of a set
         return float(1 / (1 + np.exp(-np.clip(round(self.bias + total, 9), -40, 40))))
 
@@ -201,7 +210,7 @@ def fit_linear(rows: np.ndarray, columns: np.ndarray, target: np.ndarray, width:
     for step in range(1, steps + 1):
         score = np.bincount(rows, weights[columns], n) + bias
         wrong = (1 / (1 + np.exp(-np.clip(score, -40, 40))) - target) / n
-        slope = np.r_[np.bincount(columns, wrong[rows], width) + 2e-6 * weights, wrong.sum()]
+        slope = np.r_[np.bincount(columns, wrong[rows], width) + 2e-5 * weights, wrong.sum()]
         a += 0.1 * (slope - a)
         b += 0.01 * (slope * slope - b)
         move = 0.05 * (a / (1 - 0.9 ** step)) / (np.sqrt(b / (1 - 0.99 ** step)) + 1e-9)
@@ -227,7 +236,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str =
                .orderBy(F.desc("telling"), "feature").limit(FEATURES).collect())
     counts = [(r["feature"], r["toxic"], r["clean"]) for r in counted]
     voters = choose_voters(counts, n_toxic, n_clean)
-    index = {name: i for i, (name, _, _) in enumerate(counts)}
+    suspicious = frozenset({*voters.words, *voters.beginnings, *INSULTS})
+    index = {name: i for i, name in enumerate([*(name for name, _, _ in counts), ANY])}
 
     def make():
         def work(batch):
@@ -236,7 +246,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str =
                 text = text.decode("utf-8", "replace")
                 has = features(text)
                 votes.append(bytes(v + 1 for v in voters.vote(text, has, toxic)))
-                found.append(np.array(sorted(index[f] for f in has if f in index), "<i4").tobytes())
+                told = [index[f] for f in has if f in index] + ([index[ANY]] if not suspicious.isdisjoint(has) else [])
+                found.append(np.array(sorted(told), "<i4").tobytes())
             yield {"votes": votes, "found": found}
         return work
 
@@ -246,7 +257,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str =
     posterior, accuracy, correlation = label_model(votes)
     each = [np.frombuffer(f, "<i4") for _, f in got]
     weights, bias = fit_linear(np.repeat(np.arange(len(each)), [len(f) for f in each]), np.concatenate(each), np.clip(posterior, 1e-3, 1 - 1e-3), len(index))
-    return Model(bias, {name: float(weights[i]) for name, i in index.items() if abs(weights[i]) > 1e-4},
+    return Model(bias, {name: float(weights[i]) for name, i in index.items() if abs(weights[i]) > 1e-4}, suspicious,
                  dict(zip(voters.names, accuracy.tolist(), strict=True)), correlation)
 
 
