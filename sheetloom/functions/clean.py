@@ -109,8 +109,8 @@ def gst_label(c: C) -> Column:
 
 
 def amount_text(c: C) -> Column:
-    """A number as text with two decimals (never in exponent form)."""
-    return col(c).cast("decimal(18,2)").cast("string")
+    """A number as text with two decimals (never in exponent form); null beyond 36 digits."""
+    return col(c).try_cast("decimal(38,2)").cast("string")
 
 
 def code_prefix(c: C) -> Column:
@@ -145,14 +145,14 @@ def natural_key(c: C) -> Column:
     """Text whose plain order is the natural order of ``c``.
 
     Digit runs are written as ``length of digits`` + digits without leading
-    zeros, so 2 sorts before 10 for numbers of any length up to 999 digits.  A
+    zeros, so 2 sorts before 10 for numbers of any length.  A
     text that starts with a digit sorts before any other.
     """
     chunks = F.regexp_extract_all(F.lower(col(c)), F.lit(r"(\d+|\D+)"), F.lit(1))
 
     def one(chunk: Column) -> Column:
         bare = F.regexp_replace(chunk, "^0+(?=.)", "")
-        number = F.concat(F.lpad(F.length(bare).cast("string"), 3, "0"), bare)
+        number = F.concat(F.lpad(F.length(bare).cast("string"), 10, "0"), bare)
         return F.when(chunk.rlike("^[0-9]"), number).otherwise(chunk)
 
     joined = F.array_join(F.transform(chunks, one), "\u0001")

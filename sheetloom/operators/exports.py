@@ -25,7 +25,7 @@ def clean_gallery() -> Column:
 def formula_safe(text: c.C) -> Column:
     """Text that a spreadsheet would run as a formula gets a leading apostrophe."""
     value = c.col(text)
-    return F.when(value.rlike(rf"^[{fv.FORMULA_PREFIXES[:2]}\-@]"), F.concat(F.lit("'"), value)).otherwise(value)
+    return F.when(value.rlike("^[" + "".join("\\" + x for x in fv.FORMULA_PREFIXES) + "]"), F.concat(F.lit("'"), value)).otherwise(value)
 
 
 def safe_table(df: DataFrame) -> DataFrame:
@@ -64,7 +64,8 @@ def canonical_documents(products: DataFrame, variants: DataFrame, images: DataFr
 
     A product with very many variants, or a variant with very many images, is
     written as several parts (``variant_part``, ``image_part``) of bounded size;
-    the parts together hold everything.
+    the parts together hold everything, and their reader puts them together.
+    A product without variants has one part without any.
     """
     pages = (images.groupBy(*VARIANT, F.floor(F.col("sort_index") / IMAGES_PER_DOCUMENT).cast("int").alias("image_part"))
              .agg(F.sort_array(F.collect_list(F.struct("sort_index", "image_id", "original_filename", "is_primary"))).alias("images")))
@@ -72,7 +73,9 @@ def canonical_documents(products: DataFrame, variants: DataFrame, images: DataFr
         "variant_ord", "variant_code", "supplier_sku", "variant_name", "image_sku", "color", "size", "supplier_cost",
         "selling_price", "stock_quantity", "publish", "review_status", "primary_image_url",
         clean_gallery().alias("gallery_image_urls"), "images", "attributes")
-    return products.join(_parts(variants, pages, body), PRODUCT)
+    none = F.lit(0)
+    return (products.join(_parts(variants, pages, body), PRODUCT, "left")
+            .withColumns({"variant_part": F.coalesce("variant_part", none), "image_part": F.coalesce("image_part", none)}))
 
 
 def _parts(variants: DataFrame, pages: DataFrame, body: Column) -> DataFrame:
@@ -89,7 +92,7 @@ def _slots(gallery: Column | str, count: int, name: str) -> list[Column]:
 
 
 def canonical_flat(products: DataFrame, variants: DataFrame) -> DataFrame:
-    """23 leading columns, gallery slots, and the merged attributes as one map."""
+    """23 leading columns, gallery slots, the whole gallery, and the merged attributes as one map."""
     parent = ["supplier_name", "catalog_name", "product_group", "product_name", "product_type", "category_slug",
               "brand_name", "description", "supplier_price", "gst_percent", F.col("attributes").alias("p_attributes")]
     joined = join_parent(variants, products, parent).withColumn("gallery", clean_gallery())
@@ -101,28 +104,44 @@ def canonical_flat(products: DataFrame, variants: DataFrame) -> DataFrame:
     own = F.map_filter("p_attributes", lambda k, v: ~F.array_contains(names, k))
     extra = F.map_filter("attributes", lambda k, v: ~F.array_contains(names, k) & ~F.array_contains(F.map_keys(own), k))
     return joined.select(*VARIANT, *front, *_slots("gallery", GALLERY_SLOTS, "image{}_url"),
-                         F.map_concat(own, extra).alias("attributes"))
+                         F.col("gallery").alias("gallery_image_urls"), F.map_concat(own, extra).alias("attributes"))
 
 
-def hosted_tops(uploads: DataFrame, keep: int = GALLERY_SLOTS + 1) -> DataFrame:
-    """First hosted images per variant by place; no more than the output has columns for."""
-    done = uploads.where(c.is_remote_url("blob_url"))
-    ranked = rank_by_number(done, ["run_id", "variant_code"], "sort_index", "place").where(F.col("place") <= keep)
-    return ranked.groupBy("run_id", "variant_code").agg(
+def first_hosted(uploads: DataFrame) -> DataFrame:
+    """The first hosted image of each variant."""
+    return uploads.where(c.is_remote_url("blob_url")).groupBy("run_id", "variant_code").agg(
+        F.min_by("blob_url", "sort_index").alias("first_hosted"))
+
+
+def hosted_tops(uploads: DataFrame, heroes: DataFrame, keep: int = GALLERY_SLOTS) -> DataFrame:
+    """First hosted images of a variant by place, other than its hero; as many as the output has columns for.
+
+    ``heroes(run_id, variant_code, hero_url)``: variants that share a code may have different ones.
+    """
+    own = ["run_id", "variant_code", "hero_url"]
+    done = uploads.where(c.is_remote_url("blob_url")).join(heroes, own[:2]).where(F.col("blob_url") != F.col("hero_url"))
+    ranked = rank_by_number(done, own, "sort_index", "place").where(F.col("place") <= keep)
+    return ranked.groupBy(*own).agg(
         F.transform(F.sort_array(F.collect_list(F.struct("place", "blob_url"))), lambda x: x["blob_url"]).alias("hosted"))
 
 
 def with_hero(variants: DataFrame, uploads: DataFrame | None = None) -> DataFrame:
     """Hero URL and gallery of the import table: remote URLs only, hosted images as fallback."""
-    hosted = F.col("hosted") if uploads is not None else F.array().cast("array<string>")
-    joined = variants.join(hosted_tops(uploads), ["run_id", "variant_code"], "left") if uploads is not None else variants
     none = F.array().cast("array<string>")
     own = F.filter("gallery_image_urls", lambda u: c.is_remote_url(u))
-    hero = F.when(c.is_remote_url("primary_image_url"), F.col("primary_image_url")).otherwise(
-        F.coalesce(F.get(hosted, F.lit(0)), F.lit("")))
-    picked = joined.withColumns({"hero_url": hero, "own_gallery": own})
-    other = F.filter(F.coalesce(hosted, none), lambda u: u != F.col("hero_url"))
-    return (picked.withColumn("gallery", F.when(F.size("own_gallery") > 0, F.col("own_gallery")).otherwise(other))
+    code = ["run_id", "variant_code"]
+    if uploads is None:
+        joined = variants.withColumn("first_hosted", F.lit(None).cast("string"))
+    else:
+        joined = variants.join(first_hosted(uploads), code, "left")
+    hero = F.when(c.is_remote_url("primary_image_url"), F.col("primary_image_url")).otherwise(F.coalesce("first_hosted", F.lit("")))
+    picked = joined.withColumns({"hero_url": hero, "own_gallery": own}).drop("first_hosted")
+    if uploads is None:
+        picked = picked.withColumn("hosted", none)
+    else:
+        tops = hosted_tops(uploads, picked.select(*code, "hero_url").distinct())
+        picked = picked.join(tops, [*code, "hero_url"], "left")
+    return (picked.withColumn("gallery", F.when(F.size("own_gallery") > 0, F.col("own_gallery")).otherwise(F.coalesce("hosted", none)))
             .drop("own_gallery", "hosted"))
 
 

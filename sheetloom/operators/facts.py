@@ -218,12 +218,12 @@ def reconciled_prices(documents: DataFrame, facts: DataFrame) -> DataFrame:
            .withColumn("pieces", F.coalesce(F.nullif("designs", F.lit(0)), F.col("b_count"))))
 
     def without_two(name: str) -> Column:
-        digits = F.floor(name).cast("bigint").cast("string")
+        digits = F.col(name).try_cast("bigint").cast("string")
         return F.when(digits.startswith("2") & (F.length(digits) >= 4),
-                      digits.substr(F.lit(2), F.length(digits)).cast("bigint").cast("double"))
+                      digits.substr(F.lit(2), F.length(digits)).try_cast("bigint").cast("double"))
 
     def mentioned(x: Column) -> Column:
-        return F.array_contains("marked", x.cast("bigint").cast("string"))
+        return F.array_contains("marked", x.try_cast("bigint").cast("string"))
 
     cut = raw.select("*", *[without_two(f"raw_{n}").alias(f"cut_{n}") for n in ("fc", "ws", "sp")])
     one = cut.withColumn("fc1", F.when(mentioned(F.col("cut_fc")), F.col("cut_fc")).otherwise(F.col("raw_fc")))

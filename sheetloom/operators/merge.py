@@ -35,7 +35,10 @@ def merge(datasets: list[DataFrame], dedupe: bool = False) -> DataFrame:
     """Bag union in the given order; ``dedupe`` keeps equal rows once."""
     parts = [d.withColumn("dataset_ord", F.lit(i)) for i, d in enumerate(datasets)]
     rows = reduce(DataFrame.unionByName, parts)
-    return rows.dropDuplicates([x for x in rows.columns if x != "dataset_ord"]) if dedupe else rows
+    if not dedupe:
+        return rows
+    own = [x for x in rows.columns if x != "dataset_ord"]
+    return rows.groupBy(*own).agg(F.min("dataset_ord").alias("dataset_ord"))
 
 
 def checked_merge(datasets: list[DataFrame], dedupe: bool = False) -> DataFrame:
@@ -73,7 +76,7 @@ def source_checks(rows: DataFrame) -> DataFrame:
         ~F.get("header", i).eqNullSafe(F.get(expected, i)), F.concat(
             F.lit("Col "), (i + 1).cast("string"), F.lit(": expected '"), F.get(expected, i), F.lit("', found '"),
             F.coalesce(F.get("header", i), F.lit("")), F.lit("'")))), lambda x: x.isNotNull())
-    problem = F.when(F.size(wrong) > 0, F.concat(F.lit("Schema mismatch. "), F.array_join(F.slice(wrong, 1, 5), "; "))).when(
+    problem = F.when(F.size(wrong) > 0, F.concat(F.lit("Schema mismatch. "), F.array_join(wrong, "; "))).when(
         F.col("rows") == 0, F.lit("0 product data rows"))
     return per_source.select("source", "rows", problem.alias("problem"))
 

@@ -90,12 +90,12 @@ def shared_skus(variants: DataFrame) -> DataFrame:
 def shared_sku_issues(products: DataFrame, variants: DataFrame) -> DataFrame:
     """One note per product; the SKUs themselves are in :func:`shared_skus`."""
     per_product = shared_skus(variants).groupBy("run_id", "product_ord").agg(
-        F.count(F.lit(1)).alias("n"), F.min("supplier_sku").alias("first_sku"))
+        F.array_join(F.sort_array(F.collect_list("supplier_sku")), ", ").alias("skus"))
     named = per_product.join(products.select("run_id", "product_ord", "catalog_name"), ["run_id", "product_ord"])
     return _emit(named.withColumn("variant_ord", F.lit(None).cast("int")), [
         _issue(F.lit(True), "INFO", "SHARED_SUPPLIER_SKU",
                _say("Product '", F.col("catalog_name"), "' has multiple variants sharing supplier SKU(s): ",
-                    F.col("first_sku"), " (", F.col("n"), " shared)"), "supplier_sku")])
+                    F.col("skus")), "supplier_sku")])
 
 
 def with_duplicate_flag(variants: DataFrame) -> DataFrame:

@@ -6,8 +6,9 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from sheetloom.session import written
+
 CHUNK = 1 << 16
-GROUP_ROWS_PER_TASK = 2_000_000
 
 
 def rank_by_number(df: DataFrame, group: list[str], order: str, out: str, chunk: int = CHUNK) -> DataFrame:
@@ -30,23 +31,13 @@ def rank_by_number(df: DataFrame, group: list[str], order: str, out: str, chunk:
             .drop("_stretch", "_pos", "_before"))
 
 
-def rank_by_text(df: DataFrame, group: list[str], order: list[str], out: str,
-                 rows_per_task: int = GROUP_ROWS_PER_TASK) -> DataFrame:
+def rank_by_text(df: DataFrame, group: list[str], order: list[str], out: str) -> DataFrame:
     """1-based position by text columns.
 
-    When every group is small (counted first) one window does it.  Otherwise the
-    rows are range-partitioned over group and order, which splits a large group
-    over many tasks, written once, and numbered slice by slice.
+    The rows are range-partitioned over group and order, which splits a large
+    group over many tasks, written once, and numbered slice by slice; the rows
+    before a slice come from a count per slice.
     """
-    largest = df.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
-    if largest <= rows_per_task:
-        return df.withColumn(out, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
-    return _rank_ranged(df, group, order, out)
-
-
-def _rank_ranged(df: DataFrame, group: list[str], order: list[str], out: str) -> DataFrame:
-    from sheetloom.session import written
-
     ranged = written(
         df.repartitionByRange(*group, *order).withColumn("_slice", F.spark_partition_id()), "ranged")
     before = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)

@@ -42,13 +42,23 @@ def create_manifest(findings: DataFrame, images: DataFrame, facts: DataFrame) ->
         F.col("reason").alias("notes"))
 
 
+def _with_columns(df: DataFrame, names: tuple[str, ...]) -> DataFrame:
+    """Text columns that ``df`` lacks, as nulls."""
+    return df.withColumns({n: F.lit(None).cast("string") for n in names if n not in df.columns})
+
+
 def apply_decisions(manifest: DataFrame, decisions: DataFrame) -> DataFrame:
-    """Manifest after a log of decisions ``(run_id, image_id, decision_ord, action, ...)``.
+    """Manifest after a log of decisions.
+
+    ``decisions(run_id, image_id, decision_ord, action, reviewer, decided_at, new_variant_code, image_sku, detected_color, reason)``; the last
+    three and the time may be absent.
 
     An approval counts only when the image has a code at that moment: its own or
     one from an earlier reassignment.  Everything else is the last effective
     decision, found with aggregates, so a long log of one image stays spread out.
     """
+    manifest = _with_columns(manifest, ("approved_at", "detected_color", "notes"))
+    decisions = _with_columns(decisions, ("decided_at", "detected_color", "reason"))
     acts = decisions.where(F.col("action").isin("approve", "reject", "reassign"))
     given = acts.groupBy(*IMAGE).agg(
         F.min(F.when(F.col("action") == "reassign", F.col("decision_ord"))).alias("first_reassign"))
@@ -61,26 +71,30 @@ def apply_decisions(manifest: DataFrame, decisions: DataFrame) -> DataFrame:
         return F.max_by(F.when(when, value), F.when(when, F.col("decision_ord")))
 
     action = F.col("action")
+    # a decision without a note leaves the entry's note as it is
     note = F.when(action == "reassign", F.concat(
         F.lit("Reassigned to "), F.col("new_variant_code"), F.lit(" by "), F.col("reviewer"),
         F.lit("; awaiting re-approval"))).otherwise(F.col("reason"))
     state = in_force.groupBy(*IMAGE).agg(
-        F.max_by(F.struct("action", "reviewer"), "decision_ord").alias("final"),
+        F.max_by(F.struct("action", "reviewer", "decided_at"), "decision_ord").alias("final"),
         last(F.col("new_variant_code"), action == "reassign").alias("new_code"),
         last(F.col("image_sku"), (action == "approve") & F.col("image_sku").isNotNull()).alias("new_sku"),
-        last(note, note.isNotNull() & (action != "approve")).alias("new_note"),
+        last(F.col("detected_color"), (action == "approve") & F.col("detected_color").isNotNull()).alias("new_color"),
+        last(note, note.isNotNull()).alias("new_note"),
         F.max(action != "reject").alias("rehashed"))
     code = F.coalesce("new_code", "proposed_variant_code")
     final = F.col("final.action")
     status = (F.when(final == "approve", F.lit("APPROVED")).when(final == "reject", F.lit("REJECTED"))
               .when(final == "reassign", F.lit("PENDING")).otherwise(F.col("approval_status")))
     by = (F.when(final.isNull(), F.col("approved_by")).when(final != "reassign", F.col("final.reviewer")))
+    at = F.when(final.isNull(), F.col("approved_at")).when(final != "reassign", F.col("final.decided_at"))
     hashed = F.when(F.col("rehashed"), assignment_hash(F.col("image_id"), code)).otherwise(F.col("assignment_hash"))
     return (manifest.join(state, IMAGE, "left")
-            .withColumns({"approval_status": status, "approved_by": by, "assignment_hash": hashed,
-                          "image_sku": F.coalesce("new_sku", "image_sku"), "notes": F.col("new_note")})
+            .withColumns({"approval_status": status, "approved_by": by, "approved_at": at, "assignment_hash": hashed,
+                          "image_sku": F.coalesce("new_sku", "image_sku"), "notes": F.coalesce("new_note", "notes"),
+                          "detected_color": F.coalesce("new_color", "detected_color")})
             .withColumn("proposed_variant_code", code)
-            .drop("final", "new_code", "new_sku", "new_note", "rehashed"))
+            .drop("final", "new_code", "new_sku", "new_note", "new_color", "rehashed"))
 
 
 def check(manifest: DataFrame, variants: DataFrame) -> DataFrame:

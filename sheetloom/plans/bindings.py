@@ -205,7 +205,9 @@ select event_id as decision_ord, cast(floor(event_id / 2) as bigint) as image_or
   'user' || cast(user_id as string) as reviewer,
   case when event_type = 'signup' then 'D' || cast(user_id as string) end as new_variant_code,
   case when event_type = 'purchase' and event_id % 3 = 0 then 'IS-' || cast(event_id as string) end as image_sku,
-  case when event_type = 'error' and event_id % 2 = 0 then 'blurred' end as reason
+  case when event_type = 'purchase' and event_id % 4 = 0 then 'Teal' end as detected_color,
+  case when event_type = 'error' and event_id % 2 = 0 then 'blurred' when event_type = 'purchase' and event_id % 5 = 0 then 'looks right' end as reason,
+  't' || cast(event_id as string) as decided_at
 from {events}
 """
 
@@ -292,15 +294,14 @@ from {part}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table; one of fewer files than cores is spread over the cores.
+    """A given table, as its files are split.
 
-    The row-wise work that follows (cell cleaning, text rules, pixel colours)
-    costs far more than moving the rows once.  Large tables have many files and
-    are read as they are.
+    A caller whose tables are one small file each may set ``sheetloom.spread``
+    to a number of partitions; nothing is shuffled unless it is set.
     """
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    spread = spark.conf.get("sheetloom.spread", None)
+    return df.repartition(int(spread)) if spread else df
 
 
 def bind(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
@@ -429,6 +430,8 @@ select run_id, o as manifest_ord, 'img_' || cast(o as string) as image_id, filen
        else 'D' || cast(k as string) end as hash_code,
   'user' || cast(o % 5 as string) as approved_by, '2024-01-0' || cast(o % 9 + 1 as string) as approved_at,
   case o % 6 when 0 then 'IS' || cast(k as string) when 1 then ' ' end as image_sku,
+  case when o % 5 > 1 then 'EXACT_IMAGE_SKU' end as match_strategy, cast(o % 5 as double) / 4 as confidence,
+  case when o % 3 = 0 then 'found by name ' || cast(o % 10 as string) end as notes,
   case when o % 5 = 2 then {_pick('k', _SHADES)} end as detected_color,
   case when o % 8 = 3 then 0.7 end as evidence_confidence,
   case when o % 3 = 1 then 'UNCERTAIN' end as evidence_status,

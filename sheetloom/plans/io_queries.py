@@ -2,11 +2,6 @@
 
 from __future__ import annotations
 
-import io
-import zipfile
-
-import pandas as pd
-from pyarrow import fs as pafs
 from pyspark.sql import functions as F
 
 from sheetloom import fixed_values as fv
@@ -100,39 +95,7 @@ def reject_empty_sources(spark, sf):
     return delimited.empty_sources(b.bind(spark, sf, b.RUNS).select("run_id"), b.sheet_rows(spark, sf), "run_id")
 
 
-# ---------------------------------------------------- archives, documents
-def _zip_block(path: str):
-    """Writes the archive of one block; ``path`` may lie on any file system pyarrow knows."""
-    def write(pdf: pd.DataFrame) -> pd.DataFrame:
-        buffer = io.BytesIO()
-        with zipfile.ZipFile(buffer, "w") as archive:
-            for name, size in zip(pdf["relative_path"], pdf["file_size_bytes"]):
-                archive.writestr(name, b"x" * int(size))
-        name = f"{pdf['run_id'].iloc[0]}-{pdf['block'].iloc[0]}.zip"
-        system, folder = pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path.removeprefix("file:"))
-        system.create_dir(folder, recursive=True)
-        with system.open_output_stream(f"{folder}/{name}") as out:
-            out.write(buffer.getvalue())
-        return pd.DataFrame({"name": [name]})
-
-    return write
-
-
-cte("f_zip", "m_files", "select *, cast(floor(image_ord / 500) as bigint) as block from m_files")
-
-
-@query("archive_inventory", sql(f"""
-select run_id || '-' || block || '.zip' as source_zip, relative_path as source_file, original_filename as filename, file_extension as extension,
-  file_size_bytes as size_bytes, 'PENDING_REVIEW' as status from f_zip where file_extension in {o.in_list(fv.IMAGE_EXTENSIONS)}""", "f_zip"))
-def archive_inventory(spark, sf):
-    """Lists archives written from the image table, five hundred orders per archive."""
-    path = new_path(spark, "archives")
-    listed = b.bind(spark, sf, b.IMAGES).withColumn("block", F.floor(F.col("image_ord") / 500))
-    made = listed.groupBy("run_id", "block").applyInPandas(_zip_block(path), "name string")
-    made.write.format("noop").mode("overwrite").save()
-    return files.archive_inventory(spark, path)
-
-
+# --------------------------------------------------------------- documents
 def _documents(spark, sf):
     products, variants = products_variants(spark, sf)
     parent = products.select("run_id", "product_ord", "product_id", "supplier_name", "catalog_name", "product_name",
@@ -148,16 +111,16 @@ cte("x_images", "r_gallery o_variants", """
 select v.run_id, v.product_ord, v.variant_ord, count(g.image_id) as n from o_variants v
 left join r_gallery g on g.run_id = v.run_id and g.variant_code = v.variant_code group by 1, 2, 3""")
 cte("x_nested", "o_variants x_images o_products", """
-select v.run_id, p.product_id, cast((variant_ord - 1) // 500 as integer) as variant_part, count(*) as variants, sum(n) as images,
-  string_agg(variant_code, ' ' order by variant_ord) as codes
-from o_variants v join x_images using (run_id, product_ord, variant_ord) join o_products p using (run_id, product_ord) group by 1, 2, 3""")
+select p.run_id, p.product_id, coalesce(cast((variant_ord - 1) // 500 as integer), 0) as variant_part, count(variant_ord) as variants, coalesce(sum(n), 0) as images,
+  coalesce(string_agg(variant_code, ' ' order by variant_ord), '') as codes
+from o_products p left join (select * from o_variants v join x_images using (run_id, product_ord, variant_ord)) v using (run_id, product_ord) group by 1, 2, 3""")
 
 
 def _nested_shape(documents):
     return documents.select(
-        "run_id", "product_id", "variant_part", F.size("variants").cast("bigint").alias("variants"),
-        F.aggregate("variants", F.lit(0).cast("bigint"), lambda a, v: a + F.coalesce(F.size(v["images"]), F.lit(0))).alias("images"),
-        F.array_join(F.transform("variants", lambda v: v["variant_code"]), " ").alias("codes"))
+        "run_id", "product_id", "variant_part", F.coalesce(F.size("variants"), F.lit(0)).cast("bigint").alias("variants"),
+        F.aggregate(F.coalesce("variants", F.array().cast(documents.schema["variants"].dataType)), F.lit(0).cast("bigint"), lambda a, v: a + F.coalesce(F.size(v["images"]), F.lit(0))).alias("images"),
+        F.coalesce(F.array_join(F.transform("variants", lambda v: v["variant_code"]), " "), F.lit("")).alias("codes"))
 
 
 @query("export_canonical_nested", sql("select * from x_nested", "x_nested"))
@@ -177,12 +140,12 @@ def read_canonical_nested(spark, sf):
 
 
 @query("read_manifest", sql("""
-select run_id, manifest_ord, image_id, proposed_variant_code, approval_status, assignment_hash, ok as is_valid from r_valid""", "r_valid"))
+select run_id, manifest_ord, image_id, image_path, original_filename, catalog_name, proposed_variant_code, match_status, match_strategy, confidence, image_sku, detected_color,
+  approval_status, approved_by, approved_at, assignment_hash, notes, ok as is_valid from r_valid""", "r_valid"))
 def read_manifest(spark, sf):
     path = new_path(spark, "manifest-json")
     files.write_manifest(rq.manifest(spark, sf), path)
-    return files.read_manifest(spark, path).withColumn("is_valid", review.is_valid()).select(
-        "run_id", "manifest_ord", "image_id", "proposed_variant_code", "approval_status", "assignment_hash", "is_valid")
+    return files.read_manifest(spark, path).withColumn("is_valid", review.is_valid()).drop("proposed_product_id")
 
 
 # ------------------------------------------------------------- flat tables
@@ -204,12 +167,14 @@ _CLEAN = "list_filter(gallery_image_urls, lambda u: u <> '' and u is distinct fr
 
 @query("export_canonical_flat", sql(f"""
 select v.run_id, v.product_ord, v.variant_ord, {_FLAT}, primary_image_url as image_url, {', '.join(f'{_CLEAN}[{i}] as image{i}_url' for i in range(1, 5))},
+  array_to_string(list_transform({_CLEAN}, lambda u: coalesce(u, '')), ' ') as gallery,
   (select count(*) from o_attributes a where a.run_id = v.run_id and a.product_id = v.product_id
      and a.name not in {o.in_list(_FLAT.split(', ') + ['image_url'])}) as attribute_count
 from o_variants v join x_parent using (run_id, product_ord)""", "o_variants x_parent o_attributes"))
 def export_canonical_flat(spark, sf):
     flat = exports.canonical_flat(*products_variants(spark, sf))
-    return flat.withColumn("attribute_count", F.size("attributes").cast("bigint")).drop("attributes")
+    whole = F.array_join(F.transform("gallery_image_urls", lambda u: F.coalesce(u, F.lit(""))), " ")
+    return flat.withColumns({"attribute_count": F.size("attributes").cast("bigint"), "gallery": whole}).drop("attributes", "gallery_image_urls")
 
 
 @query("product_number", sql('select run_id, product_id, no as "No" from x_parent', "x_parent"))
@@ -234,7 +199,7 @@ def positional_image_fallback(spark, sf):
 
 _REMOTE = "({0} like 'http://%' or {0} like 'https://%' or contains({0}, 'blob.vercel-storage.com'))"
 cte("x_hosted", "r_uploads", f"""
-select run_id, variant_code, list(blob_url order by sort_index)[1:5] as hosted from r_uploads where {_REMOTE.format('blob_url')} group by 1, 2""")
+select run_id, variant_code, list(blob_url order by sort_index) as hosted from r_uploads where {_REMOTE.format('blob_url')} group by 1, 2""")
 cte("x_hero", "o_variants x_hosted", f"""
 select *, case when len(own) > 0 then own else list_filter(coalesce(hosted, []), lambda u: u <> hero_url) end as gallery
 from (select v.*, h.hosted, case when coalesce({_REMOTE.format('primary_image_url')}, false) then primary_image_url else coalesce(h.hosted[1], '') end as hero_url,

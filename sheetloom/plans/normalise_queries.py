@@ -32,20 +32,10 @@ def _keyed(spark, sf):
     return n.keyed_rows(_rows(spark, sf))
 
 
-STAGED: dict[tuple, tuple] = {}
-
-
 def products_variants(spark, sf):
-    """Products and variants of the given tables, written once per session.
-
-    Some thirty queries start from them; ``bench.py`` empties ``STAGED`` before
-    each timing, so that every timed query pays for its own input.
-    """
-    key = (id(spark), sf)
-    if key not in STAGED:
-        products, variants = n.normalise(_rows(spark, sf))
-        STAGED[key] = (spark, products, written(variants, "variants"))
-    return STAGED[key][1:]
+    """Products and variants of the given tables; variants are written, as several branches read them."""
+    products, variants = n.normalise(_rows(spark, sf))
+    return products, written(variants, "variants")
 
 
 @query("normalize_headers", sql("select distinct run_id, header, nkey as key from b_cells", "b_cells"))

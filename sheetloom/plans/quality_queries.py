@@ -72,8 +72,8 @@ RULES = {
         "'Product ''' || catalog_name || ''' has no child variants'", "variants"),
     "SHARED_SUPPLIER_SKU": (
         "select run_id, product_ord, cast(null as int) as variant_ord, 'INFO' as severity, 'SHARED_SUPPLIER_SKU' as code, "
-        "'Product ''' || any_value(catalog_name) || ''' has multiple variants sharing supplier SKU(s): ' || min(supplier_sku) "
-        "|| ' (' || count(*) || ' shared)' as message, 'supplier_sku' as field, "
+        "'Product ''' || any_value(catalog_name) || ''' has multiple variants sharing supplier SKU(s): ' "
+        "|| string_agg(supplier_sku, ', ' order by supplier_sku) as message, 'supplier_sku' as field, "
         f"{_NONE_SKU} as supplier_sku, {_NONE_SKU} as variant_code, cast(null as int) as source_row "
         "from (select run_id, product_ord, catalog_name, supplier_sku from d_named where supplier_sku <> '' "
         "group by all having count(*) > 1) s group by run_id, product_ord"),

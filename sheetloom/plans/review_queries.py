@@ -64,7 +64,8 @@ select image_ord, arg_max(action, decision_ord) as final, arg_max(reviewer, deci
   arg_max(new_variant_code, decision_ord) filter (where action = 'reassign') as code,
   arg_max(image_sku, decision_ord) filter (where action = 'approve' and image_sku is not null) as sku,
   arg_max(case when action = 'reassign' then 'Reassigned to ' || new_variant_code || ' by ' || reviewer || '; awaiting re-approval' else reason end, decision_ord)
-    filter (where action = 'reassign' or (action = 'reject' and reason is not null)) as note,
+    filter (where action = 'reassign' or reason is not null) as note,
+  arg_max(detected_color, decision_ord) filter (where action = 'approve' and detected_color is not null) as color, arg_max(decided_at, decision_ord) as decided,
   bool_or(action <> 'reject') as rehashed
 from r_force group by 1""")
 
@@ -78,13 +79,15 @@ def _decisions(spark, sf, entries):
 select m.run_id, m.image_id, coalesce(s.code, m.proposed_variant_code) as proposed_variant_code,
   case final when 'approve' then 'APPROVED' when 'reject' then 'REJECTED' when 'reassign' then 'PENDING' else approval_status end as approval_status,
   case when final is null then approved_by when final <> 'reassign' then who end as approved_by,
-  coalesce(s.sku, m.image_sku) as image_sku, s.note as notes,
+  case when final is null then approved_at when final <> 'reassign' then decided end as approved_at, coalesce(s.color, m.detected_color) as detected_color,
+  coalesce(s.sku, m.image_sku) as image_sku, coalesce(s.note, m.notes) as notes,
   case when rehashed then {_hash('m.image_id', "coalesce(s.code, m.proposed_variant_code, 'UNASSIGNED')")} else assignment_hash end as assignment_hash
 from r_manifest m left join r_state s on s.image_ord = m.manifest_ord""", "r_manifest r_state"))
 def apply_review_decisions(spark, sf):
     entries = manifest(spark, sf)
     return review.apply_decisions(entries, _decisions(spark, sf, entries)).select(
-        "run_id", "image_id", "proposed_variant_code", "approval_status", "approved_by", "image_sku", "notes", "assignment_hash")
+        "run_id", "image_id", "proposed_variant_code", "approval_status", "approved_by", "approved_at", "detected_color", "image_sku", "notes",
+        "assignment_hash")
 
 
 @query("check_manifest", sql("""

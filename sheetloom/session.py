@@ -1,34 +1,51 @@
-"""Where intermediate tables are written, and how they are read back."""
+"""Where intermediate tables are written, how they are read back and removed."""
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_folder: str | None = None
+_paths: dict[str, list[str]] = {}  # written tables by application
+_local: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder for intermediate tables: ``spark.checkpoint.dir`` of the session.
 
-    Only a local session (tests, one machine) may run without the setting; a
-    cluster needs a folder that every executor can reach.
+    Only a local session (tests, one machine) may run without the setting; it
+    gets a folder that is removed when the process ends. A cluster needs a
+    folder that every executor can reach.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.split("[")[0] == "local":
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    global _local_folder
-    if _local_folder is None:
-        _local_folder = tempfile.mkdtemp(prefix="sheetloom-")
-    return _local_folder
+    if not _local:
+        _local.append(tempfile.mkdtemp(prefix="sheetloom-"))
+        atexit.register(shutil.rmtree, _local[0], ignore_errors=True)
+    return _local[0]
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/sheetloom/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/sheetloom/{name}-{uuid.uuid4().hex}"
+    _paths.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clean_up(spark: SparkSession) -> int:
+    """Remove all intermediate tables of this application; call it when no result is needed any more."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    gone = 0
+    for path in _paths.pop(spark.sparkContext.applicationId, []):
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        gone += bool(place.getFileSystem(conf).delete(place, True))
+    return gone
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -1,8 +1,10 @@
 """Delimited catalogue sheets: many files, any header, any of four delimiters.
 
-The files are read as lines in one scan.  Row numbers come from the place of a
-line in its file split and the number of lines in the splits before it, so a
-huge file is numbered by many tasks.
+The files are read as lines in one scan. A line's number is its place among
+the kept lines of its file split, which rise by one, behind the lines of the
+splits before it; only counts per split are shuffled, never the lines. Cells
+are cut by a pattern, so a row may have any number of them. A quoted cell may
+hold delimiters and quotes; one that holds a line break is not put together.
 """
 
 from __future__ import annotations
@@ -15,21 +17,25 @@ from sheetloom.sources.layouts import effective_keys_column
 
 DELIMITERS = [",", "\t", ";", "|"]
 FILE = "source_file"
+_SPLIT = [FILE, "split"]
 
 
 def lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Non-blank lines with their number; the header is line 1."""
+    """Lines with their number; the header is line 1.
+
+    Blank lines do not count. A line of tabs only counts: it is an empty row of
+    a tab file (in other files :func:`scan` leaves it out).
+    """
     raw = (spark.read.option("recursiveFileLookup", "true").text(paths)
-           .select(F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias("split"),
-                   F.monotonically_increasing_id().alias("id"), "value"))
-    kept = raw.where(c.pystrip("value") != "")
+           .select(F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias("split"), "value"))
+    blank = F.trim("value", F.lit(c.WHITE_SPACE.replace("\t", ""))) == ""
+    # numbered behind the filter, so the numbers of a split rise by one
+    kept = raw.where(~blank).withColumn("id", F.monotonically_increasing_id())
     earlier = Window.partitionBy(FILE).orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (kept.groupBy(FILE, "split").agg(F.count(F.lit(1)).alias("n"))
-               .withColumn("before", F.sum("n").over(earlier)).where(F.col("before") > 0).drop("n"))
-    inside = Window.partitionBy(FILE, "split").orderBy("id")
-    return (kept.withColumn("pos", F.row_number().over(inside)).join(offsets, [FILE, "split"], "left")
-            .select(FILE, (F.col("pos") + F.coalesce("before", F.lit(0))).cast("int").alias("line_no"),
-                    F.regexp_replace("value", "^﻿", "").alias("value")))
+    places = (kept.groupBy(*_SPLIT).agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first"))
+              .select(*_SPLIT, (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first")).alias("shift")))
+    return kept.join(places, _SPLIT).select(
+        FILE, (F.col("id") + F.col("shift") + 1).cast("int").alias("line_no"), F.regexp_replace("value", "^\ufeff", "").alias("value"))
 
 
 def infer_delimiters(header_lines: DataFrame) -> DataFrame:
@@ -48,36 +54,57 @@ def infer_delimiters(header_lines: DataFrame) -> DataFrame:
                                best["n"].alias("delimiter_count"))
 
 
-def _parsed(width: int) -> Column:
-    """Cells of a line as an array, by the delimiter of its file."""
-    schema = ", ".join(f"c{i} string" for i in range(width))
+def _cut(line: Column, d: str) -> Column:
+    """Cells of a line: quoted ones without their quotes, doubled quotes single."""
+    sep = "\\" + d if d == "|" else d
+    quoted = '"([^"]*+(?:""[^"]*+)*+)"'
+    every = F.regexp_extract_all(F.concat(line, F.lit(d)), F.lit(f'({quoted}[^{sep}]*|[^{sep}]*){sep}'), F.lit(1))
+
+    def bare(x: Column) -> Column:
+        inner = F.replace(F.regexp_extract(x, f"(?s)^{quoted}(.*)$", 1), F.lit('""'), F.lit('"'))
+        return F.when(x.rlike(f"(?s)^{quoted}"), F.concat(inner, F.regexp_extract(x, f"(?s)^{quoted}(.*)$", 2))).otherwise(x)
 
-    def with_sep(d: str) -> Column:
-        row = F.from_csv("value", schema, {"sep": d, "quote": '"', "escape": '"', "mode": "PERMISSIVE"})
-        return F.array(*[row[f"c{i}"] for i in range(width)])
+    return F.transform(every, bare)
 
-    out = F.when(F.col("delimiter") == DELIMITERS[0], with_sep(DELIMITERS[0]))
+
+def _parsed() -> Column:
+    """Cells of a line as an array, by the delimiter of its file."""
+    out = F.when(F.col("delimiter") == DELIMITERS[0], _cut(F.col("value"), DELIMITERS[0]))
     for d in DELIMITERS[1:]:
-        out = out.when(F.col("delimiter") == d, with_sep(d))
+        out = out.when(F.col("delimiter") == d, _cut(F.col("value"), d))
     return out
 
 
-def scan(spark: SparkSession, paths: str | list[str], run_id: Column | None = None) -> DataFrame:
-    """Raw sheet rows of all files: ``run_id, source_file, row_number, headers, keys, cells``."""
+def _all_rows(spark: SparkSession, paths: str | list[str], run_id: Column | None) -> DataFrame:
     every = lines(spark, paths)
     heads = infer_delimiters(every.where(F.col("line_no") == 1))
-    width = (heads.agg(F.max("delimiter_count")).first()[0] or 0) + 1
-    named_upto = F.array_max(F.transform("row", lambda h, i: F.when(h.isNotNull(), i + F.lit(1))))
-    named = (heads.withColumn("row", _parsed(width)).withColumn("columns", named_upto)
-             .withColumn("headers", F.transform(F.slice("row", F.lit(1), F.col("columns")),
-                                                lambda h: F.coalesce(c.pystrip(h), F.lit(""))))
-             .withColumn("keys", effective_keys_column(F.transform("headers", c.header_key)))
-             .select(FILE, "delimiter", "columns", "headers", "keys"))
-    rows = every.where(F.col("line_no") > 1).join(named, FILE)
-    cells = F.transform(F.slice(_parsed(width), F.lit(1), F.col("columns")), lambda x: F.nullif(x, F.lit("")))
-    sheet = rows.select(FILE, F.col("line_no").alias("row_number"), "headers", "keys", cells.alias("cells"))
-    return sheet.withColumn("run_id", F.col(FILE) if run_id is None else run_id).select(
-        "run_id", FILE, "row_number", "headers", "keys", "cells")
+    name = F.transform(_parsed(), lambda h, i: F.when(c.pystrip(h) != "", c.pystrip(h)).otherwise(F.concat(F.lit("Unnamed: "), i.cast("string"))))
+    named = (heads.withColumn("headers", name).withColumn("keys", effective_keys_column(F.transform("headers", c.header_key)))
+             .select(FILE, "delimiter", "headers", "keys"))
+    rows = every.where(F.col("line_no") > 1).join(named, FILE).where((F.col("delimiter") == "\t") | (c.pystrip("value") != ""))
+    sheet = rows.select(FILE, F.col("line_no").alias("row_number"), "headers", "keys", _parsed().alias("all_cells"))
+    return sheet.withColumn("run_id", F.col(FILE) if run_id is None else run_id)
+
+
+def _too_long() -> Column:
+    return F.size("all_cells") > F.size("headers")
+
+
+def scan(spark: SparkSession, paths: str | list[str], run_id: Column | None = None) -> DataFrame:
+    """Raw sheet rows of all files: ``run_id, source_file, row_number, headers, keys, cells``.
+
+    A column without a name is called after its place; a row with more cells
+    than the header is left to :func:`scan_rejects`; missing cells are null.
+    """
+    rows = _all_rows(spark, paths, run_id).where(~_too_long())
+    cells = F.transform("headers", lambda h, i: F.nullif(F.get("all_cells", i), F.lit("")))
+    return rows.select("run_id", FILE, "row_number", "headers", "keys", cells.alias("cells"))
+
+
+def scan_rejects(spark: SparkSession, paths: str | list[str], run_id: Column | None = None) -> DataFrame:
+    """Rows with more cells than their header has columns."""
+    return _all_rows(spark, paths, run_id).where(_too_long()).select("run_id", FILE, "row_number", F.concat(
+        F.lit("Expected "), F.size("headers").cast("string"), F.lit(" fields, saw "), F.size("all_cells").cast("string")).alias("reason"))
 
 
 def cells(rows: DataFrame) -> DataFrame:

@@ -1,5 +1,3 @@
-import zipfile
-
 from pyspark.sql import functions as F
 
 from sheetloom.operators import exports
@@ -7,7 +5,7 @@ from sheetloom.operators import images as im
 from sheetloom.sources import delimited, files
 
 
-def test_folder_and_archives(spark, tmp_path):
+def test_folder(spark, tmp_path):
     (tmp_path / "a" / "b").mkdir(parents=True)
     for name in ("img10.png", "a/img2.JPG", "a/b/x.webp", "a/data.csv"):
         (tmp_path / name).write_bytes(b"12345")
@@ -16,12 +14,6 @@ def test_folder_and_archives(spark, tmp_path):
     assert {(r.relative_path, r.file_extension) for r in kept.collect()} == {
         ("img10.png", ".png"), ("a/img2.JPG", ".jpg"), ("a/b/x.webp", ".webp")}
     assert [r.original_filename for r in im.ignored_files(listed).collect()] == ["data.csv"]
-    with zipfile.ZipFile(tmp_path / "one.zip", "w") as z:
-        z.writestr("in/p.png", b"123")
-        z.writestr("in/readme.md", b"1")
-    got = files.archive_inventory(spark, str(tmp_path)).collect()
-    assert [(r.source_zip, r.source_file, r.filename, r.size_bytes, r.status) for r in got] == [
-        ("one.zip", "in/p.png", "p.png", 3, "PENDING_REVIEW")]
 
 
 def test_delimiters_and_row_numbers_over_splits(spark, tmp_path):
@@ -43,3 +35,60 @@ def test_formula_safe_csv(spark, tmp_path):
     df = spark.createDataFrame([("=1+1", {"a": "b"}, 1.5), ("plain", None, None)], "t string, m map<string,string>, n double")
     safe = {r.n: r for r in exports.safe_table(df).collect()}
     assert safe[1.5].t == "'=1+1" and safe[1.5].m == '{"a":"b"}' and safe[None].t == "plain"
+
+
+def _product(ord_):
+    return ("r", ord_, f"p{ord_}", "s", "c", "n", None, 1.0)
+
+
+def test_documents_with_many_images_and_without_variants(spark, tmp_path):
+    products = spark.createDataFrame([_product(1), _product(2)], "run_id string, product_ord bigint, product_id string, supplier_name string, "
+                                     "catalog_name string, product_name string, product_group string, supplier_price double")
+    variants = spark.createDataFrame(
+        [("r", 1, 1, "V1", None, "v", None, None, None, None, None, 1, False, "x", "u0", ["u1", "u0"], {"a": "b"})],
+        "run_id string, product_ord bigint, variant_ord int, variant_code string, supplier_sku string, variant_name string, image_sku string, color string, "
+        "size string, supplier_cost double, selling_price double, stock_quantity int, publish boolean, review_status string, primary_image_url string, "
+        "gallery_image_urls array<string>, attributes map<string,string>")
+    images = spark.range(1200).select(F.lit("r").alias("run_id"), F.lit(1).cast("long").alias("product_ord"), F.lit(1).alias("variant_ord"),
+                                      F.col("id").cast("int").alias("sort_index"), F.concat(F.lit("i"), F.col("id").cast("string")).alias("image_id"),
+                                      F.lit("f").alias("original_filename"), (F.col("id") == 0).alias("is_primary"))
+    documents = exports.canonical_documents(products, variants, images)
+    assert documents.where("product_ord = 2").count() == 1
+    exports.write_canonical_json(documents, str(tmp_path / "d"))
+    back = files.canonical_documents(spark, str(tmp_path / "d"))
+    assert back.select("product_id").distinct().count() == 2
+    rows = files.canonical_variants(back).collect()
+    assert len(rows) == 1 and [i.sort_index for i in rows[0].images] == list(range(1200)) and rows[0].gallery_image_urls == ["u1"]
+
+
+def test_gallery_keeps_what_the_hero_leaves(spark):
+    variants = spark.createDataFrame([("r", "V", None, [])], "run_id string, variant_code string, primary_image_url string, gallery_image_urls array<string>")
+    urls = ["https://h", "https://h", "https://a", "https://b", "https://c", "https://d", "https://e"]
+    uploads = spark.createDataFrame([("r", "V", i, u) for i, u in enumerate(urls)], "run_id string, variant_code string, sort_index int, blob_url string")
+    row = exports.with_hero(variants, uploads).first()
+    assert row.hero_url == "https://h" and row.gallery == ["https://a", "https://b", "https://c", "https://d"]
+
+
+def test_flat_table_keeps_a_long_gallery(spark):
+    products = spark.createDataFrame([("r", 1, "s", "c", None, "n", None, None, None, None, 1.0, 5.0, {})],
+                                     "run_id string, product_ord bigint, supplier_name string, catalog_name string, product_group string, product_name string, "
+                                     "product_type string, category_slug string, brand_name string, description string, supplier_price double, gst_percent double, "
+                                     "attributes map<string,string>")
+    urls = [f"u{i}" for i in range(1, 7)]
+    variants = spark.createDataFrame([("r", 1, 1, "V", "v", None, None, None, None, 1.0, None, 1, False, "x", "u0", urls, {})],
+                                     "run_id string, product_ord bigint, variant_ord int, variant_code string, variant_name string, supplier_sku string, image_sku string, "
+                                     "color string, size string, supplier_cost double, selling_price double, stock_quantity int, publish boolean, review_status string, "
+                                     "primary_image_url string, gallery_image_urls array<string>, attributes map<string,string>")
+    row = exports.canonical_flat(products, variants).first()
+    assert row.gallery_image_urls == urls and row.image4_url == "u4"
+
+
+def test_unnamed_columns_long_rows_and_lines_of_tabs(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('Name,Note,,\nx,"a,""b""",7,\n\t\t\ny,b,,8\nz,1,2,3,4\n  \nlast,,,\n')
+    (tmp_path / "b.tsv").write_text("A\tB\n1\t2\n\t\n3\t4\n")
+    got = {(r.source_file.rsplit("/", 1)[1], r.row_number): r for r in delimited.scan(spark, str(tmp_path)).collect()}
+    first = got["a.csv", 2]
+    assert (first.headers, first.cells) == (["Name", "Note", "Unnamed: 2", "Unnamed: 3"], ["x", 'a,"b"', "7", None])
+    assert [r.cells for (f, _), r in sorted(got.items()) if f == "b.tsv"] == [["1", "2"], [None, None], ["3", "4"]]
+    assert [r.cells[0] for (f, _), r in sorted(got.items()) if f == "a.csv"] == ["x", "y", "last"]
+    assert [r.reason for r in delimited.scan_rejects(spark, str(tmp_path)).collect()] == ["Expected 4 fields, saw 5"]

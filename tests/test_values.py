@@ -58,3 +58,9 @@ def test_description(one):
     text = one(titles.product_description, None, "Rajtex", "Noor", "Silk", "Silk", "Zari", None, "Saree", 1415.0)
     assert text == ("Discover this elegant Silk Saree from Rajtex (Noor Collection). Showcases exquisite Zari. "
                     "Includes a matching coordinated blouse piece. Single piece dropshipping price: ₹1,415.")
+
+
+def test_absurd_numbers_do_not_stop_a_job(one):
+    assert one(lambda x: c.amount_text(x.cast("double")), "123456789012345678901234").endswith(".00")
+    assert one(lambda x: c.amount_text(x.cast("double")), "1e300") is None
+    assert one(lambda x: c.clean_int(x), "123456789012345678901234") is None
