@@ -14,14 +14,18 @@ from sheetloom import fixed_values as fv
 IMAGE = ["run_id", "image_id"]
 
 
-def crop(pixels: DataFrame) -> DataFrame:
-    """Pixels of the central part; lower for tall images."""
+def is_inside() -> Column:
+    """Pixels of the central part; lower for tall images. Images that are too small have none."""
     w, h = F.col("width"), F.col("height")
     cw, ch = F.floor(w * fv.CROP_RATIO), F.floor(h * fv.CROP_RATIO)
     left = F.floor((w - cw) / 2)
     top = F.least(F.when(h > 100, F.floor(h * fv.CROP_TOP)).otherwise(F.floor((h - ch) / 2)), h - ch)
     inside = (F.col("x") >= left) & (F.col("x") < left + cw) & (F.col("y") >= top) & (F.col("y") < top + ch)
-    return pixels.where((w >= fv.SMALL_SIDE) & (h >= fv.SMALL_SIDE) & inside)
+    return (w >= fv.SMALL_SIDE) & (h >= fv.SMALL_SIDE) & inside
+
+
+def crop(pixels: DataFrame) -> DataFrame:
+    return pixels.where(is_inside())
 
 
 def with_hsv(pixels: DataFrame) -> DataFrame:
@@ -57,15 +61,30 @@ def family(name: Column) -> Column:
     return F.coalesce(F.try_element_at(table, name), name)
 
 
+def _all_counts(pixels: DataFrame) -> DataFrame:
+    """Per image and colour: pixels inside the crop, and the image's shorter side.
+
+    The null colour holds the pixels without a vote and those outside, so that
+    every image has a row.
+    """
+    inside = F.col("inside")
+    judged = with_hsv(pixels.withColumn("inside", is_inside()))
+    name = F.when(inside & F.col("is_chromatic"), colour_name())
+
+    def total(x: Column) -> Column:
+        return F.sum(F.when(inside, x).otherwise(F.lit(0)))
+
+    return (judged.groupBy(*IMAGE, name.alias("colour")).agg(
+        F.count_if(inside).alias("n"), F.count_if(inside & F.col("is_valid")).alias("n_valid"),
+        F.count_if(inside & F.col("is_chromatic")).alias("n_voting"),
+        total(F.when(F.col("is_valid"), F.col("top")).otherwise(F.lit(0))).alias("sum_value"),
+        *[total(F.col(x)).alias(f"sum_{x}") for x in ("r", "g", "b")], F.min(F.least("width", "height")).alias("side"))
+        .withColumn("family", family(F.col("colour"))))
+
+
 def colour_counts(pixels: DataFrame) -> DataFrame:
     """Pixels per image and colour; the null colour holds the pixels without a vote."""
-    name = F.when(F.col("is_chromatic"), colour_name())
-    return (with_hsv(crop(pixels)).groupBy(*IMAGE, name.alias("colour")).agg(
-        F.count(F.lit(1)).alias("n"), F.count_if("is_valid").alias("n_valid"),
-        F.count_if("is_chromatic").alias("n_voting"),
-        F.sum(F.when(F.col("is_valid"), F.col("top")).otherwise(F.lit(0))).alias("sum_value"),
-        *[F.sum(x).alias(f"sum_{x}") for x in ("r", "g", "b")])
-        .withColumn("family", family(F.col("colour"))))
+    return _all_counts(pixels).where(F.col("n") > 0).drop("side")
 
 
 def _hundredths(n: Column, total: Column, scale: int) -> Column:
@@ -83,9 +102,9 @@ def _hex(*parts: Column) -> Column:
 
 def dominant(pixels: DataFrame) -> DataFrame:
     """One colour result per image."""
-    counts = colour_counts(pixels)
+    counts = _all_counts(pixels)
     totals = counts.groupBy(*IMAGE).agg(
-        F.sum("n").alias("total"), F.sum("n_valid").alias("valid"), F.sum("sum_value").alias("sum_value"),
+        F.min("side").alias("side"), F.sum("n").alias("total"), F.sum("n_valid").alias("valid"), F.sum("sum_value").alias("sum_value"),
         F.coalesce(F.sum("n_voting"), F.lit(0)).alias("chromatic"))
     votes = counts.where(F.col("n_voting") > 0)  # a filter on the count stays above the aggregate
     families = votes.groupBy(*IMAGE, "family").agg(
@@ -94,14 +113,13 @@ def dominant(pixels: DataFrame) -> DataFrame:
     order = Window.partitionBy(*IMAGE).orderBy(F.desc("votes"), "family")
     ranked = (families.withColumn("place", F.row_number().over(order))
               .withColumn("second", F.lead(F.struct("family", "votes")).over(order)).where(F.col("place") == 1))
-    images = pixels.groupBy(*IMAGE).agg(F.min(F.least("width", "height")).alias("side"))
-    j = images.join(totals, IMAGE, "left").join(ranked, IMAGE, "left")
+    j = totals.join(ranked, IMAGE, "left")
     total, chroma, votes_ = F.col("total"), F.col("chromatic"), F.col("votes")
     tiny = F.col("side") < fv.SMALL_SIDE
-    empty = total.isNull()
+    empty = total == 0
     neutral = chroma < total * fv.CHROMATIC_SHARE
     background = neutral & (F.col("valid") < total * fv.VALID_SHARE)
-    value = F.col("sum_value") / F.col("valid")
+    value = F.col("sum_value") / F.nullif("valid", F.lit(0))
     tone = F.when(value > 0.75 * 255, F.lit("White")).when(value < 0.25 * 255, F.lit("Black")).otherwise(F.lit("Grey"))
     lead = votes_ - F.coalesce(F.col("second.votes"), F.lit(0))
     unsure = (votes_ < chroma * fv.TOP_SHARE) | (F.col("second").isNotNull() & (lead < chroma * fv.TOP_LEAD))

@@ -158,6 +158,19 @@ def positional_images(images: DataFrame) -> DataFrame:
         "run_id", F.col("natural_ord").alias("variant_ord"), stem(F.col("original_filename")).alias("stand_in_sku"))
 
 
+SALTS = 16
+
+
+def with_stand_ins(variants: DataFrame, images: DataFrame) -> DataFrame:
+    """Variants with the stem of the image that stands in for them.
+
+    All first variants of a run meet one image; salts spread them.
+    """
+    spread = positional_images(images).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = variants.withColumn("salt", F.pmod(F.xxhash64("product_ord"), F.lit(SALTS)).cast("int"))
+    return salted.join(spread, ["run_id", "variant_ord", "salt"], "left").drop("salt")
+
+
 def import_table(products: DataFrame, variants: DataFrame, images: DataFrame | None = None,
                  uploads: DataFrame | None = None) -> DataFrame:
     """The 26-column import table."""
@@ -178,7 +191,7 @@ def import_table(products: DataFrame, variants: DataFrame, images: DataFrame | N
             "product_type", "supplier_price")).alias("description"))
     rows = with_hero(variants, uploads).join(titled.drop("product_name"), PRODUCT)
     if images is not None:
-        rows = rows.join(positional_images(images), ["run_id", "variant_ord"], "left")
+        rows = with_stand_ins(rows, images)
     else:
         rows = rows.withColumn("stand_in_sku", F.lit(None).cast("string"))
     name = F.when(F.col("color") != "", F.col("color")).when(

@@ -241,7 +241,11 @@ select * from (
     'V ' || cast(n_chars % 40 as string) || '/' || lang as variant_code,
     'My Image (' || cast(n_chars % 7 as string) || ') copy' ||
       case doc_id % 5 when 0 then '.PNG' when 1 then '.jpg' when 2 then '.webp' when 3 then '.bin' else '.jpeg' end as filename,
-    case when doc_id % 4 = 0 then lang else text end as content
+    text as content
+  from {documents}
+  union all
+  select 2000000000 + doc_id as ord, source as supplier_name, 'Cat ' || lang as catalog_name, 'L' || cast(doc_id % 30 as string) as variant_code,
+    'lang.bin' as filename, lang as content
   from {documents}
   union all
   select 1000000000 + page_id as ord, 'Page Co, Surat' as supplier_name, 'Pages #1' as catalog_name,
@@ -449,7 +453,7 @@ select run_id, 'img_' || cast(o as string) as image_id,
   case when o % 2 = 0 then coalesce({_pick('k', _SHADES)}, 'Grey') end as canonical_color,
   cast(o % 50 + 50 as double) / 100 as confidence, case when o % 2 = 0 then '#0a0b0c' end as hex_code,
   o % 4 in (1, 3) as is_ambiguous, case when o % 4 = 1 then 'Multi-tonal image' end as notes
-from (select o_orderkey as o, o_custkey as k, {run_columns('o_custkey')} from {{orders}} where o_orderpriority <> '5-LOW') c
+from (select o_orderkey as o, o_custkey as k, {run_columns('o_custkey')} from {{orders}}) c
 """
 # Validation findings that name a variant code or only a SKU.
 ISSUES = f"""

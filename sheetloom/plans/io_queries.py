@@ -19,11 +19,12 @@ from sheetloom.session import new_path, written
 from sheetloom.sources import delimited, files
 
 # ------------------------------------------------------------ sheet files
+_SHEET_ROWS = 5_000
 _DELIMITERS = {"0": ",", "1": "\t", "2": ";", "3": "|"}
 
 
 def _sheet_folder(spark, sf):
-    """Writes the listing as one delimited file per run; each run has its own delimiter."""
+    """Writes the listing as delimited files; each run has its own delimiter, a long run several files."""
     rows = b.sheet_rows(spark, sf)
     style = F.when(F.col("run_id") == "run-hot", F.lit("0")).otherwise(
         (F.regexp_extract("run_id", r"(\d+)$", 1).cast("int") % 4).cast("string"))
@@ -37,8 +38,10 @@ def _sheet_folder(spark, sf):
     heads = rows.groupBy("run_id").agg(F.min_by("headers", "row_number").alias("headers")).select(
         "run_id", F.lit(1).alias("row_number"), F.replace(line(F.col("headers")), F.lit("\u0000"), sep).alias("value"))
     path = new_path(spark, "sheets")
-    (data.unionByName(heads).repartition("run_id").sortWithinPartitions("run_id", "row_number")
-     .drop("row_number").write.partitionBy("run_id").text(path))
+    parted = data.withColumn("part", F.floor(F.col("row_number") / _SHEET_ROWS).cast("int"))
+    every = parted.unionByName(heads.join(parted.select("run_id", "part").distinct(), "run_id"))
+    (every.repartition("run_id", "part").sortWithinPartitions("run_id", "part", "row_number")
+     .drop("row_number").write.partitionBy("run_id", "part").text(path))
     return path
 
 
@@ -46,7 +49,7 @@ def _run_of_path():
     return F.regexp_extract(delimited.FILE, r"run_id=([^/]+)/", 1)
 
 
-cte("f_rows", "b_listing", "select *, row_number() over (partition by run_id order by row_number) + 1 as line_no from b_listing")
+cte("f_rows", "b_listing", f"select *, row_number() over (partition by run_id, floor(row_number / {_SHEET_ROWS}) order by row_number) + 1 as line_no from b_listing")
 
 
 @query("scan_catalogue_cells", sql("""
@@ -61,7 +64,7 @@ def scan_catalogue_cells(spark, sf):
 select distinct run_id, case style when 1 then chr(9) when 2 then ';' when 3 then '|' else ',' end as delimiter from b_listing""", "b_listing"))
 def infer_delimiter(spark, sf):
     heads = delimited.lines(spark, _sheet_folder(spark, sf)).where(F.col("line_no") == 1)
-    return delimited.infer_delimiters(heads).select(_run_of_path().alias("run_id"), "delimiter")
+    return delimited.infer_delimiters(heads).select(_run_of_path().alias("run_id"), "delimiter").distinct()
 
 
 cte("f_attr", "b_attr", "select *, trim(key) as k from b_attr")
@@ -192,8 +195,7 @@ select v.run_id, v.product_ord, v.variant_ord, coalesce(nullif(v.image_sku, ''),
 from o_variants v left join x_stand_in s on s.run_id = v.run_id and s.variant_ord = v.variant_ord""", "o_variants x_stand_in"))
 def positional_image_fallback(spark, sf):
     variants = products_variants(spark, sf)[1]
-    stand_ins = exports.positional_images(image_rows(spark, sf))
-    return variants.join(stand_ins, ["run_id", "variant_ord"], "left").select(
+    return exports.with_stand_ins(variants, image_rows(spark, sf)).select(
         "run_id", "product_ord", "variant_ord", F.coalesce(F.nullif("image_sku", F.lit("")), "stand_in_sku", F.lit("")).alias("image_sku"))
 
 

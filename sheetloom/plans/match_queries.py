@@ -26,7 +26,7 @@ def image_facts(spark, sf, images):
 def _natural(x: str) -> str:
     bare = "regexp_replace(w, '^0+(.)', '\\1')"
     parts = (f"list_aggregate(list_transform(regexp_extract_all(lower({x}), '\\d+|\\D+'), lambda w: "
-             f"case when regexp_matches(w, '^[0-9]') then lpad(cast(len({bare}) as varchar), 3, '0') || {bare} else w end), "
+             f"case when regexp_matches(w, '^[0-9]') then lpad(cast(len({bare}) as varchar), 10, '0') || {bare} else w end), "
              "'string_agg', chr(1))")
     return f"case when regexp_matches({x}, '^[0-9]') then chr(1) || {parts} else {parts} end"
 

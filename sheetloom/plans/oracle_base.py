@@ -92,7 +92,7 @@ def prefix_of(x: str) -> str:
 
 
 def money(x: str) -> str:
-    return f"cast(cast({x} as decimal(18,2)) as varchar)"
+    return f"cast(cast({x} as decimal(38,2)) as varchar)"
 
 
 def two(x: str) -> str:

@@ -37,7 +37,7 @@ def _variant_rule(where: str, severity: str, code: str, message: str, field: str
 
 
 def _money(x: str) -> str:
-    return f"cast(cast({x} as decimal(18,2)) as varchar)"
+    return f"cast(cast({x} as decimal(38,2)) as varchar)"
 
 
 _V = "'Variant ''' || code || ''''"
