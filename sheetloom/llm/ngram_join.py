@@ -7,13 +7,17 @@ B and C put classes of rare buckets first and order them by two other hashes. A
 its sizes fit and its prefixes meet under A, B and C.
 
 1. Token counts by hash bucket (a table of fixed size) over all documents; they only shape the orders.
-2. One row per document: fingerprint of its set, prefixes. Documents with equal sets are one *class*.
+2. One row per document: fingerprint of its set, A prefix, and a histogram of the set over a few cells.
+   Documents with equal sets are one *class*.
 3. Tokens in the A prefixes of two classes or more; each brings its classes together in tiles of at most
-   two blocks, split by hash, so that no token's group must fit into one task. Within a tile sizes, home
-   (a pair belongs to the smallest token that its A prefixes share) and B prefixes are compared; what
-   leaves a tile is one row per class that still has a partner, never pairs.
-4. Texts of those classes only are fetched and meet in their tiles again; C and the exact intersection of
-   whole sets decide. A tile returns the links of each class and one edge to its tile's smallest relative.
+   two blocks, split by hash, so that no token's group must fit into one task. Sizes, places (a token
+   that is the first common one bounds what can follow) and histograms (no pair shares more tokens than
+   the sum of their cells' minima) leave the classes that have a partner; then a pair is given to the
+   first token that it shares under A. What leaves a tile is one row per class that still has a partner,
+   never pairs.
+4. Texts of those classes only are fetched and meet in their tiles again. Pairs whose prefixes do not meet
+   under B and C as well go; the exact intersection of whole sets decides. A tile returns the links of each
+   class and one edge to its tile's smallest relative.
 5. Connected components over these edges.
 
 Scale: work beyond the two scans follows the number of shared rare tokens. Texts that no partner is left
@@ -37,7 +41,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sheetloom.llm.common import append_struct, as_bytes, free_name, rows_of
+from sheetloom.llm.common import append_struct, as_bytes, free_name, on_workers, rows_of
 from sheetloom.llm.components import components
 from sheetloom.session import written
 
@@ -48,6 +52,7 @@ WANTED_BITS = 22
 BLOCK_CLASSES = 1_024  # classes of a block on average
 BLOCK_WORDS = 4_000_000  # shingles of a block on average
 KEPT_WORDS = 400_000  # word hashes that a task remembers
+CELLS, MOST_CELLS = 32, 512  # of a histogram; between them the power of two that gives 16 to 32 tokens a cell
 
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
@@ -88,20 +93,40 @@ def prefix_length(n: int, percent: int = PERCENT) -> int:
     return n - (percent * n + 99) // 100 + 1
 
 
+def least_common(a, b, percent: int = PERCENT):
+    """Tokens that two sets of these sizes share at least if they are linked."""
+    return -(-percent * (a + b) // (100 + percent))
+
+
 def bucket_of(tokens: np.ndarray) -> np.ndarray:
     return (tokens >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
 
 
-def prefixes(tokens: np.ndarray, counts: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First tokens of a set under the orders A, B and C."""
-    n = prefix_length(len(tokens), percent)
+def first_tokens(tokens: np.ndarray, counts: np.ndarray, order: str, percent: int = PERCENT) -> np.ndarray:
+    """First tokens of a set under one of the orders A, B and C."""
     seen = counts[bucket_of(tokens)]
-    rough = np.log2(seen + 1).astype(np.int64)
-    return tuple(tokens[np.lexsort(keys)[:n]] for keys in ((tokens, seen), (tokens * _ODD[3], rough), (tokens * _ODD[4], rough)))
+    if order == "A":
+        keys = (tokens, seen)
+    else:
+        keys = (tokens * _ODD[3 if order == "B" else 4], np.log2(seen + 1).astype(np.int64))
+    return tokens[np.lexsort(keys)[:prefix_length(len(tokens), percent)]]
+
 
+def histogram(tokens: np.ndarray) -> bytes | None:
+    """Tokens by cell of their hash; None where a cell has more than a byte can say."""
+    size = min(MOST_CELLS, max(CELLS, 1 << max(0, (len(tokens) // 16).bit_length() - 1)))
+    cells = np.bincount((tokens & np.uint64(size - 1)).astype(np.int64), minlength=size)
+    return cells.astype(np.uint8).tobytes() if cells.max() < 256 else None
 
-def sizes_fit(a: int, b: int, percent: int = PERCENT) -> bool:
-    return 100 * min(a, b) >= percent * max(a, b)
+
+def most_common(x: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """No more tokens than this are shared by a histogram's set and each of the others'."""
+    size = min(len(x), *(len(o) for o in others))
+
+    def folded(cells):
+        return cells.reshape(-1, size).sum(axis=0, dtype=np.int64) if len(cells) > size else cells
+
+    return np.minimum(np.stack([folded(o) for o in others]), folded(x)).sum(axis=1, dtype=np.int64)
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
@@ -109,11 +134,6 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def _short(tokens: np.ndarray) -> np.ndarray:
-    """Two bytes of each token: unequal ones are told apart often enough for a filter, equal ones never are."""
-    return np.unique((tokens >> np.uint64(8)).astype(np.uint16))
-
-
 def _signed(tokens: np.ndarray) -> np.ndarray:
     return tokens.view(np.int64)
 
@@ -143,46 +163,41 @@ def bucket_counts(docs: DataFrame, size: int, text_col: str) -> np.ndarray:
 
 
 def described(docs: DataFrame, counts: np.ndarray, size: int, percent: int, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, n, class, a, b): set size, fingerprint of the set (null if empty), prefixes under A and B."""
+    """(doc_id, n, class, a, cells): set size, fingerprint of the set (null if empty), A prefix, histogram."""
     shared = docs.sparkSession.sparkContext.broadcast(counts)
 
     def make():
         shingler = Shingler(size)
 
         def work(batch):
-            out: dict[str, list] = {"doc_id": batch.column("doc_id"), "n": [], "class": [], "a": [], "b": []}
+            out: dict[str, list] = {"doc_id": batch.column("doc_id"), "n": [], "class": [], "a": [], "cells": []}
             for text in as_bytes(batch.column("text")).to_pylist():
                 tokens = shingler.shingles(text)
+                some = len(tokens) > 0
                 out["n"].append(len(tokens))
-                if len(tokens):
-                    a, b, _ = prefixes(tokens, shared.value, percent)
-                    out["class"].append(fingerprint(tokens))
-                    out["a"].append(_signed(a))
-                    out["b"].append(_short(b).tobytes())
-                else:
-                    for c in ("class", "a", "b"):
-                        out[c].append(None)
+                out["class"].append(fingerprint(tokens) if some else None)
+                out["a"].append(_signed(first_tokens(tokens, shared.value, "A", percent)) if some else None)
+                out["cells"].append(histogram(tokens) if some else None)
             yield out
         return work
 
     return rows_of(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")),
-                   "doc_id long, n long, class binary, a array<long>, b binary", make)
+                   "doc_id long, n long, class binary, a array<long>, cells binary", make)
 
 
 def _tiles(members: DataFrame) -> DataFrame:
     """Members of a token's group once for each pair of blocks that their own block belongs to."""
-    weight = members.groupBy("tok").agg(F.greatest(F.ceil(F.count("*") / BLOCK_CLASSES), F.ceil(F.sum("n") / BLOCK_WORDS)).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("class", "tok"), F.col("blocks")).cast("int")
-    spread = members.join(weight, "tok").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    spread = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     return spread.select("*", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).drop("other", "blocks")
 
 
-def _grouped(batches, keys: tuple[str, ...]) -> Iterator[tuple[tuple, list[dict]]]:
-    """Consecutive rows with equal keys, out of sorted record batches."""
+def _grouped(batches) -> Iterator[tuple[tuple, list[dict]]]:
+    """Tiles out of sorted record batches."""
     key, rows = None, []
     for batch in batches:
         for row in batch.to_pylist():
-            own = tuple(row[k] for k in keys)
+            own = (row["tok"], row["i"], row["j"])
             if own != key and rows:
                 yield key, rows
                 rows = []
@@ -192,41 +207,57 @@ def _grouped(batches, keys: tuple[str, ...]) -> Iterator[tuple[tuple, list[dict]
         yield key, rows
 
 
-def _across(rows: list[dict], i: int, j: int) -> Iterator[tuple[dict, dict]]:
-    """The pairs that a tile is there for: between two blocks, or within one."""
-    if i == j:
-        for k, y in enumerate(rows):
-            for x in rows[:k]:
-                yield x, y
-    else:
-        right = [r for r in rows if r["own"] == j]
-        for x in rows:
-            if x["own"] == i:
-                for y in right:
-                    yield x, y
-
-
-def with_partners(tiles: DataFrame, percent: int) -> DataFrame:
-    """(tok, i, j, own, class): members that some other member of the tile passes the filters with."""
+def _by_tile(tiles: DataFrame) -> DataFrame:
+    return on_workers(tiles).repartition("tok", "i", "j").sortWithinPartitions("tok", "i", "j")
+
+
+def _partners(rows: list[dict], i: int, j: int, percent: int) -> Iterator[tuple[dict, list[dict]]]:
+    """Each member with those later ones of its tile that sizes, places and histograms leave as partners."""
+    left = rows if i == j else [r for r in rows if r["own"] == i]
+    right = rows if i == j else [r for r in rows if r["own"] == j]
+    for r in rows:
+        r["bytes"] = np.frombuffer(r["cells"], np.uint8) if r["cells"] else None
+    n, left_over = np.array([r["n"] for r in right]), np.array([r["n"] - r["pos"] for r in right])
+    for k, x in enumerate(left):
+        first = k + 1 if i == j else 0
+        m = n[first:]
+        least = least_common(m, x["n"], percent)
+        fits = (100 * np.minimum(m, x["n"]) >= percent * np.maximum(m, x["n"])) & (np.minimum(left_over[first:], x["n"] - x["pos"]) >= least)
+        found = np.flatnonzero(fits)
+        others = [right[first + p] for p in found]
+        known = [q for q, y in enumerate(others) if y["bytes"] is not None]
+        if x["bytes"] is not None and known:
+            out = most_common(x["bytes"], [others[q]["bytes"] for q in known]) < least[found[known]]
+            gone = {known[q] for q in np.flatnonzero(out)}
+            others = [y for q, y in enumerate(others) if q not in gone]
+        if others:
+            yield x, others
+
+
+def with_partners(tiles: DataFrame, percent: int, home: bool) -> DataFrame:
+    """(tok, pos, i, j, own, class): members that keep a partner in their tile.
+
+    With ``home`` only pairs count whose first common token is the tile's; ``before`` then has the earlier
+    tokens that a class meets partners by.
+    """
     def run(batches):
-        for (tok, i, j), rows in _grouped(batches, ("tok", "i", "j")):
+        for (tok, i, j), rows in _grouped(batches):
             for r in rows:
-                # a pair belongs to the smallest token that both have, so smaller ones must differ
-                r["earlier"] = frozenset(t for t in r["shared"] if t < tok)
-                r["second"] = frozenset(np.frombuffer(r["b"], np.uint16).tolist())
                 r["met"] = False
-            for x, y in _across(rows, i, j):
-                if not (x["met"] and y["met"]) and sizes_fit(x["n"], y["n"], percent) \
-                        and x["earlier"].isdisjoint(y["earlier"]) and not x["second"].isdisjoint(y["second"]):
-                    x["met"] = y["met"] = True
+                if home:
+                    r["earlier"] = frozenset(r["before"])
+            for x, others in _partners(rows, i, j, percent):
+                for y in others:
+                    if not (x["met"] and y["met"]) and (not home or x["earlier"].isdisjoint(y["earlier"])):
+                        x["met"] = y["met"] = True
             met = [r for r in rows if r["met"]]
             if met:
-                yield pa.RecordBatch.from_pydict({"tok": pa.array([tok] * len(met), pa.int64()), "i": pa.array([i] * len(met), pa.int32()),
+                yield pa.RecordBatch.from_pydict({"tok": pa.array([tok] * len(met), pa.int64()), "pos": pa.array([r["pos"] for r in met], pa.int32()),
+                                                  "i": pa.array([i] * len(met), pa.int32()),
                                                   "j": pa.array([j] * len(met), pa.int32()), "own": pa.array([r["own"] for r in met], pa.int32()),
                                                   "class": pa.array([r["class"] for r in met], pa.binary())})
 
-    ready = tiles.select("tok", "i", "j", "own", "class", "n", "shared", "b").repartition("tok", "i", "j").sortWithinPartitions("tok", "i", "j")
-    return ready.mapInArrow(run, "tok long, i int, j int, own int, class binary")
+    return _by_tile(tiles).mapInArrow(run, "tok long, pos int, i int, j int, own int, class binary")
 
 
 def verified(tiles: DataFrame, counts: np.ndarray, size: int, percent: int) -> DataFrame:
@@ -235,14 +266,13 @@ def verified(tiles: DataFrame, counts: np.ndarray, size: int, percent: int) -> D
 
     def run(batches):
         shingler = Shingler(size)
-        for (tok, i, j), rows in _grouped(batches, ("tok", "i", "j")):
-            members = []
-            for r in {r["class"]: r for r in reversed(rows) if r["class"] == r["found"]}.values():
+        for (tok, i, j), rows in _grouped(batches):
+            members = list({r["class"]: r for r in rows}.values())
+            for r in members:
                 tokens = shingler.shingles(r.pop("text"))
-                a, b, c = prefixes(tokens, shared.value, percent)
-                r |= {"tokens": tokens, "earlier": frozenset(t for t in _signed(a).tolist() if t < tok), "n": len(tokens),
-                      "second": frozenset(_short(b).tolist()), "third": frozenset(c.tolist()), "links": 0, "root": r["class"]}
-                members.append(r)
+                a, b, c = (_signed(first_tokens(tokens, shared.value, order, percent)).tolist() for order in "ABC")
+                r |= {"tokens": tokens, "n": len(tokens), "cells": histogram(tokens), "earlier": frozenset(a[:r["pos"]]),
+                      "b": frozenset(b), "c": frozenset(c), "links": 0, "root": r["class"]}
             by_class = {r["class"]: r for r in members}
 
             def root(name, by_class=by_class):
@@ -251,20 +281,20 @@ def verified(tiles: DataFrame, counts: np.ndarray, size: int, percent: int) -> D
                     name = by_class[name]["root"]
                 return name
 
-            for x, y in _across(members, i, j):
-                if (sizes_fit(x["n"], y["n"], percent) and x["earlier"].isdisjoint(y["earlier"]) and not x["second"].isdisjoint(y["second"])
-                        and not x["third"].isdisjoint(y["third"]) and linked(x["tokens"], y["tokens"], percent)):
-                    x["links"] += y["copies"]
-                    y["links"] += x["copies"]
-                    a, b = sorted((root(x["class"]), root(y["class"])))
-                    by_class[b]["root"] = a
+            for x, others in _partners(members, i, j, percent):
+                for y in others:
+                    if (x["earlier"].isdisjoint(y["earlier"]) and not x["b"].isdisjoint(y["b"]) and not x["c"].isdisjoint(y["c"])
+                            and linked(x["tokens"], y["tokens"], percent)):
+                        x["links"] += y["copies"]
+                        y["links"] += x["copies"]
+                        a, b = sorted((root(x["class"]), root(y["class"])))
+                        by_class[b]["root"] = a
             out = [r for r in members if r["links"]]
             if out:
                 yield pa.RecordBatch.from_pydict({"class": pa.array([r["class"] for r in out], pa.binary()), "links": pa.array([r["links"] for r in out], pa.int64()),
                                                   "near": pa.array([root(r["class"]) for r in out], pa.binary())})
 
-    ready = tiles.repartition("tok", "i", "j").sortWithinPartitions("tok", "i", "j")
-    return ready.mapInArrow(run, "class binary, links long, near binary")
+    return _by_tile(tiles).mapInArrow(run, "class binary, links long, near binary")
 
 
 def _cell(id_col: str):
@@ -310,26 +340,34 @@ def link_classes(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, id_c
     rows = written(described(docs, counts, size, percent, id_col, text_col), "described")
     alive = rows.where(F.col("class").isNotNull() & F.col("doc_id").isNotNull())
 
-    # tokens that two classes have in their A prefixes, then their members
-    exploded = alive.select(F.explode("a").alias("tok"), "class")
-    own = F.xxhash64("class")
-    shared = exploded.groupBy("tok").agg(F.min(own).alias("low"), F.max(own).alias("high")).where("low < high").select("tok")
-    members = written(exploded.join(shared, "tok").select("tok", "class").distinct(), "members")
+    # one row per class: copies of a text are one from here on
+    classes = written(alive.groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.first("n").alias("n"),
+                                                 F.first("a").alias("a"), F.first("cells").alias("cells")), "classes")
 
-    classes = alive.groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.first("n").alias("n"))
-    some = members.groupBy("class").agg(F.collect_set("tok").alias("shared"))  # at most a prefix each
-    second = alive.join(members.select("class").distinct(), "class", "left_semi").groupBy("class").agg(F.max("b").alias("b"), F.first("n").alias("n"))
-    detail = some.join(second, "class")
-    met = written(with_partners(_tiles(members.join(detail, "class")), percent), "partners")
+    # tokens that two classes have in their A prefixes, then their members
+    exploded = classes.select(F.posexplode("a").alias("pos", "tok"), "class", "n")
+    # the first common token of two sets lies early in the smaller one
+    early = F.col("pos") <= F.col("n") - F.ceil(2 * percent * F.col("n") / (100 + percent))
+    blocks = F.greatest(F.ceil(F.count("*") / BLOCK_CLASSES), F.ceil(F.sum("n") / BLOCK_WORDS)).cast("int")
+    shared = exploded.groupBy("tok").agg(F.count("*").alias("members"), blocks.alias("blocks"), F.bool_or(early).alias("early"))
+    shared = shared.where("members > 1 and early").select("tok", "blocks")
+    members = exploded.select("tok", "pos", "class").join(shared, "tok")
+    looks = classes.select("class", "n", "cells")
+    near = written(with_partners(_tiles(members.join(looks, "class")), percent, home=False), "near")
+    in_order = F.transform(F.array_sort(F.collect_set(F.struct("pos", "tok"))), lambda t: t["tok"])
+    tokens = near.groupBy("class").agg(in_order.alias("shared"))  # at most a prefix each
+    before = F.slice("shared", F.lit(1), (F.array_position("shared", F.col("tok")) - 1).cast("int"))
+    met = near.join(looks.join(tokens, "class"), "class").withColumn("before", before).drop("shared")
+    met = written(with_partners(met, percent, home=True), "partners")
 
     wanted = met.select("class").distinct().join(classes.select("class", "doc_id", "copies"), "class")
     texts = texts_of(docs, wanted, size, id_col, text_col).join(wanted, "doc_id").where(F.col("found") == F.col("class"))
-    tiles = met.join(texts.select("class", "found", "copies", "text"), "class")
+    tiles = met.join(texts.select("class", "copies", "text"), "class")
     links = written(verified(tiles, counts, size, percent), "links")
 
     roots = components(links.select(F.col("class").alias("u"), F.col("near").alias("v"))).select(F.col("v").alias("class"), "root")
     degree = links.groupBy("class").agg(F.sum("links").alias("links"))
-    merged = classes.join(roots, "class", "left").join(degree, "class", "left").withColumn("root", F.coalesce("root", "class"))
+    merged = classes.select("class", "doc_id", "copies").join(roots, "class", "left").join(degree, "class", "left").withColumn("root", F.coalesce("root", "class"))
     least = merged.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     known = merged.join(least, "root").select("class", "root", "component_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     alone = rows.where(F.col("class").isNull() | F.col("doc_id").isNull())

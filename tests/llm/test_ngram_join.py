@@ -93,8 +93,17 @@ def test_prefixes_meet_under_every_order():
         if J.linked(a, b):
             for order in "ABC":
                 assert set(J.first_tokens(a, counts, order).tolist()) & set(J.first_tokens(b, counts, order).tolist())
-            most = np.minimum(*(np.frombuffer(J.histogram(x), np.uint8) for x in (a, b))).sum()
-            assert 190 * most >= 90 * (len(a) + len(b))
+            both = len(np.intersect1d(a, b))
+            assert J.least_common(len(a), len(b)) <= both
+            assert J.most_common(*((lambda x, y: (x, [y]))(*(np.frombuffer(J.histogram(x), np.uint8) for x in (a, b)))))[0] >= both
+
+
+def test_histograms_of_long_and_short_sets():
+    a = np.arange(8_200, dtype=np.uint64) * np.uint64(7)
+    cells = [np.frombuffer(J.histogram(x), np.uint8) for x in (a, a[20:])]
+    assert [len(c) for c in cells] == [512, 256]
+    assert J.most_common(cells[0], [cells[1]])[0] >= len(a) - 20
+    assert J.histogram(np.zeros(300, np.uint64)) is None
 
 
 def test_components_of_a_chain_and_a_star(spark):
