@@ -6,7 +6,7 @@ an A-star search that walks backwards from the end, so the search opens position
 and returns them in order.
 
 No piece of the usual models reaches over the start of a word, so every path passes there, and so it does
-around a character that no piece has. The lattice then falls into segments: the forward pass runs once
+around a character that no piece has and before marks that no piece has behind a letter. The lattice then falls into segments: the forward pass runs once
 per distinct segment, keeping its best and second best score. A text's N best paths deviate from the best
 one in at most the N - 1 segments whose second best is nearest, so the search is run in these alone and
 its results are merged. A model with a piece across word starts is searched over the whole text.
@@ -22,8 +22,11 @@ earlier one. Decoding gives the normalised text back: for models that keep white
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import re
+import string
+from array import array
 from functools import lru_cache
 from itertools import count
 
@@ -35,14 +38,16 @@ from sheetloom.llm.common import append_struct, as_bytes
 
 MODEL = "piece_bpe_32k.model"
 N_BEST = 4
-KEPT_SEGMENTS = 300_000
+KEPT_SEGMENTS = 400_000
+KEPT_SEARCHES = 5_000
 SPACE = "▁"
 PENALTY = 10.0  # of an unknown character below the lowest score
 
 EDIT = T.StructType([T.StructField("at", T.IntegerType()), T.StructField("drop", T.IntegerType()), T.StructField("ids", T.ArrayType(T.IntegerType()))])
 RESULT = T.StructType([
     T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_pieces", T.LongType()), T.StructField("score", T.DoubleType()),
-    T.StructField("alternatives", T.ArrayType(T.StructType([T.StructField("score", T.DoubleType()), T.StructField("edits", T.ArrayType(EDIT))])))])
+    T.StructField("alternatives", T.ArrayType(T.StructType([T.StructField("score", T.DoubleType()), T.StructField("edits", T.ArrayType(EDIT))]))),
+    T.StructField("ids_sha256", T.StringType()), T.StructField("round_trip", T.BooleanType())])
 
 
 def default_path() -> str:
@@ -83,18 +88,30 @@ class Lattice:
         self.ending.make_automaton()
         self.unknown_score = min(score for _, _, score in usable) - PENALTY
         self.single = {name for name, _, _ in usable if len(name) == 1}
-        known = "".join(sorted({c for name, _, _ in usable for c in name} - {SPACE}))
-        inner = "".join(map(re.escape, known))
+        known = {c for name, _, _ in usable for c in name} - {SPACE}
+        # marks that no piece has behind a plain letter or digit: every path passes between the two
+        before = {(a, b) for name, _, _ in usable for a, b in zip(name, name[1:], strict=False) if b in string.punctuation and a != SPACE}
+        marks = set(string.punctuation) & known - {b for a, b in before if a.isalpha() or a.isdecimal()}
+        tied = {a for a, b in before if b in marks} - marks  # what may stand before such a mark within a piece
+        inner, mark, tie = ("".join(map(re.escape, sorted(x))) or "\0" for x in (known - marks, marks, tied))
         across = any(SPACE in name.lstrip(SPACE) for name, _, _ in usable)
-        self.segments = re.compile(".+" if across else f"{SPACE}*[{inner}]+|{SPACE}+|.", re.DOTALL)
+        self.segments = re.compile(".+" if across else f"{SPACE}*[{mark}]*[{inner}]+(?:(?<=[{tie}])[{mark}]+[{inner}]*)*|{SPACE}*[{mark}]+|{SPACE}+|.",
+                                   re.DOTALL)
         self.known: dict[str, tuple[float, float, bytes]] = {}
+        self.searched: dict[tuple[str, int], list[tuple[float, list[int]]]] = {}
 
     def unknown(self, char: str) -> list[int]:
         found = [self.byte_ids.get(b) for b in char.encode("utf-8", "replace")]
         return [self.unknown_id] if None in found else found
 
+    def plain(self, segment: str) -> bool:
+        """Whether each character has a piece of its own."""
+        return self.single.issuperset(segment)
+
     def edges(self, segment: str) -> list[tuple[int, int, int, float]]:
         """(end, start, piece or -1, score) by rising end; a character without a piece of its own gets an unknown edge."""
+        if self.plain(segment):
+            return [(end + 1, end + 1 - length, piece, score) for end, (piece, length, score) in self.ending.iter(segment)]
         found, at = [], 0
         for end, (piece, length, score) in self.ending.iter(segment):
             while at <= end:
@@ -105,6 +122,10 @@ class Lattice:
         found += [(k + 1, k, -1, self.unknown_score) for k in range(at, len(segment)) if segment[k] not in self.single]
         return found
 
+    def as_found(self, segment: str):
+        """Edges in the form that the automaton finds them in."""
+        return ((end - 1, (piece, end - start, score)) for end, start, piece, score in self.edges(segment))
+
     def forward(self, segment: str) -> tuple[float, float, bytes]:
         """Best score, distance of the second best (infinite if none), ids of the best path as 32-bit numbers."""
         known = self.known.get(segment)
@@ -113,27 +134,43 @@ class Lattice:
         if len(self.known) >= KEPT_SEGMENTS:
             self.known.clear()
         n, low = len(segment), float("-inf")
-        best, second, via = [low] * (n + 1), [low] * (n + 1), [None] * (n + 1)
-        best[0] = 0.0
-        for edge in self.edges(segment):
-            end, start, _, score = edge
-            reach, other = best[start] + score, second[start] + score
-            if reach > best[end]:
-                second[end] = max(best[end], other)
-                best[end], via[end] = reach, edge
+        best, second, via = [0.0] + [low] * n, [low] * (n + 1), [(0, 0)] * (n + 1)
+        for end, (piece, length, score) in self.ending.iter(segment) if self.plain(segment) else self.as_found(segment):
+            end += 1
+            start = end - length
+            reach, top = best[start] + score, best[end]
+            if reach > top:
+                other = second[start] + score
+                second[end] = top if top > other else other
+                best[end], via[end] = reach, (start, piece)
             elif reach > second[end]:
                 second[end] = reach
         ids, at = [], n
         while at:
-            _, start, piece, _ = via[at]
-            ids += [piece] if piece >= 0 else self.unknown(segment[start])[::-1]
+            start, piece = via[at]
+            if piece >= 0:
+                ids.append(piece)
+            else:
+                ids += self.unknown(segment[start])[::-1]
             at = start
-        found = best[n], best[n] - second[n], np.array(ids[::-1], "<i4").tobytes()
+        ids.reverse()
+        found = best[n], best[n] - second[n], array("i", ids).tobytes()
         if n <= 256:
             self.known[segment] = found
         return found
 
     def search(self, segment: str, n_best: int) -> list[tuple[float, list[int]]]:
+        """The N best paths of a segment, searched once while it is remembered."""
+        known = self.searched.get((segment, n_best))
+        if known is None:
+            if len(self.searched) >= KEPT_SEARCHES:
+                self.searched.clear()
+            known = self.a_star(segment, n_best)
+            if len(segment) <= 256:
+                self.searched[segment, n_best] = known
+        return known
+
+    def a_star(self, segment: str, n_best: int) -> list[tuple[float, list[int]]]:
         """The N best paths of a segment: backwards A-star with the forward scores as heuristic."""
         n, low = len(segment), float("-inf")
         best, ending = [low] * (n + 1), [[] for _ in range(n + 1)]
@@ -163,18 +200,15 @@ class Lattice:
             return np.zeros(0, "<i4"), 0.0, []
         segments = self.segments.findall(SPACE + text.replace(" ", SPACE))
         known, forward = self.known.get, self.forward
-        each = [known(s) or forward(s) for s in segments]
-        score = sum([e[0] for e in each])
-        ids = np.frombuffer(b"".join([e[2] for e in each]), "<i4")
+        bests, gaps, parts = zip(*[known(s) or forward(s) for s in segments], strict=True)
+        score, ids = sum(bests), np.frombuffer(b"".join(parts), "<i4")
         if n_best < 2:
             return ids, score, []
-        gaps = [e[1] for e in each]
-        near = [i for i in heapq.nsmallest(n_best - 1, range(len(gaps)), key=gaps.__getitem__) if gaps[i] != float("inf")]
-        near.sort()
-        starts = {}
-        if near:
-            sizes = np.cumsum([0, *[len(e[2]) >> 2 for e in each]])
-            starts = {i: (int(sizes[i]), int(sizes[i + 1] - sizes[i])) for i in near}
+        gap = np.array(gaps)
+        least = np.partition(gap, n_best - 2)[n_best - 2] if len(gap) >= n_best else np.inf
+        near = np.flatnonzero((gap <= least) & (gap < np.inf))
+        near = sorted(near[np.argsort(gap[near], kind="stable")][:n_best - 1].tolist())
+        starts = {i: (sum(map(len, parts[:i])) >> 2, len(parts[i]) >> 2) for i in near}
         # combinations of the near segments' paths, the best first; a number says which of its paths a segment takes
         paths = [self.search(segments[i], n_best) for i in near]
         loss = [[p[0][0] - q[0] for q in p] for p in paths]
@@ -211,7 +245,11 @@ def lattice(path: str) -> Lattice:
 
 
 def encode(docs: DataFrame, n_best: int = N_BEST, path: str | None = None, text_col: str = "text", into: str = "pieces") -> DataFrame:
-    """Rows of ``docs`` with a struct: ids, n_pieces and score of the best segmentation, alternatives (score, edits)."""
+    """Rows of ``docs`` with a struct: ids, n_pieces and score of the best segmentation, alternatives (score, edits).
+
+    ``ids_sha256`` is the digest of the ids as little-endian 32-bit numbers; ``round_trip`` tells whether
+    decoding them gives the text back.
+    """
     path = path or default_path()
 
     def make():
@@ -220,8 +258,11 @@ def encode(docs: DataFrame, n_best: int = N_BEST, path: str | None = None, text_
         def work(batch):
             out: dict[str, list] = {f.name: [] for f in RESULT}
             for data in as_bytes(batch.column(text_col)).to_pylist():
-                ids, score, others = model.encode((data or b"").decode("utf-8", "replace"), n_best)
+                text = (data or b"").decode("utf-8", "replace")
+                ids, score, others = model.encode(text, n_best)
                 out["ids"].append(ids)
+                out["ids_sha256"].append(hashlib.sha256(ids.tobytes()).hexdigest())
+                out["round_trip"].append(model.decode(ids.tolist()) == text)
                 out["n_pieces"].append(len(ids))
                 out["score"].append(score)
                 out["alternatives"].append([{"score": s, "edits": e} for s, e in others])

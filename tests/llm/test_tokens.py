@@ -1,6 +1,7 @@
 """Prefix counts against the library, and the piece lattice against listing all paths."""
 
 import random
+import re
 
 import pytest
 import sentencepiece
@@ -85,6 +86,15 @@ def test_n_best_like_listing_all_paths():
             left.remove((round(s, 6), i))
 
 
+def test_cuts_lose_nothing():
+    cut, whole, rng = P.Lattice(P.default_path()), P.Lattice(P.default_path()), random.Random(0)
+    whole.segments = re.compile(".+", re.DOTALL)
+    for _ in range(200):
+        text = "".join(rng.choice(["is", "m²", ".", ",", "(", ")", "'s", "don't", " ", "  ", "é", "x", "1", ":", "\n", "...", "²."]) for _ in range(rng.randint(1, 9)))
+        (_, a, x), (_, b, y) = cut.encode(text), whole.encode(text)
+        assert (a, [s for s, _ in x]) == (b, [s for s, _ in y]), repr(text)
+
+
 def test_pieces_of_rows(spark):
     texts = [None, "", " lead and trail ", "two  spaces\nline", "é中😀\x00", "word " * 3_000, "zzz" * 200, "same", "same"]
     df = spark.createDataFrame([(i, t, "c") for i, t in enumerate(texts)], "doc_id long, text string, pieces string")
@@ -92,7 +102,7 @@ def test_pieces_of_rows(spark):
     assert [r["decoded"]["text"] for r in rows] == [t or "" for t in texts]
     names = sentencepiece.SentencePieceProcessor(model_file=P.default_path())
     for r in rows:
-        assert r["n_pieces"] == len(r["ids"]) and all(0 <= i < names.get_piece_size() for i in r["ids"])
+        assert r["round_trip"] and r["n_pieces"] == len(r["ids"]) and all(0 <= i < names.get_piece_size() for i in r["ids"])
         scores = [r["score"], *(a["score"] for a in r["alternatives"])]
         assert scores == sorted(scores, reverse=True)
         seen = {tuple(r["ids"])}
