@@ -37,12 +37,18 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def clean_up(spark: SparkSession) -> int:
-    """Remove all intermediate tables of this application; call it when no result is needed any more."""
+def tables(spark: SparkSession) -> list[str]:
+    """Paths of the intermediate tables of this application, in the order they were written."""
+    return list(_paths.get(spark.sparkContext.applicationId, []))
+
+
+def clean_up(spark: SparkSession, paths: list[str] | None = None) -> int:
+    """Remove intermediate tables of this application, all or some; call it when what reads them is not needed any more."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    gone = 0
-    for path in _paths.pop(spark.sparkContext.applicationId, []):
+    gone, own = 0, _paths.setdefault(spark.sparkContext.applicationId, [])
+    for path in list(own) if paths is None else paths:
+        own.remove(path)
         place = jvm.org.apache.hadoop.fs.Path(path)
         gone += bool(place.getFileSystem(conf).delete(place, True))
     return gone
