@@ -43,7 +43,7 @@ from pyspark.sql import types as T
 
 from sheetloom.llm.common import append_struct, as_bytes, free_name, on_workers, rows_of
 from sheetloom.llm.components import components
-from sheetloom.session import written
+from sheetloom.session import clean_up, tables, written
 
 SIZE = 3
 PERCENT = 90
@@ -383,7 +383,11 @@ def keep_one(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, id_col:
     Rows without shingles or without id stay. Texts of rows that are surely kept are not shuffled: a bit
     table over the ids of rows that may go tells them apart.
     """
+    spark = docs.sparkSession
+    known = tables(spark)
     found = written(link_classes(docs, size, percent, id_col, text_col).where("root is not null"), "linked")
+    # the join's own tables have done their work
+    clean_up(spark, [p for p in tables(spark)[:-1] if p not in known])
     keepers = found.groupBy("root").agg(F.min(F.struct("doc_id", "class")).alias("k")).select("k.*")
     rows = found.groupBy("doc_id", "class").agg(F.count("*").alias("rows"))
     going = rows.join(keepers.withColumn("stays", F.lit(True)), ["doc_id", "class"], "left").where("stays is null or rows > 1")
