@@ -64,3 +64,14 @@ def test_absurd_numbers_do_not_stop_a_job(one):
     assert one(lambda x: c.amount_text(x.cast("double")), "123456789012345678901234").endswith(".00")
     assert one(lambda x: c.amount_text(x.cast("double")), "1e300") is None
     assert one(lambda x: c.clean_int(x), "123456789012345678901234") is None
+
+
+def test_absurd_prices_in_texts(spark):
+    from sheetloom.operators import facts
+
+    text = "Rate: 123456789012345678901234\nWholesale - 123456789012345678901234567\nBrand - X"
+    documents = spark.createDataFrame([("r", 1, "a", "SUCCESS", "p", text, 0.9)], "run_id string, doc_id bigint, filename string, status string, provider string, "
+                                      "text string, confidence double")
+    found = facts.all_facts(documents)
+    assert {r.field for r in found.collect()} >= {"brand", "price", "wholesale_price"}
+    assert facts.reconciled_prices(documents, found).first().wholesale_price > 1e26
