@@ -182,9 +182,12 @@ def label_model(votes: np.ndarray, rounds: int = 30) -> tuple[np.ndarray, np.nda
     """Posterior toxicity of each row of votes, voters' accuracies, and their correlations given the label."""
     n, m = votes.shape
     shown = np.stack([votes == v for v in (-1, 0, 1)], axis=2).astype(np.float64)  # rows, voters, kinds of vote
-    # to begin with, what most voters that vote say; a row without votes is clean
-    posterior = np.where(votes.sum(axis=1) > 0, 0.9, 0.1)
+    # to begin with, what most voters that vote say, those that repeat each other counting less; without votes clean
+    spread = votes.std(axis=0)
+    alike = np.abs(np.corrcoef(votes[:, spread > 0].T)) if (spread > 0).sum() > 1 else np.eye(int((spread > 0).sum()))
     weight, correlation = np.ones(m), np.eye(m)
+    weight[spread > 0] = 1 / np.maximum(1, 1 + (np.clip((alike - 0.7) / 0.3, 0, None).sum(axis=1) - 1))
+    posterior = np.where(votes @ weight > 0, 0.9, 0.1)
     for k in range(rounds):
         prior = np.clip(posterior.mean(), 1e-3, 1 - 1e-3)
         chance = []
