@@ -18,6 +18,7 @@ from sheetloom.llm.common import free_name, table
 from sheetloom.session import written
 
 LEAST_SCORE = 0.3  # a text whose language is less certain than this is taken for noise
+NEAR_SIZE, NEAR_PERCENT = 5, 80  # near copies: words of a shingle, and the similarity of sets that makes a copy
 
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +37,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of similar ones, that with the smallest id."""
-    return ngram_join.keep_one(docs)
+    return ngram_join.keep_one(docs, size=NEAR_SIZE, percent=NEAR_PERCENT)
 
 
 def not_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
