@@ -41,6 +41,7 @@ FEATURES = 20_000
 SIGNIFICANT = 24.0  # likelihood ratio that a feature must reach, far beyond what the best of a million unrelated ones shows
 LEXICONS, PATTERNS = 10, 10
 BEGINNINGS = (4, 5, 6, 7, 8)
+MIN_HASHES = 4  # that two texts must share to be copies of each other
 ANY = "+any"  # the feature of a text in which some voter's word or beginning occurs
 KEPT_COUNTS = 400_000  # features that a task counts before it hands them on
 
@@ -48,6 +49,7 @@ KEPT_COUNTS = 400_000  # features that a task counts before it hands them on
 INSULTS = frozenset("idiot idiots moron morons stupid dumb loser losers scum trash garbage pathetic worthless disgusting "
                     "clown jerk fool imbecile bastard bitch asshole bullshit crap damn fuck fucking shit slut whore".split())
 
+_ODD = [np.uint32(x) for x in (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F)][:MIN_HASHES]
 _WORD = re.compile(r"[^\W\d_]+")
 _SHOUT = re.compile(r"\b[A-Z]{4,}\b(?:\W+[A-Z]{4,}\b){2}")
 _EXCLAIM = re.compile(r"!{3,}")
@@ -91,8 +93,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id
                     label_col: str = "toxic") -> DataFrame:
     """(text, toxic) of at most ``sample`` labelled documents outside the held-out fifth, written once.
 
-    Of documents with the same smallest hash over three-word shingles, copies most likely, one is kept:
-    words of a text that many rows repeat would look telling otherwise.
+    Of documents with the same label and the same smallest hashes over three-word shingles, ``MIN_HASHES`` of
+    them, one is kept, whether their texts are equal or nearly so: words of a text that many rows repeat would
+    look telling otherwise. A passage that different documents share seldom holds all of these hashes.
     """
     known = (labels.where(~held_out(F.col(id_col)) & F.col(label_col).isin(0, 1))
              .groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("toxic")))
@@ -106,13 +109,14 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id
             keys = []
             for text in as_bytes(batch.column("text")).to_pylist():
                 words = text.split()
-                keys.append(min([zlib.crc32(b" ".join(words[i:i + 3])) for i in range(max(1, len(words) - 2))]))
+                found = np.array([zlib.crc32(b" ".join(words[i:i + 3])) for i in range(max(1, len(words) - 2))], np.uint32)
+                keys.append(b"".join((found * odd).min().tobytes() for odd in _ODD))
             yield {"text": batch.column("text").to_pylist(), "toxic": batch.column("toxic").to_pylist(), "copies": keys}
         return work
 
-    rows = written(rows_of(found, "text string, toxic int, copies long", make), "toxicity-sample")
-    one = rows.groupBy("copies", "toxic").agg(F.min(F.xxhash64("text")).alias("own")).select("own").distinct()
-    return rows.join(F.broadcast(one), F.xxhash64("text") == F.col("own")).select("text", "toxic")
+    rows = written(rows_of(found, "text string, toxic int, copies binary", make), "toxicity-sample")
+    one = rows.groupBy("copies", "toxic").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("own"))
+    return written(one.select("own.text", "toxic"), "toxicity-copies")
 
 
 def feature_counts(rows: DataFrame) -> DataFrame:
