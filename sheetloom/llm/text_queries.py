@@ -98,8 +98,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op10_token_counts")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's tokens, and how much of it fits into the limit."""
-    counted = token_counts.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    """Every document's tokens, and how much of it fits into the limit, out of its prefix counts."""
+    counted = token_counts.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), store=True)
     r = F.col("tokens")
     return counted.select("doc_id", r.n_bytes.alias("n_bytes"), r.n_tokens.alias("n_tokens"),
                           (r.n_tokens > token_counts.LIMIT).alias("over_limit"), r.fitting_chars.alias("fitting_chars"))

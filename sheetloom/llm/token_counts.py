@@ -229,7 +229,7 @@ def count_tokens(docs: DataFrame, limit: int = LIMIT, store: bool = False, path:
     """Rows of ``docs`` with a struct: n_bytes, n_tokens, fitting_chars (longest prefix within ``limit`` tokens).
 
     ``store=True`` also keeps the count at every prefix as little-endian 32-bit numbers, one per code point,
-    which ``stored_count`` and ``stored_fit`` answer from.
+    which ``stored_count`` and ``stored_fit`` answer from; the other numbers are then looked up there as well.
     """
     path = path or default_path()
 
@@ -240,11 +240,12 @@ def count_tokens(docs: DataFrame, limit: int = LIMIT, store: bool = False, path:
             out: dict[str, list] = {f.name: [] for f in RESULT}
             for data in as_bytes(batch.column(text_col)).to_pylist():
                 text = (data or b"").decode("utf-8", "replace")
-                n, fitting = dp.count_and_fit(text, limit)
+                kept = np.array(dp.prefixes(text), "<i4").tobytes() if store else None
+                n, fitting = (stored_count(kept, len(text)), stored_fit(kept, limit)) if store else dp.count_and_fit(text, limit)
                 out["n_bytes"].append(len(data or b""))
                 out["n_tokens"].append(n)
                 out["fitting_chars"].append(fitting)
-                out["prefix_counts"].append(np.array(dp.prefixes(text), "<i4").tobytes() if store else None)
+                out["prefix_counts"].append(kept)
             return out
         return work
 
