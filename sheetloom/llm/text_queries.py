@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheetloom.llm import decontaminate, language_id, ngram_join, pieces, token_counts, toxicity
+from sheetloom.llm import decontaminate, language_id, ngram_join, pieces, token_counts, toxicity, transducer
 from sheetloom.llm.common import held_out, table
 from sheetloom.llm.queries import query
 
@@ -103,3 +103,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = F.col("tokens")
     return counted.select("doc_id", r.n_bytes.alias("n_bytes"), r.n_tokens.alias("n_tokens"),
                           (r.n_tokens > token_counts.LIMIT).alias("over_limit"), r.fitting_chars.alias("fitting_chars"))
+
+
+@query("op13_bpe_stream")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids by the transducer, and their text by the decoder."""
+    coded = transducer.encode_and_decode(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=False)
+    return coded.select("doc_id", "bpe.n_tokens", "bpe.ids_sha256", "bpe.decoded_sha256")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheetloom.llm import block_search, chat, revisits, url_rules
+from sheetloom.llm import block_search, chat, conv_trie, revisits, url_rules, whitening
 from sheetloom.llm.common import table
 from sheetloom.llm.queries import query
 
@@ -157,3 +157,53 @@ from (select *, row_number() over (partition by query_id order by score desc, ve
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest of every twentieth vector."""
     return block_search.nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("id") % 20 == 0)
+
+
+@query("op11_whitening")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's first components, whitened."""
+    done = whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    fits = F.when(F.col("deviation") < F.lit(2).cast("decimal(38,0)") ** 63, F.col("deviation"))
+    return done.select(F.col("id").alias("vec_id"), "component", "n", fits.cast("long").alias("deviation"), "whitened", "explained", "identity_error")
+
+
+OP12_SQL = r"""
+with turns as (
+  select conv_id, left(sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')), 32) as key, turn,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as words
+  from conversations where conv_id is not null),
+placed as (select *, row_number() over (partition by conv_id order by turn nulls first, key) as place from turns),
+conv as (
+  select conv_id, conv_id - conv_id % 20 as base,
+    xor(list_reduce(list_concat([4294967295], flatten(list_transform(string_split(cast(conv_id as varchar), ''), lambda c: [ord(c), -1, -1, -1, -1, -1, -1, -1, -1]))),
+      lambda r, b: case when b >= 0 then xor(r, b) when r & 1 = 1 then xor(r >> 1, 3988292384) else r >> 1 end), 4294967295) % 4 as h
+  from (select distinct conv_id from placed)),
+new as (
+  select conv.conv_id, place, key, words from conv join placed on placed.conv_id = conv.base and place <= h
+  union all select conv.conv_id, place + h, key, words from conv join placed on placed.conv_id = conv.conv_id and place > h),
+path as (
+  select conv.conv_id, coalesce(list(key order by place) filter (key is not null), []) as keys, coalesce(list(words order by place) filter (key is not null), []) as words
+  from conv left join new using (conv_id) group by conv.conv_id),
+step as (
+  select conv_id, d, array_to_string(keys[1:d], ',') as node, keys, d = len(keys) as ends, case when d = 0 then 0 else words[d] end as words
+  from (select *, unnest(range(len(keys) + 1)) as d from path)),
+node as (
+  select node, d, min(conv_id) as conv_id, count(*) as n_convs, any_value(keys[1:d]) as keys, any_value(words) as words,
+    sha256(coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (ends), '')) as ends_sha256
+  from step group by node, d),
+child as (
+  select array_to_string(keys[1:d - 1], ',') as node, d - 1 as d, count(*) as n_children from node where d > 0 group by all),
+above as (
+  select array_to_string(keys[1:a], ',') as node, a as d, sum((n_convs - 1) * words) as saved_tokens, count(*) filter (n_children is null) as n_leaves
+  from (select node.*, n_children, unnest(range(node.d + 1)) as a from node left join child using (node, d)) group by 1, 2)
+select node.conv_id, node.d as depth, parent.conv_id as parent_conv_id, node.n_convs, coalesce(n_children, 0) as n_children, n_leaves,
+  cast(saved_tokens as bigint) as saved_tokens, node.ends_sha256
+from node join above using (node, d) left join child using (node, d)
+left join node parent on parent.d = node.d - 1 and parent.node = array_to_string(node.keys[1:node.d - 1], ',')
+"""
+
+
+@query("op12_conversation_trie", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of the rebuilt conversations."""
+    return conv_trie.trie(conv_trie.rebuilt(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")))

@@ -25,10 +25,10 @@ def duck():
 
 
 def test_every_operator_has_a_query():
-    assert {n.split("_")[0] for n in driver.queries() if n.startswith("op")} == {f"op{n}" for n in range(1, 11)}
+    assert {n.split("_")[0] for n in driver.queries() if n.startswith("op")} == {f"op{n}" for n in range(1, 14)}
 
 
-@pytest.mark.parametrize("name", ["op1_decontaminate", "op2_revisits", "op4_ngram_join", "op5_chat_format", "op6_url_rules", "op7_block_search"])
+@pytest.mark.parametrize("name", ["op1_decontaminate", "op2_revisits", "op4_ngram_join", "op5_chat_format", "op6_url_rules", "op7_block_search", "op12_conversation_trie"])
 def test_query_like_its_sql(spark, duck, name):
     df = driver.queries()[name](spark, str(SMALL))
     result = duck.execute(driver.oracle_sql()[name])
@@ -48,7 +48,7 @@ def test_pipeline_like_plain_stages(spark):
     clean = spark.createDataFrame(list(kept.values()), docs.schema)
     found = language_id.identify(clean, language_id.fit(clean)).collect()
     sure = {r["doc_id"] for r in found if r["language"]["lang_pred"] != "und" and r["language"]["score"] >= corpus_pipeline.LEAST_SCORE}
-    groups = plain_groups([(i, kept[i]["text"]) for i in sorted(sure)], 90)
+    groups = plain_groups([(i, kept[i]["text"]) for i in sorted(sure)], corpus_pipeline.NEAR_PERCENT, corpus_pipeline.NEAR_SIZE)
     one = sorted({c if n else i for i, n, c, _ in groups})
     items = [tuple(r) for r in table(spark, str(SMALL), "benchmark").select("item_id", "text").collect()]
     want = []

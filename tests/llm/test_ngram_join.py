@@ -15,9 +15,9 @@ def plain_set(text, size=3):
     return {tuple(words[i:i + size]) for i in range(max(1, len(words) - size + 1))} if words else set()
 
 
-def plain(docs, percent):
+def plain(docs, percent, size=3):
     """doc number -> (shingles, smallest id reachable, links)."""
-    sets = [plain_set(t) if i is not None else plain_set(t) for i, t in docs]
+    sets = [plain_set(t, size) for _, t in docs]
     near = {k: set() for k in range(len(docs))}
     for a, b in combinations(range(len(docs)), 2):
         if sets[a] and sets[b] and docs[a][0] is not None and docs[b][0] is not None:

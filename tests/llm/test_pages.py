@@ -107,7 +107,7 @@ def test_neighbours_like_comparing_all(spark, block):
     rng = np.random.default_rng(5)
     vectors = {i: rng.normal(0, 10.0 ** rng.integers(-2, 3), 6) for i in range(160)}
     vectors |= {i: vectors[3] for i in range(200, 260)}  # many copies
-    rows = [(i, v.tolist()) for i, v in vectors.items()] + [(500, None), (520, []), (540, [0.0] * 6), (560, [1.0, None, 1, 1, 1, 1]), (580, [float("nan")] * 6),
+    rows = [(i, v.tolist()) for i, v in vectors.items()] + [(500, None), (520, []), (540, [0.0] * 6), (560, [1.0, None, 1.0, 1.0, 1.0, 1.0]), (580, [float("nan")] * 6),
                                                            (600, [float("inf")] * 6), (None, [1.0] * 6), (620, [1.0, 2.0]), (640, [2.0, 2.0]), (0, vectors[0].tolist())]
     df = spark.createDataFrame([(*r, 1) for r in rows], "vec_id long, embedding array<double>, score int")
     got = B.nearest(df, F.col("id") % 20 == 0, k=7, block=block).collect()
