@@ -59,6 +59,7 @@ _L, _N, _S = map(_class, (r"\p{L}", r"\p{N}", r"\s"))
 _PIECES = re.compile(PATTERN.replace(r"[^\s\p{L}\p{N}]", f"[^{_S}{_L}{_N}]").replace(r"\p{L}", f"[{_L}]").replace(r"\p{N}", f"[{_N}]")
                      .replace(r"\S", f"[^{_S}]").replace(r"\s", f"[{_S}]"))
 _BLANK = frozenset(chr(i) for i in range(0x3001) if regex.match(r"\s", chr(i)))
+_BLANK_RUN = re.compile("[" + "".join(re.escape(c) for c in sorted(_BLANK)) + "]{2,}")
 
 RESULT = T.StructType([
     T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType()),
@@ -190,17 +191,53 @@ class PrefixCounter:
             space, space_base = (space + p, space_base) if blank else ("", total)
         return counts
 
-    def prefixes(self, text: str) -> list[int]:
+    def joined(self, text: str) -> np.ndarray:
+        """Counts at the end of each code point of a text without special strings.
+
+        The counts inside pieces are bytes that are remembered with the pieces; joined and raised by the sum of the
+        pieces before, they are the text's. Only where a prefix is cut otherwise than the text they are put right.
+        """
+        pieces = self.split(text)
+        known, piece = self.pieces.get, self.piece
+        ends = [known(p) or piece(p) for p in pieces]
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        stops = np.cumsum(sizes)
+        try:
+            inside = np.frombuffer(b"".join(ends), np.uint8).astype(np.int32)
+        except TypeError:  # a piece of more than 255 tokens
+            inside = np.concatenate([np.frombuffer(e, np.uint8).astype(np.int32) if isinstance(e, bytes) else np.array(e, np.int32) for e in ends])
+        totals = inside[stops - 1].cumsum(dtype=np.int32)
+        before = np.concatenate([np.zeros(1, np.int32), totals[:-1]]) if len(pieces) else totals
+        counts = inside + np.repeat(before, sizes)
+        # a prefix that ends in white space has the whole run of it as its last piece
+        for run in _BLANK_RUN.finditer(text):
+            start, end = run.span()
+            own = piece(run.group())
+            counts[start:end] = (np.frombuffer(own, np.uint8) if isinstance(own, bytes) else np.array(own, np.int32)) + (counts[start - 1] if start else np.int32(0))
+        # and one that ends inside a contraction has none
+        if "'" in text:
+            for k, p in enumerate(pieces):
+                if p in _CONTRACTIONS:
+                    at = int(stops[k]) - len(p)
+                    counts[at + 1] = counts[at] + piece(p[1])[-1]
+        return counts
+
+    def counts_along(self, text: str) -> np.ndarray:
         """Counts at the end of each code point."""
+        if not (self.special and self.special.search(text)):
+            return self.joined(text)
         counts, base, at = [], 0, 0
-        for mark in self.special.finditer(text) if self.special else ():
+        for mark in self.special.finditer(text):
             part = text[at:mark.start()]
-            counts += self.along(self.split(part), base)
-            counts += self.along(self.split(part + mark.group()), base)[len(part):-1]
+            counts.append(self.joined(part) + base)
+            inside = self.joined(part + mark.group())[len(part):-1] + base
             base += self.total(part) + 1
-            counts.append(base)
+            counts += [inside, np.array([base], np.int32)]
             at = mark.end()
-        return counts + self.along(self.split(text[at:]), base)
+        return np.concatenate([*counts, self.joined(text[at:]) + base]).astype(np.int32)
+
+    def prefixes(self, text: str) -> list[int]:
+        return self.counts_along(text).tolist()
 
     def count_and_fit(self, text: str, budget: int) -> tuple[int, int]:
         """Tokens of a text, and code points of its longest prefix of at most ``budget`` tokens."""
@@ -240,7 +277,7 @@ def count_tokens(docs: DataFrame, limit: int = LIMIT, store: bool = False, path:
             out: dict[str, list] = {f.name: [] for f in RESULT}
             for data in as_bytes(batch.column(text_col)).to_pylist():
                 text = (data or b"").decode("utf-8", "replace")
-                kept = np.array(dp.prefixes(text), "<i4").tobytes() if store else None
+                kept = dp.counts_along(text).astype("<i4").tobytes() if store else None
                 n, fitting = (stored_count(kept, len(text)), stored_fit(kept, limit)) if store else dp.count_and_fit(text, limit)
                 out["n_bytes"].append(len(data or b""))
                 out["n_tokens"].append(n)
