@@ -102,22 +102,41 @@ def test_revisits_like_looking_back(spark, partitions):
     assert revisits.resolve(df.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("block", [8_192, 40])
-def test_neighbours_like_comparing_all(spark, block):
+@pytest.mark.parametrize("query_bytes,candidates", [(1 << 20, 1 << 20), (200, 40)])
+def test_neighbours_like_comparing_all(spark, query_bytes, candidates):
     rng = np.random.default_rng(5)
-    vectors = {i: rng.normal(0, 10.0 ** rng.integers(-2, 3), 6) for i in range(160)}
-    vectors |= {i: vectors[3] for i in range(200, 260)}  # many copies
-    rows = [(i, v.tolist()) for i, v in vectors.items()] + [(500, None), (520, []), (540, [0.0] * 6), (560, [1.0, None, 1.0, 1.0, 1.0, 1.0]), (580, [float("nan")] * 6),
-                                                           (600, [float("inf")] * 6), (None, [1.0] * 6), (620, [1.0, 2.0]), (640, [2.0, 2.0]), (0, vectors[0].tolist())]
+    vectors = [(i, rng.normal(0, 10.0 ** rng.integers(-2, 3), 6)) for i in range(160)]
+    vectors += [(i, vectors[3][1]) for i in range(200, 260)]  # many copies
+    vectors += [(0, vectors[0][1]), (0, rng.normal(0, 3, 6)), (20, rng.normal(0, 3, 6)), (1, rng.normal(0, 3, 6)), (1, vectors[1][1])]  # repeated ids, also with other vectors
+    rows = [(i, v.tolist()) for i, v in vectors] + [(500, None), (520, []), (540, [0.0] * 6), (560, [1.0, None, 1.0, 1.0, 1.0, 1.0]), (580, [float("nan")] * 6),
+                                                   (600, [float("inf")] * 6), (None, [1.0] * 6), (620, [1.0, 2.0]), (640, [2.0, 2.0])]
     df = spark.createDataFrame([(*r, 1) for r in rows], "vec_id long, embedding array<double>, score int")
-    got = B.nearest(df, F.col("id") % 20 == 0, k=7, block=block).collect()
+    got = B.nearest(df, F.col("id") % 20 == 0, k=7, query_bytes=query_bytes, candidates=candidates).collect()
     by_query = {}
     for r in sorted(got, key=lambda r: (r["query_id"], r["rank"])):
         by_query.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
     plain = {}
-    for q in [i for i in vectors if i % 20 == 0]:
-        near = sorted(((-float(B.inner(vectors[q][None], v[None])[0]), i) for i, v in vectors.items() if i != q))[:7]
+    for q in {i for i, _ in vectors if i % 20 == 0}:
+        near = sorted((-float(B.inner(x[None], v[None])[0]), i) for own, x in vectors if own == q for i, v in vectors if i != q)[:7]
         plain[q] = [(i, -s) for s, i in near]
     plain |= {620: [(640, 6.0)], 640: [(620, 6.0)]}
     assert by_query == plain
     assert B.nearest(df.limit(0), F.col("id") % 20 == 0).count() == 0
+
+
+def test_neighbours_like_the_sql_on_odd_rows(spark, tmp_path):
+    import duckdb
+
+    from sheetloom.llm import web_queries
+
+    rng = np.random.default_rng(6)
+    rows = [(20, [1.0, 2.0]), (20, [2.0, 1.0]), (1, [1.0, 1.0]), (1, [3.0, 0.5]), (2, [0.5, 0.5])]
+    rows += [(i, (rng.choice([-1, 1]) * 10.0 ** rng.integers(150, 250, 3)).tolist()) for i in range(100, 140)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1).write.parquet(f"{tmp_path}/embeddings.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view embeddings as select * from '{tmp_path}/embeddings.parquet/*.parquet'")
+    # the SQL compares vectors of one length only
+    sql = web_queries.OP7_SQL.replace("q.vec_id <> c.vec_id", "q.vec_id <> c.vec_id and len(q.v) = len(c.v)")
+    want = con.execute(sql).fetchall()
+    got = [tuple(r) for r in web_queries.op7(spark, str(tmp_path)).select("query_id", "rank", "vec_id", "score").collect()]
+    assert len(want) == 46 and sorted(map(repr, got)) == sorted(map(repr, want))
