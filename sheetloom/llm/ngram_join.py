@@ -25,8 +25,9 @@ for are kept from the shuffle by a bit table of fixed size over the wanted ids.
 class after a pre-aggregated step, groups of near copies are tiles. The broadcast tables have fixed sizes.
 
 Defined results: null, empty and blank texts have no shingles and are linked with nothing, their component
-is their own id; a document of one or two words has one shingle; a row without id takes no part (null
-component); rows that repeat an id are separate documents; extra columns are ignored.
+is their own id; a document of one or two words has one shingle; a row without id takes part like any other
+and lends no id to its component, which is null if none has one; rows that repeat an id are separate
+documents; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -50,8 +51,12 @@ PERCENT = 90
 BUCKET_BITS = 18
 WANTED_BITS = 22
 BLOCK_CLASSES = 1_024  # classes of a block on average
-BLOCK_WORDS = 4_000_000  # shingles of a block on average
-KEPT_WORDS = 400_000  # word hashes that a task remembers
+BLOCK_WORDS = 1_000_000  # shingles of a block on average
+PAIRS = 50_000  # pairs of members that are looked at together
+PAIR_CELLS = 4_000_000  # of their histograms at a time
+BEFORE = 16  # earlier shared tokens that a member shows in its tile
+KEPT_WORDS = 100_000  # word hashes that a task remembers
+_TILE = ["tok", "i", "j"]
 CELLS, MOST_CELLS = 32, 512  # of a histogram; between them the power of two that gives 16 to 32 tokens a cell
 
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
@@ -119,18 +124,15 @@ def histogram(tokens: np.ndarray) -> bytes | None:
     return cells.astype(np.uint8).tobytes() if cells.max() < 256 else None
 
 
-def most_common(x: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
-    """No more tokens than this are shared by a histogram's set and each of the others'."""
-    size = min(len(x), *(len(o) for o in others))
-
-    def folded(cells):
-        return cells.reshape(-1, size).sum(axis=0, dtype=np.int64) if len(cells) > size else cells
-
-    return np.minimum(np.stack([folded(o) for o in others]), folded(x)).sum(axis=1, dtype=np.int64)
+def most_common(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """No more tokens than this are shared by the sets of histograms that stand in the same rows."""
+    size = min(p.shape[1], q.shape[1])
+    p, q = (m if m.shape[1] == size else m.reshape(len(m), -1, size).sum(axis=1, dtype=np.uint32) for m in (p, q))
+    return np.minimum(p, q).sum(axis=1, dtype=np.int64)
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
-    both = len(np.intersect1d(a, b, assume_unique=True))
+    both = _common(a, b)
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
@@ -192,107 +194,171 @@ def _tiles(members: DataFrame) -> DataFrame:
     return spread.select("*", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).drop("other", "blocks")
 
 
-def _grouped(batches) -> Iterator[tuple[tuple, list[dict]]]:
-    """Tiles out of sorted record batches."""
-    key, rows = None, []
+def _whole_tiles(batches) -> Iterator[pa.Table]:
+    """Sorted record batches as tables of whole tiles; what is held is the last tile and one batch."""
+    kept: list[pa.RecordBatch] = []
+    last = None
     for batch in batches:
-        for row in batch.to_pylist():
-            own = (row["tok"], row["i"], row["j"])
-            if own != key and rows:
-                yield key, rows
-                rows = []
-            key = own
-            rows.append(row)
-    if rows:
-        yield key, rows
+        if not batch.num_rows:
+            continue
+        keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in _TILE])
+        change = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
+        if last is not None and (keys[:, 0] != last).any():
+            change = np.concatenate([[0], change])
+        last = keys[:, -1]
+        if len(change):
+            end = int(change[-1])
+            yield pa.Table.from_batches([*kept, batch.slice(0, end)])
+            kept = [batch.slice(end)]
+        else:
+            kept.append(batch)
+    if kept:
+        yield pa.Table.from_batches(kept)
 
 
 def _by_tile(tiles: DataFrame) -> DataFrame:
-    return on_workers(tiles).repartition("tok", "i", "j").sortWithinPartitions("tok", "i", "j")
-
-
-def _partners(rows: list[dict], i: int, j: int, percent: int) -> Iterator[tuple[dict, list[dict]]]:
-    """Each member with those later ones of its tile that sizes, places and histograms leave as partners."""
-    left = rows if i == j else [r for r in rows if r["own"] == i]
-    right = rows if i == j else [r for r in rows if r["own"] == j]
-    for r in rows:
-        r["bytes"] = np.frombuffer(r["cells"], np.uint8) if r["cells"] else None
-    n, left_over = np.array([r["n"] for r in right]), np.array([r["n"] - r["pos"] for r in right])
-    for k, x in enumerate(left):
-        first = k + 1 if i == j else 0
-        m = n[first:]
-        least = least_common(m, x["n"], percent)
-        fits = (100 * np.minimum(m, x["n"]) >= percent * np.maximum(m, x["n"])) & (np.minimum(left_over[first:], x["n"] - x["pos"]) >= least)
-        found = np.flatnonzero(fits)
-        others = [right[first + p] for p in found]
-        known = [q for q, y in enumerate(others) if y["bytes"] is not None]
-        if x["bytes"] is not None and known:
-            out = most_common(x["bytes"], [others[q]["bytes"] for q in known]) < least[found[known]]
-            gone = {known[q] for q in np.flatnonzero(out)}
-            others = [y for q, y in enumerate(others) if q not in gone]
-        if others:
-            yield x, others
+    return on_workers(tiles).repartition(*_TILE).sortWithinPartitions(*_TILE, "own")
+
+
+class Tiles:
+    """Members of whole tiles, sorted, and the pairs of them that sizes, places and histograms leave."""
+
+    def __init__(self, keys: np.ndarray, own: np.ndarray, n: np.ndarray, pos: np.ndarray, cells: list[bytes | None], percent: int):
+        self.n, self.left, self.percent = n, n - pos, percent
+        rows = len(n)
+        starts = np.concatenate([[0], np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1]) if rows else np.zeros(0, np.int64)
+        ends = np.append(starts[1:], rows)
+        tile = np.repeat(np.arange(len(starts)), ends - starts)
+        second = np.flatnonzero((own == keys[2]) & (keys[1] != keys[2]))  # members of the second block stand last
+        turn = ends.copy()
+        np.minimum.at(turn, tile[second], second)
+        # each member's partners are those from ``first`` to ``stop``
+        self.stop = ends[tile]
+        self.first = np.where(keys[1] == keys[2], np.arange(rows) + 1, turn[tile])
+        self.stop[second] = self.first[second]
+        self.sizes = np.array([len(c) if c else 0 for c in cells], np.int64)
+        self.row, self.table = np.zeros(rows, np.int64), {}
+        for size in np.unique(self.sizes[self.sizes > 0]).tolist():
+            of = np.flatnonzero(self.sizes == size)
+            self.row[of] = np.arange(len(of))
+            self.table[size] = np.frombuffer(b"".join([cells[k] for k in of]), np.uint8).reshape(-1, size)
+
+    def _too_few(self, a: np.ndarray, b: np.ndarray, least: np.ndarray) -> np.ndarray:
+        """Pairs whose histograms cannot share as many tokens as they need."""
+        out = np.zeros(len(a), bool)
+        kinds = self.sizes[a] * (MOST_CELLS + 1) + self.sizes[b]
+        for kind in np.unique(kinds).tolist():
+            x, y = divmod(kind, MOST_CELLS + 1)
+            if x and y:
+                at = np.flatnonzero(kinds == kind)
+                for part in np.array_split(at, -(-len(at) * max(x, y) // PAIR_CELLS)):
+                    out[part] = most_common(self.table[x][self.row[a[part]]], self.table[y][self.row[b[part]]]) < least[part]
+        return out
+
+    def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        many = np.maximum(self.stop - self.first, 0)
+        upto = np.cumsum(many)
+        begin = 0
+        while begin < len(many):
+            end = max(begin + 1, int(np.searchsorted(upto, (upto[begin - 1] if begin else 0) + PAIRS, "right")))
+            own = many[begin:end]
+            total = int(own.sum())
+            if total:
+                a = np.repeat(np.arange(begin, end), own)
+                b = np.arange(total) - np.repeat(np.cumsum(own) - own, own) + np.repeat(self.first[begin:end], own)
+                low, high = np.minimum(self.n[a], self.n[b]), np.maximum(self.n[a], self.n[b])
+                least = least_common(low, high, self.percent)
+                fits = np.flatnonzero((100 * low >= self.percent * high) & (np.minimum(self.left[a], self.left[b]) >= least))
+                a, b, least = a[fits], b[fits], least[fits]
+                if len(a):
+                    kept = ~self._too_few(a, b, least)
+                    if kept.any():
+                        yield a[kept], b[kept]
+            begin = end
+
+
+def _numbers(table: pa.Table, column: str) -> np.ndarray:
+    return table.column(column).to_numpy().astype(np.int64)
 
 
 def with_partners(tiles: DataFrame, percent: int, home: bool) -> DataFrame:
     """(tok, pos, i, j, own, class): members that keep a partner in their tile.
 
-    With ``home`` only pairs count whose first common token is the tile's; ``before`` then has the earlier
-    tokens that a class meets partners by.
+    With ``home`` pairs go that share one of the tokens in ``before``, a few earlier ones that each class meets partners by.
     """
     def run(batches):
-        for (tok, i, j), rows in _grouped(batches):
-            for r in rows:
-                r["met"] = False
+        for table in _whole_tiles(batches):
+            found = Tiles(np.stack([_numbers(table, c) for c in _TILE]), _numbers(table, "own"), _numbers(table, "n"), _numbers(table, "pos"),
+                          table.column("cells").to_pylist(), percent)
+            if home:
+                before = table.column("before").combine_chunks()
+                sizes = np.asarray(before.value_lengths())
+                earlier = np.zeros((table.num_rows, BEFORE), np.int64)
+                known = np.arange(BEFORE) < sizes[:, None]
+                earlier[known] = before.flatten().to_numpy()
+            met = np.zeros(table.num_rows, bool)
+            for a, b in found.pairs():
                 if home:
-                    r["earlier"] = frozenset(r["before"])
-            for x, others in _partners(rows, i, j, percent):
-                for y in others:
-                    if not (x["met"] and y["met"]) and (not home or x["earlier"].isdisjoint(y["earlier"])):
-                        x["met"] = y["met"] = True
-            met = [r for r in rows if r["met"]]
-            if met:
-                yield pa.RecordBatch.from_pydict({"tok": pa.array([tok] * len(met), pa.int64()), "pos": pa.array([r["pos"] for r in met], pa.int32()),
-                                                  "i": pa.array([i] * len(met), pa.int32()),
-                                                  "j": pa.array([j] * len(met), pa.int32()), "own": pa.array([r["own"] for r in met], pa.int32()),
-                                                  "class": pa.array([r["class"] for r in met], pa.binary())})
+                    asked = np.flatnonzero(~(met[a] & met[b]))
+                    a, b = a[asked], b[asked]
+                    shared = np.zeros(len(a), bool)
+                    for k in range(BEFORE):
+                        shared |= known[a, k] & ((earlier[a, k, None] == earlier[b]) & known[b]).any(axis=1)
+                    a, b = a[~shared], b[~shared]
+                met[a] = met[b] = True
+            if met.any():
+                kept = table.select(["tok", "pos", "i", "j", "own", "class"]).filter(pa.array(met))
+                yield from kept.to_batches()
 
     return _by_tile(tiles).mapInArrow(run, "tok long, pos int, i int, j int, own int, class binary")
 
 
+def _common(a: np.ndarray, b: np.ndarray) -> int:
+    """Members that two sorted sets share."""
+    if len(a) > len(b):
+        a, b = b, a
+    return int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum()) if len(a) else 0
+
+
 def verified(tiles: DataFrame, counts: np.ndarray, size: int, percent: int) -> DataFrame:
-    """(class, links, near): in each tile a class's linked documents of other classes, and its smallest relative."""
+    """(class, links, near): in each tile a class's linked documents of other classes, and its smallest relative.
+
+    A pair is decided in one tile, that of the first token that its sets share under order A.
+    """
     shared = tiles.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches):
         shingler = Shingler(size)
-        for (tok, i, j), rows in _grouped(batches):
-            members = list({r["class"]: r for r in rows}.values())
-            for r in members:
-                tokens = shingler.shingles(r.pop("text"))
-                a, b, c = (_signed(first_tokens(tokens, shared.value, order, percent)).tolist() for order in "ABC")
-                r |= {"tokens": tokens, "n": len(tokens), "cells": histogram(tokens), "earlier": frozenset(a[:r["pos"]]),
-                      "b": frozenset(b), "c": frozenset(c), "links": 0, "root": r["class"]}
-            by_class = {r["class"]: r for r in members}
-
-            def root(name, by_class=by_class):
-                while by_class[name]["root"] != name:
-                    by_class[name]["root"] = by_class[by_class[name]["root"]]["root"]
-                    name = by_class[name]["root"]
-                return name
-
-            for x, others in _partners(members, i, j, percent):
-                for y in others:
-                    if (x["earlier"].isdisjoint(y["earlier"]) and not x["b"].isdisjoint(y["b"]) and not x["c"].isdisjoint(y["c"])
-                            and linked(x["tokens"], y["tokens"], percent)):
-                        x["links"] += y["copies"]
-                        y["links"] += x["copies"]
-                        a, b = sorted((root(x["class"]), root(y["class"])))
-                        by_class[b]["root"] = a
-            out = [r for r in members if r["links"]]
+        for table in _whole_tiles(batches):
+            keys, own, pos = np.stack([_numbers(table, c) for c in _TILE]), _numbers(table, "own"), _numbers(table, "pos")
+            classes, copies = table.column("class").to_pylist(), _numbers(table, "copies")
+            tokens, cells, earlier, others = [], [], [], []
+            for data, p in zip((t.as_py() for t in table.column("text")), pos, strict=True):
+                own_tokens = shingler.shingles(data)
+                tokens.append(own_tokens)
+                cells.append(histogram(own_tokens))
+                earlier.append(np.sort(first_tokens(own_tokens, shared.value, "A", percent)[:p]))
+                others.append([np.sort(first_tokens(own_tokens, shared.value, order, percent)) for order in "BC"])
+            links, root = np.zeros(len(classes), np.int64), list(range(len(classes)))
+
+            def top(k, root=root):
+                while root[k] != k:
+                    root[k] = root[root[k]]
+                    k = root[k]
+                return k
+
+            for a, b in Tiles(keys, own, np.array([len(t) for t in tokens], np.int64), pos, cells, percent).pairs():
+                for x, y in zip(a.tolist(), b.tolist(), strict=True):
+                    if (not _common(earlier[x], earlier[y]) and all(_common(p, q) for p, q in zip(others[x], others[y], strict=True))
+                            and linked(tokens[x], tokens[y], percent)):
+                        links[x] += copies[y]
+                        links[y] += copies[x]
+                        low, high = sorted((top(x), top(y)), key=classes.__getitem__)
+                        root[high] = low
+            out = np.flatnonzero(links).tolist()
             if out:
-                yield pa.RecordBatch.from_pydict({"class": pa.array([r["class"] for r in out], pa.binary()), "links": pa.array([r["links"] for r in out], pa.int64()),
-                                                  "near": pa.array([root(r["class"]) for r in out], pa.binary())})
+                yield pa.RecordBatch.from_pydict({"class": pa.array([classes[k] for k in out], pa.binary()), "links": pa.array(links[out], pa.int64()),
+                                                  "near": pa.array([classes[top(k)] for k in out], pa.binary())})
 
     return _by_tile(tiles).mapInArrow(run, "class binary, links long, near binary")
 
@@ -314,7 +380,7 @@ def fingerprint(tokens: np.ndarray) -> bytes:
 
 
 def texts_of(docs: DataFrame, wanted: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, found, text) of wanted ids; ``found`` is the text's own class, as an id may have several texts."""
+    """(found, text) of rows whose id falls into a cell of a wanted one; ``found`` is the text's own class."""
     shared = docs.sparkSession.sparkContext.broadcast(bit_table(wanted))
 
     def make():
@@ -323,12 +389,12 @@ def texts_of(docs: DataFrame, wanted: DataFrame, size: int, id_col: str, text_co
         def work(batch):
             kept = batch.filter(pa.array(hit[batch.column("cell").to_numpy()]))
             texts = as_bytes(kept.column("text")).to_pylist()
-            yield {"doc_id": kept.column("doc_id"), "found": [fingerprint(shingler.shingles(t)) for t in texts], "text": texts}
+            sets = [shingler.shingles(t) for t in texts]
+            some = [k for k, tokens in enumerate(sets) if len(tokens)]
+            yield {"found": [fingerprint(sets[k]) for k in some], "text": [texts[k] for k in some]}
         return work
 
-    source = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
-                                                         _cell(id_col).alias("cell"))
-    return rows_of(source, "doc_id long, found binary, text binary", make)
+    return rows_of(docs.select(F.col(text_col).alias("text"), _cell(id_col).alias("cell")), "found binary, text binary", make)
 
 
 def link_classes(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -338,7 +404,7 @@ def link_classes(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, id_c
     """
     counts = bucket_counts(docs, size, text_col)
     rows = written(described(docs, counts, size, percent, id_col, text_col), "described")
-    alive = rows.where(F.col("class").isNotNull() & F.col("doc_id").isNotNull())
+    alive = rows.where(F.col("class").isNotNull())
 
     # one row per class: copies of a text are one from here on
     classes = written(alive.groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.first("n").alias("n"),
@@ -356,13 +422,14 @@ def link_classes(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, id_c
     near = written(with_partners(_tiles(members.join(looks, "class")), percent, home=False), "near")
     in_order = F.transform(F.array_sort(F.collect_set(F.struct("pos", "tok"))), lambda t: t["tok"])
     tokens = near.groupBy("class").agg(in_order.alias("shared"))  # at most a prefix each
-    before = F.slice("shared", F.lit(1), (F.array_position("shared", F.col("tok")) - 1).cast("int"))
+    before = F.slice("shared", F.lit(1), F.least(F.array_position("shared", F.col("tok")) - 1, F.lit(BEFORE)).cast("int"))
     met = near.join(looks.join(tokens, "class"), "class").withColumn("before", before).drop("shared")
     met = written(with_partners(met, percent, home=True), "partners")
 
     wanted = met.select("class").distinct().join(classes.select("class", "doc_id", "copies"), "class")
-    texts = texts_of(docs, wanted, size, id_col, text_col).join(wanted, "doc_id").where(F.col("found") == F.col("class"))
-    tiles = met.join(texts.select("class", "copies", "text"), "class")
+    # any row with a class's set stands for it
+    texts = texts_of(docs, wanted, size, id_col, text_col).groupBy(F.col("found").alias("class")).agg(F.first("text").alias("text"))
+    tiles = met.join(texts.join(wanted.select("class", "copies"), "class"), "class")
     links = written(verified(tiles, counts, size, percent), "links")
 
     roots = components(links.select(F.col("class").alias("u"), F.col("near").alias("v"))).select(F.col("v").alias("class"), "root")
@@ -370,7 +437,7 @@ def link_classes(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, id_c
     merged = classes.select("class", "doc_id", "copies").join(roots, "class", "left").join(degree, "class", "left").withColumn("root", F.coalesce("root", "class"))
     least = merged.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     known = merged.join(least, "root").select("class", "root", "component_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    alone = rows.where(F.col("class").isNull() | F.col("doc_id").isNull())
+    alone = rows.where(F.col("class").isNull())
     return (alive.select("doc_id", "n", "class").join(known, "class")
             .select("doc_id", F.col("n").alias("n_shingles"), "class", "root", "component_id", "n_links")
             .unionAll(alone.select("doc_id", F.col("n").alias("n_shingles"), "class", F.lit(None).cast("binary").alias("root"),
@@ -380,7 +447,7 @@ def link_classes(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, id_c
 def keep_one(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows of ``docs``, one of each component: the one with the smallest id (of equal rows any one).
 
-    Rows without shingles or without id stay. Texts of rows that are surely kept are not shuffled: a bit
+    A row without id stays only where no similar one has an id. Rows without shingles stay. Texts of rows that are surely kept are not shuffled: a bit
     table over the ids of rows that may go tells them apart.
     """
     spark = docs.sparkSession
@@ -388,9 +455,10 @@ def keep_one(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, id_col:
     found = written(link_classes(docs, size, percent, id_col, text_col).where("root is not null"), "linked")
     # the join's own tables have done their work
     clean_up(spark, [p for p in tables(spark)[:-1] if p not in known])
-    keepers = found.groupBy("root").agg(F.min(F.struct("doc_id", "class")).alias("k")).select("k.*")
+    keepers = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "class")).alias("k")).select("k.doc_id", "k.class")
     rows = found.groupBy("doc_id", "class").agg(F.count("*").alias("rows"))
-    going = rows.join(keepers.withColumn("stays", F.lit(True)), ["doc_id", "class"], "left").where("stays is null or rows > 1")
+    stays = [F.col("doc_id").eqNullSafe(F.col("s_id")), F.col("class") == F.col("s_class")]
+    going = rows.join(keepers.select(F.col("doc_id").alias("s_id"), F.col("class").alias("s_class")), stays, "left").where("s_class is null or rows > 1")
     shared = docs.sparkSession.sparkContext.broadcast(bit_table(going))
     cell, mark = free_name(docs, "cell"), free_name(docs, "mark")
 
@@ -401,16 +469,15 @@ def keep_one(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, id_col:
             cells = batch.column(cell).to_numpy(zero_copy_only=False)
             out = []
             for at, text in zip(cells, as_bytes(batch.column(text_col)).to_pylist(), strict=True):
-                tokens = shingler.shingles(text) if at >= 0 and hit[int(at)] else ()
+                tokens = shingler.shingles(text) if hit[int(at)] else ()
                 out.append(fingerprint(tokens) if len(tokens) else None)
             return {"class": out}
         return work
 
-    own = docs.withColumn(cell, F.when(F.col(id_col).isNull(), -1).otherwise(_cell(id_col)))
-    marked = append_struct(own, mark, T.StructType([T.StructField("class", T.BinaryType())]), make, text_col)
+    marked = append_struct(docs.withColumn(cell, _cell(id_col)), mark, T.StructType([T.StructField("class", T.BinaryType())]), make, text_col)
     asked = marked.where(F.col(mark)["class"].isNotNull())
     k = keepers.select(F.col("doc_id").alias(free_name(docs, "keeper_id")), F.col("class").alias(free_name(docs, "keeper_class")))
-    both = [F.col(id_col).cast("long") == F.col(k.columns[0]), F.col(mark)["class"] == F.col(k.columns[1])]
+    both = [F.col(id_col).cast("long").eqNullSafe(F.col(k.columns[0])), F.col(mark)["class"] == F.col(k.columns[1])]
     first = Window.partitionBy(*k.columns).orderBy(k.columns[0])
     one = asked.join(k, both).withColumn(cell, F.row_number().over(first)).where(F.col(cell) == 1)
     return marked.where(F.col(mark)["class"].isNull()).select(docs.columns).unionAll(one.select(docs.columns))
