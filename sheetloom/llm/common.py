@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-CHUNK_BYTES = 8 << 20  # texts that one step holds as Python objects at a time
+CHUNK_BYTES = 4 << 20  # texts that one step holds as Python objects at a time
+BATCH_BYTES = 4 << 20  # of an Arrow batch between Spark and a Python worker, one row at least
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,7 +22,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def on_workers(df: DataFrame) -> DataFrame:
-    """Let Python workers import this library from where the driver has it, wherever they are started."""
+    """Let Python workers import this library from where the driver has it, wherever they are started.
+
+    Batches for them are bounded by bytes: texts and vectors differ too much in size for a number of rows alone.
+    """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     environment, root = df.sparkSession.sparkContext.environment, str(Path(__file__).resolve().parents[2])
     paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:
