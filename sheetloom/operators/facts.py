@@ -1,13 +1,14 @@
 """Facts and prices from catalogue texts.
 
 ``documents(run_id, doc_id, filename, status, provider, text, confidence)``.
-Each rule runs over the whole text of each document in one scan; only the facts
-leave the scan, never the text.
+Each rule runs over the whole text of each document in one scan, and so do label
+lines and the checks of prices; only the facts leave the scan, never the text or
+its lines.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from sheetloom import fixed_values as fv
 from sheetloom.functions import clean as c
@@ -134,51 +135,65 @@ def known_fabrics(documents: DataFrame) -> DataFrame:
             .select(*DOC, F.inline(F.array_compact(F.array(_fabric_fact())))))
 
 
-def rule_facts(documents: DataFrame) -> DataFrame:
-    """Labelled facts, prices and known fabrics in one scan of the texts."""
-    others = [_rule_facts(*r) for r in fv.FACT_RULES if r is not _FABRIC_RULE]
-    return (documents.select(*DOC, F.concat(*others).alias("others"), _known_fabric().alias("known"),
-                             _rule_facts(*_FABRIC_RULE).alias("fabrics"), *_price_columns())
-            .select(*DOC, "others", "fabrics", F.array_compact(F.array(_fabric_fact())).alias("fabric"),
-                    _price_array().alias("prices"))
-            .select(*DOC, F.inline(F.concat("others", "fabrics", "fabric", _as_facts(F.col("prices"))))))
+# A block of label and value starts at a label line and runs to the next label or blank line. Lines, the places
+# where something starts and the blocks are arrays of the document's row, so that no line leaves it.
+def _lines() -> Column:
+    stripped = F.transform(F.split("text", LINE_BREAK), lambda x: c.pystrip(x))
+    return F.transform(stripped, lambda x: F.struct(x.alias("line"), F.regexp_extract(x, c.unicode_re(fv.LABEL_LINE), 1).alias("label")))
 
 
-def label_blocks(documents: DataFrame) -> DataFrame:
-    """``label: value`` lines with their continuation lines.
+def _starts() -> Column:
+    return F.filter(F.transform("lines", lambda x, i: F.when((x["line"] == "") | (x["label"] != ""), i)), lambda i: i.isNotNull())
+
 
-    A block starts at a label line and runs to the next label or blank line.
+def _blocks() -> Column:
+    def block(at: Column, k: Column) -> Column:
+        stop = F.coalesce(F.get("starts", k + 1), F.size("lines"))
+        head, rest = F.get("lines", at), F.slice("lines", at + 2, stop - at - 1)
+        first = c.pystrip(F.regexp_extract(head["line"], c.unicode_re(fv.LABEL_LINE), 2))
+        parts = F.concat(F.array(first), F.transform(rest, lambda x: x["line"]))
+        key = c.pystrip(head["label"])
+        value = F.regexp_replace(c.pystrip(F.array_join(F.filter(parts, lambda v: v != ""), " ")), c.unicode_re(r"\s+"), " ")
+        raw = F.array_join(F.concat(F.array(head["line"]), F.transform(rest, lambda x: x["line"])), "\n")
+        field = F.trim(F.regexp_replace(F.lower(key), c.unicode_re(r"[^\w]+"), "_"), F.lit("_"))
+        return F.when(head["label"] != "", F.struct(at.alias("line_no"), key.alias("label"), field.alias("field"), value.alias("value"), raw.alias("raw_text")))
+
+    return F.filter(F.transform("starts", block), lambda x: x.isNotNull() & (F.length(x["label"]) >= 2) & (F.length(x["value"]) >= 1)
+                    & ~x["field"].isin(fv.LABEL_KEYS_SKIPPED))
+
+
+def _rows(documents: DataFrame, array: Column | str) -> DataFrame:
+    """Entries of an array as rows.
+
+    Taken with an outer generator and sifted behind it: from an inner one a filter on the array would follow, pushed
+    through to the scan, and work the array out a second time.
     """
-    line = c.pystrip("line")
-    lines = (documents.select(*DOC, F.posexplode(F.split("text", LINE_BREAK)).alias("line_no", "line"))
-             .withColumn("line", line)
-             .withColumn("label", F.regexp_extract("line", c.unicode_re(fv.LABEL_LINE), 1))
-             .withColumn("starts", (F.col("line") == "") | (F.col("label") != "")))
-    in_order = Window.partitionBy(*DOC).orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
-    kept = lines.withColumn("block", F.sum(F.col("starts").cast("int")).over(in_order))
-    first_value = F.regexp_extract("line", c.unicode_re(fv.LABEL_LINE), 2)
-    part = F.struct("line_no", F.when(F.col("label") != "", c.pystrip(first_value)).otherwise(F.col("line")).alias("v"),
-                    F.col("line").alias("raw"))
-    blocks = (kept.where((F.col("line") != "") & (F.col("block") > 0)).groupBy(*DOC, "block")
-              .agg(F.min_by(F.struct("line_no", "label"), "line_no").alias("head"),
-                   F.sort_array(F.collect_list(part)).alias("parts"))
-              .where(F.col("head.label") != ""))
-    value = F.regexp_replace(
-        c.pystrip(F.array_join(F.filter(F.col("parts.v"), lambda v: v != ""), " ")), c.unicode_re(r"\s+"), " ")
-    key = c.pystrip("head.label")
-    field = F.trim(F.regexp_replace(F.lower(key), c.unicode_re(r"[^\w]+"), "_"), F.lit("_"))
-    return (blocks.select(*DOC, F.col("head.line_no").alias("line_no"), key.alias("label"), field.alias("field"),
-                          value.alias("value"), F.array_join(F.col("parts.raw"), "\n").alias("raw_text"))
-            .where((F.length("label") >= 2) & (F.length("value") >= 1)
-                   & ~F.col("field").isin(fv.LABEL_KEYS_SKIPPED)))
+    return documents.select(*DOC, F.inline_outer(array)).where("field is not null")
+
+
+def label_blocks(documents: DataFrame) -> DataFrame:
+    """``label: value`` lines with their continuation lines, row by row."""
+    return (documents.select(*DOC, _lines().alias("lines")).select(*DOC, "lines", _starts().alias("starts"))
+            .transform(_rows, _blocks()))
+
+
+def with_facts(documents: DataFrame) -> DataFrame:
+    """Documents with an array of their facts in rule order, out of one scan of the texts."""
+    others = [_rule_facts(*r) for r in fv.FACT_RULES if r is not _FABRIC_RULE]
+
+    def line_fact(x: Column) -> Column:
+        return _fact(_order(fv.LABEL_LINE_ORDER, 0, x["line_no"]), x["field"], x["value"], x["raw_text"], 0.85, "REGEX_KEY_VALUE_LINE")
+
+    return (documents.select(*DOC, F.concat(*others).alias("others"), _known_fabric().alias("known"),
+                             _rule_facts(*_FABRIC_RULE).alias("fabrics"), *_price_columns(), _lines().alias("lines"))
+            .select(*DOC, "others", "fabrics", F.array_compact(F.array(_fabric_fact())).alias("fabric"),
+                    _price_array().alias("prices"), "lines", _starts().alias("starts"))
+            .select(*DOC, F.concat("others", "fabrics", "fabric", _as_facts(F.col("prices")), F.transform(_blocks(), line_fact)).alias("facts")))
 
 
 def all_facts(documents: DataFrame) -> DataFrame:
     """Every fact of every document; of equal values under one field the first stays."""
-    lines = label_blocks(documents).select(*DOC, F.inline(F.array(_fact(
-        _order(fv.LABEL_LINE_ORDER, 0, F.col("line_no")), F.col("field"), F.col("value"), F.col("raw_text"), 0.85,
-        "REGEX_KEY_VALUE_LINE"))))
-    every = rule_facts(documents).unionByName(lines)
+    every = _rows(with_facts(documents), "facts")
     rest = ["value", "raw_text", "confidence", "rule"]
     return (every.groupBy(*DOC, "field", F.lower("value").alias("value_key"))
             .agg(F.min_by(F.struct(*rest), "fact_ord").alias("f"), F.min("fact_ord").alias("fact_ord"))
@@ -196,23 +211,26 @@ def _python_float(x: Column) -> Column:
     return F.regexp_replace(c.amount_text(x), "0$", "")
 
 
-def reconciled_prices(documents: DataFrame, facts: DataFrame) -> DataFrame:
-    """Prices of each document after the misread-currency checks.
+def reconciled_prices(documents: DataFrame) -> DataFrame:
+    """Prices of each document after the misread-currency checks, worked out within its row.
 
     A leading 2 is taken for a misread currency mark only with evidence: another
     mention of the amount after a mark, or arithmetic that holds without it.
     """
-    designs = first_per_field(facts.where(F.col("field") == "total_designs")).select(
-        *DOC, F.col("value").try_cast("int").alias("designs"))
-    place = F.struct("rule_no", "pos")
-    first = price_facts(documents).groupBy(*DOC).agg(*[
-        F.min_by(F.when(F.col("field") == f, F.col("value")), F.when(F.col("field") == f, place)).alias(n)
-        for f, n in (("wholesale_price", "raw_ws"), ("single_piece_price", "raw_sp"),
-                     ("full_catalogue_price", "raw_fc"), ("price", "raw_any"))])
-    seen = documents.select(
-        *DOC, F.regexp_extract("text", _java(fv.BREAKDOWN), 0).alias("breakdown"),
-        F.regexp_extract_all("text", F.lit(_java(fv.MARKED_AMOUNT)), F.lit(1)).alias("marked"))
-    raw = (first.join(seen, DOC).join(designs, DOC, "left")
+    # label lines never name the number of designs, so the rules are its only source
+    counts = F.concat(*[_rule_facts(*r) for r in fv.FACT_RULES if r[1] == "total_designs"])
+    said = documents.select(
+        *DOC, *_price_columns(), counts.alias("counts"), F.regexp_extract("text", _java(fv.BREAKDOWN), 0).alias("breakdown"),
+        F.regexp_extract_all("text", F.lit(_java(fv.MARKED_AMOUNT)), F.lit(1)).alias("marked")).withColumn("prices", _price_array())
+
+    def first(field: str) -> Column:
+        """First price of a kind; prices are in the order of rules and places."""
+        return F.get(F.filter("prices", lambda x: x["field"] == field), F.lit(0))["value"]
+
+    found = F.struct(F.when(F.size("prices") > 0, F.lit("price")).alias("field"), "breakdown", "marked",
+                     F.get("counts", F.lit(0))["value"].try_cast("int").alias("designs"), first("wholesale_price").alias("raw_ws"),
+                     first("single_piece_price").alias("raw_sp"), first("full_catalogue_price").alias("raw_fc"), first("price").alias("raw_any"))
+    raw = (_rows(said, F.array(found))
            .withColumn("b_count", _group(F.col("breakdown"), fv.BREAKDOWN, 1).try_cast("int"))
            .withColumn("b_total", c.clean_amount(_group(F.col("breakdown"), fv.BREAKDOWN, 3)))
            .withColumn("pieces", F.coalesce(F.nullif("designs", F.lit(0)), F.col("b_count"))))

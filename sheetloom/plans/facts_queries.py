@@ -134,32 +134,32 @@ def first_fact_per_field(spark, sf):
 
 
 _F = "regexp_replace(cast(cast({0} as decimal(18,2)) as varchar), '0$', '')"
-cte("s_first", "s_prices", """
+cte("t_first", "t_prices", """
 select run_id, doc_id, arg_min(value, (rule_no, pos)) filter (where field = 'wholesale_price') as ws,
   arg_min(value, (rule_no, pos)) filter (where field = 'single_piece_price') as sp,
   arg_min(value, (rule_no, pos)) filter (where field = 'full_catalogue_price') as fc,
   arg_min(value, (rule_no, pos)) filter (where field = 'price') as anyp
-from s_prices group by 1, 2""")
-cte("s_r1", "s_first b_slips s_facts", f"""
+from t_prices group by 1, 2""")
+cte("t_r1", "t_first t_texts t_facts", f"""
 select f.*, t.text, try_cast(regexp_extract(text, {o.lit(fv.BREAKDOWN)}, 1) as integer) as bc,
   try_cast(replace(regexp_extract(text, {o.lit(fv.BREAKDOWN)}, 3), ',', '') as double) as bt,
   coalesce(d.n, try_cast(regexp_extract(text, {o.lit(fv.BREAKDOWN)}, 1) as integer)) as pieces,
   {', '.join(f"case when cast(floor({x}) as bigint)::varchar like '2%' and len(cast(floor({x}) as bigint)::varchar) >= 4 then cast(substr(cast(floor({x}) as bigint)::varchar, 2) as bigint) end as c{x}" for x in ('fc', 'ws', 'sp'))}
-from s_first f join b_slips t using (run_id, doc_id)
-left join (select run_id, doc_id, arg_min(value, fact_ord)::integer as n from s_facts where field = 'total_designs' group by 1, 2) d using (run_id, doc_id)""")
+from t_first f join t_texts t using (run_id, doc_id)
+left join (select run_id, doc_id, arg_min(value, fact_ord)::integer as n from t_facts where field = 'total_designs' group by 1, 2) d using (run_id, doc_id)""")
 _SAID = "regexp_matches(text, '(?i)(?:[#@₹=]|rs\\.?)\\s*' || {0} || '\\b')"
-cte("s_r2", "s_r1", f"""
-select *, coalesce(cfc is not null and {_SAID.format('cfc')}, false) as k1 from s_r1""")
-cte("s_r3", "s_r2", """
+cte("t_r2", "t_r1", f"""
+select *, coalesce(cfc is not null and {_SAID.format('cfc')}, false) as k1 from t_r1""")
+cte("t_r3", "t_r2", """
 select *, case when k1 then cfc else fc end as fc1,
   coalesce(pieces > 1, false) and coalesce(abs(pieces * cws - case when k1 then cfc else fc end) < 1 or abs(pieces * cws - fc) < 1, false) as k2,
-  not coalesce(pieces > 1, false) and coalesce(abs(bc * cws - bt) < 1, false) as k3 from s_r2""")
-cte("s_r4", "s_r3", """
+  not coalesce(pieces > 1, false) and coalesce(abs(bc * cws - bt) < 1, false) as k3 from t_r2""")
+cte("t_r4", "t_r3", """
 select *, case when k2 or k3 then cws else ws end as ws2,
-  case when k2 and fc1 = fc and abs(pieces * cws - (fc - 20000)) < 1 then fc - 20000 when k3 then bt else fc1 end as fc2 from s_r3""")
-cte("s_r5", "s_r4", f"""
-select *, coalesce(csp is not null and ws2 <= csp and csp < fc2 and {_SAID.format('csp')}, false) as k4 from s_r4""")
-cte("s_recon", "s_r5", f"""
+  case when k2 and fc1 = fc and abs(pieces * cws - (fc - 20000)) < 1 then fc - 20000 when k3 then bt else fc1 end as fc2 from t_r3""")
+cte("t_r5", "t_r4", f"""
+select *, coalesce(csp is not null and ws2 <= csp and csp < fc2 and {_SAID.format('csp')}, false) as k4 from t_r4""")
+cte("t_recon", "t_r5", f"""
 select run_id, doc_id, cast(case when k4 then csp else sp end as double) as single_piece_price, cast(ws2 as double) as wholesale_price,
   cast(fc2 as double) as full_catalogue_price, cast(coalesce(case when k4 then csp else sp end, ws2, anyp) as double) as supplier_price,
   nullif(concat_ws('; ',
@@ -169,47 +169,47 @@ select run_id, doc_id, cast(case when k4 then csp else sp end as double) as sing
       pieces || ' pcs x ' || {_F.format('cws')} || ' = ' || {_F.format('pieces * cws')} || ')'
       when k3 then 'Wholesale price corrected from ' || {_F.format('ws')} || ' to ' || {_F.format('cws')} || ' via breakdown arithmetic' end,
     case when k4 then 'Single piece price corrected from ' || {_F.format('sp')} || ' to ' || {_F.format('csp')} || ' via alternative mention' end), '') as price_notes
-from s_r5""")
+from t_r5""")
 
 
 def _prices(spark, sf):
-    documents = slips(spark, sf)
+    documents = texts(spark, sf)
     found = written(facts.all_facts(documents), "facts")
-    return documents, found, written(facts.reconciled_prices(documents, found), "prices")
+    return documents, found, written(facts.reconciled_prices(documents), "prices")
 
 
-@query("reconcile_prices", sql("select * exclude (supplier_price, price_notes) from s_recon", "s_recon"))
+@query("reconcile_prices", sql("select * exclude (supplier_price, price_notes) from t_recon", "t_recon"))
 def reconcile_prices(spark, sf):
-    return _prices(spark, sf)[2].drop("supplier_price", "price_notes")
+    return facts.reconciled_prices(texts(spark, sf)).drop("supplier_price", "price_notes")
 
 
-@query("price_precedence", sql("select run_id, doc_id, supplier_price, price_notes from s_recon", "s_recon"))
+@query("price_precedence", sql("select run_id, doc_id, supplier_price, price_notes from t_recon", "t_recon"))
 def price_precedence(spark, sf):
-    return _prices(spark, sf)[2].select("run_id", "doc_id", "supplier_price", "price_notes")
+    return facts.reconciled_prices(texts(spark, sf)).select("run_id", "doc_id", "supplier_price", "price_notes")
 
 
-cte("s_values", "s_facts s_recon", f"""
+cte("t_values", "t_facts t_recon", f"""
 with base as (
   select run_id, doc_id, field, arg_min(value, rank) as value from (
-    select run_id, doc_id, field, arg_min(value, fact_ord) as value, 1 as rank from s_facts group by 1, 2, 3
-    union all select run_id, doc_id, 'single_piece_price', {o.money('single_piece_price')}, 0 from s_recon where single_piece_price is not null
-    union all select run_id, doc_id, 'wholesale_price', {o.money('wholesale_price')}, 0 from s_recon where wholesale_price is not null
-    union all select run_id, doc_id, 'full_catalogue_price', {o.money('full_catalogue_price')}, 0 from s_recon where full_catalogue_price is not null
-    union all select run_id, doc_id, 'supplier_price', {o.money('supplier_price')}, 0 from s_recon where supplier_price is not null
-    union all select run_id, doc_id, 'price_notes', price_notes, 0 from s_recon where price_notes is not null) group by 1, 2, 3)
+    select run_id, doc_id, field, arg_min(value, fact_ord) as value, 1 as rank from t_facts group by 1, 2, 3
+    union all select run_id, doc_id, 'single_piece_price', {o.money('single_piece_price')}, 0 from t_recon where single_piece_price is not null
+    union all select run_id, doc_id, 'wholesale_price', {o.money('wholesale_price')}, 0 from t_recon where wholesale_price is not null
+    union all select run_id, doc_id, 'full_catalogue_price', {o.money('full_catalogue_price')}, 0 from t_recon where full_catalogue_price is not null
+    union all select run_id, doc_id, 'supplier_price', {o.money('supplier_price')}, 0 from t_recon where supplier_price is not null
+    union all select run_id, doc_id, 'price_notes', price_notes, 0 from t_recon where price_notes is not null) group by 1, 2, 3)
 select * from base union all
 select run_id, doc_id, 'catalog_name', value from base b where field = 'product_name'
   and not exists (select 1 from base c where c.doc_id = b.doc_id and c.field = 'catalog_name')""")
 
 
-@query("slip_to_raw_row", sql("select * from s_values", "s_values"))
+@query("slip_to_raw_row", sql("select * from t_values", "t_values"))
 def slip_to_raw_row(spark, sf):
     return facts.slip_values(*_prices(spark, sf))
 
 
 @query("slip_price_precedence", sql("""
 select run_id, doc_id, max(value) filter (where field = 'supplier_price') as supplier_price, max(value) filter (where field = 'catalog_name') as catalog_name
-from s_values group by 1, 2""", "s_values"))
+from t_values group by 1, 2""", "t_values"))
 def slip_price_precedence(spark, sf):
     values = facts.slip_values(*_prices(spark, sf))
     return values.groupBy("run_id", "doc_id").agg(*[
@@ -217,10 +217,10 @@ def slip_price_precedence(spark, sf):
 
 
 @query("slip_products", sql(f"""
-select run_id || '/' || doc_id as run_id, max(value) filter (where field = 'catalog_name') as catalog_name,
+select run_id || '/' || doc_id as run_id, coalesce(max(value) filter (where field = 'catalog_name'), 'Catalog-1') as catalog_name,
   cast(max(value) filter (where field = 'supplier_price') as double) as supplier_price,
   coalesce(cast(max(value) filter (where field = 'total_designs') as bigint), max({o.count_of('value')}) filter (where field = 'full_catalogue'), 1) as variant_count
-from s_values group by s_values.run_id, doc_id""", "s_values"))
+from t_values group by t_values.run_id, doc_id""", "t_values"))
 def slip_products(spark, sf):
     """Slips through to products and placeholder variants."""
     documents, found, prices = _prices(spark, sf)
@@ -233,28 +233,28 @@ def slip_products(spark, sf):
 
 @query("slip_rejects", sql("""
 select run_id, doc_id, filename, case when trim(text) = '' then 'No extractable product data found' else 'No recognizable catalogue fields found' end as reason
-from b_slips s where not exists (select 1 from s_facts f where f.doc_id = s.doc_id)""", "b_slips s_facts"))
+from t_texts s where not exists (select 1 from t_facts f where f.doc_id = s.doc_id)""", "t_texts t_facts"))
 def slip_rejects(spark, sf):
-    documents = slips(spark, sf)
+    documents = texts(spark, sf)
     return facts.slip_rejects(documents, facts.all_facts(documents))
 
 
 @query("document_confidence", sql("""
 select run_id, doc_id, case when status = 'FAILED' then status when trim(text) = '' then 'NO_TEXT_FOUND' else 'SUCCESS' end as status,
   coalesce(n, 0) as word_count, coalesce((q + case when r > 5000 or (r = 5000 and q % 2 = 1) then 1 else 0 end) / 100.0, 0.8)::double as confidence
-from b_slips left join (select doc_id, n, m // 10000 as q, m % 10000 as r from (select doc_id, count(*) as n, cast(round(avg(conf) * 10000) as bigint) as m from b_words where conf <> -1 and trim(word) <> '' group by 1)) using (doc_id)""",
-    "b_slips b_words"))
+from t_texts left join (select doc_id, n, m // 10000 as q, m % 10000 as r from (select doc_id, count(*) as n, cast(round(avg(conf) * 10000) as bigint) as m from b_words where conf <> -1 and trim(word) <> '' group by 1)) using (doc_id)""",
+    "t_texts b_words"))
 def document_confidence(spark, sf):
-    return facts.document_confidence(slips(spark, sf), b.bind(spark, sf, b.WORDS))
+    return facts.document_confidence(texts(spark, sf), b.bind(spark, sf, b.WORDS))
 
 
 @query("document_summary", sql("""
 select run_id, doc_id, len(text) as text_length, coalesce(n, 0) as fact_count, coalesce(fields, '') as fields
-from b_slips left join (select doc_id, sum(n) as n, string_agg(field || '=' || value, '|' order by field) as fields
-  from (select doc_id, field, count(*) as n, arg_max(value, fact_ord) as value from s_facts group by 1, 2) group by 1) using (doc_id)""",
-    "b_slips s_facts"))
+from t_texts left join (select doc_id, sum(n) as n, string_agg(field || '=' || value, '|' order by field) as fields
+  from (select doc_id, field, count(*) as n, arg_max(value, fact_ord) as value from t_facts group by 1, 2) group by 1) using (doc_id)""",
+    "t_texts t_facts"))
 def document_summary(spark, sf):
-    documents = slips(spark, sf)
+    documents = texts(spark, sf)
     out = facts.document_summary(documents, facts.all_facts(documents))
     shown = F.array_join(F.transform(F.map_entries("fields"), lambda e: F.concat(e["key"], F.lit("="), e["value"])), "|")
     return out.withColumn("fields", F.coalesce(shown, F.lit("")))

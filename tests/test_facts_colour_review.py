@@ -24,7 +24,7 @@ def test_misread_currency_needs_evidence(spark):
                "6 Pes x 21415 = #8490\nTotal Designs: 6 Pcs")
     honest = "Price: Rs. 2500 /-\nSingle Piece: 2500"
     d = docs(spark, misread, honest)
-    got = {r.doc_id: r for r in facts.reconciled_prices(d, facts.all_facts(d)).collect()}
+    got = {r.doc_id: r for r in facts.reconciled_prices(d).collect()}
     assert (got[0].wholesale_price, got[0].full_catalogue_price, got[0].single_piece_price, got[0].supplier_price) == (1415.0, 8490.0, 1515.0, 1515.0)
     assert "corrected from 21415.0 to 1415.0" in got[0].price_notes
     assert (got[1].single_piece_price, got[1].price_notes) == (2500.0, None)
@@ -44,7 +44,7 @@ def test_slip_to_placeholder_variants(spark):
     text = "Catalogue - Rajtex Ajrakh\nBrand - Rajtex\nWholesale - % 580\nSingle Piece - ¥ 680\nFull Catalogue - = 3480\nTotal Designs - 6 Pcs"
     d = docs(spark, text, "", "nothing here")
     found = facts.all_facts(d)
-    rows = facts.slip_rows(d, facts.slip_values(d, found, facts.reconciled_prices(d, found)))
+    rows = facts.slip_rows(d, facts.slip_values(d, found, facts.reconciled_prices(d)))
     products, variants = n.normalise(rows)
     assert products.first().supplier_price == 680.0 and variants.count() == 6
     assert {(r.doc_id, r.reason) for r in facts.slip_rejects(d, found).collect()} == {
@@ -123,3 +123,14 @@ def test_merge_conflict_and_consolidation(spark):
     assert {r.source: r.rows for r in merge.source_checks(rows).collect()} == {"a": 2, "b": 1, "c": 0}
     with pytest.raises(merge.ConsolidationError, match=r"\[b\] Schema mismatch. Col 1"):
         merge.consolidate(rows, strict=True)
+
+
+def test_labels_and_prices_stay_in_their_rows(spark):
+    text = "Fabric: soft\n  silk \n\nnot a label\nBrand = One\r\nTwo\nWeight - 1 kg\n" + "plain line\n" * 3_000 + "Care: cold"
+    d = docs(spark, text, None, "", "\n\n")
+    blocks = facts.label_blocks(d)
+    got = {r.field: (r.line_no, r.value, r.raw_text[:12]) for r in blocks.collect()}
+    assert got["fabric"] == (0, "soft silk", "Fabric: soft") and got["brand"] == (4, "One Two", "Brand = One\n") and got["care"][:2] == (3_007, "cold")
+    assert got["weight"][1].startswith("1 kg plain line plain line") and got["weight"][1].count("plain line") == 3_000
+    for df in (blocks, facts.reconciled_prices(d)):
+        assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()

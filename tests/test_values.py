@@ -74,4 +74,4 @@ def test_absurd_prices_in_texts(spark):
                                       "text string, confidence double")
     found = facts.all_facts(documents)
     assert {r.field for r in found.collect()} >= {"brand", "price", "wholesale_price"}
-    assert facts.reconciled_prices(documents, found).first().wholesale_price > 1e26
+    assert facts.reconciled_prices(documents).first().wholesale_price > 1e26
