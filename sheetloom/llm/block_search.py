@@ -10,7 +10,7 @@ comparing everything.
 
 Scale: queries are a stated share of all rows. Rows that repeat id and vector are one, with their number. A
 tile holds a block of queries, ``QUERY_BYTES`` of vectors on average, and streams its candidates, which are
-sorted behind them, part by part; so blocks of candidates may be large: n vectors and q queries are shipped
+sorted behind them, part by part: n vectors and q queries are shipped
 as n * q / query block + q * n / candidate block rows. A query sends ``k`` rows per tile to the merge, where
 ranks are cut before the shuffle.
 
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from sheetloom.llm.common import on_workers
 from sheetloom.session import written
 
-QUERY_BYTES, CANDIDATES = 32 << 20, 1 << 20  # of a block on average
+QUERY_BYTES, CANDIDATES = 32 << 20, 1 << 15  # of a block on average
 PART_QUERIES, PART_CANDIDATES = 512, 4_096  # of a tile at a time
 PAIRS_AT_A_TIME = 200_000
 
@@ -168,12 +168,10 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "ve
 
     ``is_query`` is a condition on the column ``id``.
     """
-    spark = vectors.sparkSession
     rows = written(usable(vectors, id_col, vector_col), "vectors")
     size = rows.agg(F.count("*").alias("all"), F.sum(F.when(is_query, F.size("vec") * 8).otherwise(0)).alias("asked")).first()
-    n_q = max(1, -(-(size["asked"] or 0) // query_bytes))
-    # as many tiles as there are partitions at least
-    n_c = max(1, -(-size["all"] // candidates), -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // n_q))
+    # a query sends k rows out of each block of candidates, so their number follows the vectors, not the cluster
+    n_q, n_c = max(1, -(-(size["asked"] or 0) // query_bytes)), max(1, -(-size["all"] // candidates))
     deal = F.xxhash64("id", "vec")
     each_c, each_q = (F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))) for n in (n_c, n_q))
     queries = rows.where(is_query).select("id", "vec", "copies", F.pmod(deal, F.lit(n_q)).alias("q"), each_c.alias("c"), F.lit(True).alias("asks"))
