@@ -19,29 +19,30 @@ from sheetloom.session import new_path, written
 from sheetloom.sources import delimited, files
 
 # ------------------------------------------------------------ sheet files
-_SHEET_ROWS = 5_000
 _DELIMITERS = {"0": ",", "1": "\t", "2": ";", "3": "|"}
 
 
 def _sheet_folder(spark, sf):
-    """Writes the listing as delimited files; each run has its own delimiter, a long run several files."""
+    """Writes the listing as delimited sheets: a folder each, in parts cut by size, with an own delimiter per run.
+
+    In every seventh row the cells hold line breaks in place of spaces.
+    """
     rows = b.sheet_rows(spark, sf)
     style = F.when(F.col("run_id") == "run-hot", F.lit("0")).otherwise(
         (F.regexp_extract("run_id", r"(\d+)$", 1).cast("int") % 4).cast("string"))
     sep = F.element_at(F.create_map(*[F.lit(x) for kv in _DELIMITERS.items() for x in kv]), style)
+    space = F.when(F.col("row_number") % 7 == 0, F.lit("\n")).otherwise(F.lit(" "))
 
-    def line(cells):
-        return F.array_join(F.transform(cells, lambda x: F.concat(
-            F.lit('"'), F.replace(F.coalesce(x, F.lit("")), F.lit('"'), F.lit('""')), F.lit('"'))), "\u0000")
+    def line(cells, space=F.lit(" ")):
+        return F.array_join(F.transform(cells, lambda x: F.concat(F.lit('"'), F.replace(F.replace(
+            F.coalesce(x, F.lit("")), F.lit('"'), F.lit('""')), F.lit(" "), space), F.lit('"'))), "\u0000")
 
-    data = rows.select("run_id", "row_number", F.replace(line(F.col("cells")), F.lit("\u0000"), sep).alias("value"))
+    data = rows.select("run_id", "row_number", F.replace(line(F.col("cells"), space), F.lit("\u0000"), sep).alias("value"))
     heads = rows.groupBy("run_id").agg(F.min_by("headers", "row_number").alias("headers")).select(
         "run_id", F.lit(1).alias("row_number"), F.replace(line(F.col("headers")), F.lit("\u0000"), sep).alias("value"))
     path = new_path(spark, "sheets")
-    parted = data.withColumn("part", F.floor(F.col("row_number") / _SHEET_ROWS).cast("int"))
-    every = parted.unionByName(heads.join(parted.select("run_id", "part").distinct(), "run_id"))
-    (every.repartition("run_id", "part").sortWithinPartitions("run_id", "part", "row_number")
-     .drop("row_number").write.partitionBy("run_id", "part").text(path))
+    (data.unionByName(heads).repartitionByRange("run_id", "row_number").sortWithinPartitions("run_id", "row_number")
+     .drop("row_number").write.partitionBy("run_id").text(path))
     return path
 
 
@@ -49,21 +50,21 @@ def _run_of_path():
     return F.regexp_extract(delimited.FILE, r"run_id=([^/]+)/", 1)
 
 
-cte("f_rows", "b_listing", f"select *, row_number() over (partition by run_id, floor(row_number / {_SHEET_ROWS}) order by row_number) + 1 as line_no from b_listing")
+cte("f_rows", "b_listing", "select *, row_number() over (partition by run_id order by row_number) + 1 as line_no from b_listing")
 
 
 @query("scan_catalogue_cells", sql("""
-select c.run_id, f.line_no as row_number, c.pos, c.header, c.value from b_cells c join f_rows f on f.run_id = c.run_id and f.row_number = c.row_number""".replace(
+select c.run_id, f.line_no as row_number, c.pos, c.header, case when c.row_number % 7 = 0 then replace(c.value, ' ', chr(10)) else c.value end as value from b_cells c join f_rows f on f.run_id = c.run_id and f.row_number = c.row_number""".replace(
     "c.header", "trim(c.header) as header"), "b_cells f_rows"))
 def scan_catalogue_cells(spark, sf):
-    rows = delimited.scan(spark, _sheet_folder(spark, sf), _run_of_path())
+    rows = delimited.scan(spark, _sheet_folder(spark, sf), _run_of_path(), folders=True)
     return delimited.cells(rows).drop(delimited.FILE)
 
 
 @query("infer_delimiter", sql("""
 select distinct run_id, case style when 1 then chr(9) when 2 then ';' when 3 then '|' else ',' end as delimiter from b_listing""", "b_listing"))
 def infer_delimiter(spark, sf):
-    heads = delimited.lines(spark, _sheet_folder(spark, sf)).where(F.col("line_no") == 1)
+    heads = delimited.lines(spark, _sheet_folder(spark, sf), folders=True).where(F.col("line_no") == 1)
     return delimited.infer_delimiters(heads).select(_run_of_path().alias("run_id"), "delimiter").distinct()
 
 

@@ -31,6 +31,43 @@ def test_delimiters_and_row_numbers_over_splits(spark, tmp_path):
     assert (small.headers, small.cells) == (["A", "B|C"], ["1", 'q "x" | y'])
 
 
+def test_cells_over_several_lines_and_splits(spark, tmp_path):
+    import csv
+    import random
+
+    rng = random.Random(5)
+    bits = ["a", "b c", '"', ",", "\n", "\n\n", "5\" pipe", "", "é", "long " * 9, " "]
+    wanted = [[("x" + "".join(rng.choices(bits, k=rng.randint(0, 6)))) if rng.random() < 0.8 else "" for _ in range(3)] + [str(i + 2)] for i in range(400)]
+    (tmp_path / "in").mkdir()
+    with open(tmp_path / "in" / "s.csv", "w", newline="") as f:
+        csv.writer(f, lineterminator="\n").writerow(["A", "B", "C\nD", "N"])
+        for i, row in enumerate(wanted):
+            csv.writer(f, lineterminator="\n", quoting=csv.QUOTE_ALL if i % 3 else csv.QUOTE_MINIMAL).writerow(row)
+            f.write("  \n\t\n" if i % 50 == 0 else "")
+    (tmp_path / "in" / "z.csv").write_text('A,B\n1,2\n3,5" x\n4,"open\n5,6\n')
+    for size in ("4000b", "1g"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            rows = delimited.scan(spark, str(tmp_path / "in")).collect()
+            rejects = delimited.scan_rejects(spark, str(tmp_path / "in")).collect()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        got = sorted((r.row_number, [x or "" for x in r.cells]) for r in rows)
+        assert {tuple(r.headers) for r in rows} == {("A", "B", "C\nD", "N")}
+        assert got == [(i + 2, row) for i, row in enumerate(wanted)]
+        assert [(r.source_file.rsplit("/", 1)[1], r.row_number, r.reason) for r in rejects] == [("z.csv", 4, "End of file inside a quoted cell")]
+
+
+def test_folder_as_one_sheet_and_lines_of_tabs(spark, tmp_path):
+    for name, text in (("a/p0.csv", "A,B\n1,2\n\t\n3,4\n"), ("a/p1.csv", '5,"6\n'), ("a/p2.csv", '7"\n8,9\n'), ("b/p0.csv", "A\tB\n1\t2\n\t\n3\t4\n")):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text(text)
+    rows = delimited.scan(spark, str(tmp_path), folders=True).collect()
+    got = {(r.source_file.rsplit("/", 2)[1], r.row_number): r.cells for r in rows}
+    assert got == {("a", 2): ["1", "2"], ("a", 3): ["3", "4"], ("a", 4): ["5", "6\n7"], ("a", 5): ["8", "9"],
+                   ("b", 2): ["1", "2"], ("b", 3): [None, None], ("b", 4): ["3", "4"]}
+
+
 def test_formula_safe_csv(spark, tmp_path):
     df = spark.createDataFrame([("=1+1", {"a": "b"}, 1.5), ("plain", None, None)], "t string, m map<string,string>, n double")
     safe = {r.n: r for r in exports.safe_table(df).collect()}
