@@ -142,6 +142,11 @@ IMPORT_COLUMNS = [
     "work", "occasion", "size", "description", "supplier_price", "gst_percent", "selling_price",
     "image-sku", "image_url", "publish", "image1_url", "image2_url", "image3_url", "image4_url",
 ]
+STORE_COLUMNS = [
+    "supplier_name", "catalog_name", "product_group", "product_name", "variant_name", "supplier_sku", "image_sku",
+    "category_slug", "brand_name", "fabric", "blouse_fabric", "work", "occasion", "size", "description",
+    "supplier_price", "gst_percent", "selling_price", "publish", "main_image_url",
+]
 LEGACY_COLUMNS = [
     "supplier_name", "catalog_name", "product_group", "product_name", "varient_name",
     "supplier_sku", "product_type", "category_slug", "brand_name", "fabric", "blouse_fabric",

@@ -210,27 +210,41 @@ def import_table(products: DataFrame, variants: DataFrame, images: DataFrame | N
     return rows.select("run_id", *VARIANT[1:], *[out.get(n, F.col(f"`{n}`")).alias(n) for n in fv.IMPORT_COLUMNS])
 
 
-def store_import(products: DataFrame, variants: DataFrame, slots: int = 5) -> DataFrame:
-    """Store import: only hosted URLs, never published."""
+_STORE_ATTRIBUTES = ("fabric", "blouse_fabric", "work", "occasion", "size")
+
+
+def first_upload(uploads: DataFrame) -> DataFrame:
+    """The first uploaded image of each variant that has any."""
+    return uploads.where(F.col("blob_url") != "").groupBy("run_id", "variant_code").agg(
+        F.min(F.struct("sort_index", "blob_url"))["blob_url"].alias("first_upload"))
+
+
+def store_import(products: DataFrame, variants: DataFrame, uploads: DataFrame | None = None, slots: int = 5) -> DataFrame:
+    """Store import: only hosted URLs, never published.
+
+    A variant without a hosted primary image shows its first uploaded one;
+    attributes that its product lacks are the variant's own.
+    """
     blank = F.lit("")
     parent = ["supplier_name", "catalog_name", "product_group", "product_name", "category_slug", "brand_name",
               "description", "supplier_price", "gst_percent",
-              *[attribute("attributes", a).alias(a if a != "size" else "parent_size")
-                for a in ("fabric", "blouse_fabric", "work", "occasion", "size")]]
-    main = F.when(c.is_hosted_url("primary_image_url"), F.col("primary_image_url")).otherwise(blank)
-    rows = join_parent(variants, products, parent).withColumn("main_image_url", main)
+              *[attribute("attributes", a).alias(f"parent_{a}") for a in _STORE_ATTRIBUTES]]
+    rows = join_parent(variants, products, parent)
+    if uploads is None:
+        rows = rows.withColumn("first_upload", blank)
+    else:
+        rows = rows.join(first_upload(uploads), ["run_id", "variant_code"], "left")
+    rows = rows.withColumn("main_image_url", F.when(c.is_hosted_url("primary_image_url"), F.col("primary_image_url"))
+                           .otherwise(F.coalesce("first_upload", blank)))
     rows = rows.withColumn("gallery", F.filter(
         "gallery_image_urls", lambda u: c.is_hosted_url(u) & (u != F.col("main_image_url"))))
-    text = {x: F.coalesce(x, blank) for x in ("product_group", "supplier_sku", "image_sku", "brand_name", "fabric",
-                                              "blouse_fabric", "work", "occasion", "description")}
+    text = {x: F.coalesce(x, blank) for x in ("product_group", "supplier_sku", "image_sku", "brand_name", "description")}
+    text |= {a: F.coalesce(f"parent_{a}", attribute("attributes", a), blank) for a in _STORE_ATTRIBUTES[:-1]}
     text["category_slug"] = F.coalesce(F.nullif("category_slug", blank), F.lit("sarees"))
     text["size"] = F.coalesce(F.nullif("size", blank), "parent_size", blank)
     text["supplier_price"] = F.coalesce(c.amount_text(F.coalesce("supplier_price", "supplier_cost")), blank)
     text["gst_percent"] = F.coalesce(c.amount_text("gst_percent"), blank)
     text["selling_price"] = F.coalesce(c.amount_text("selling_price"), blank)
     text["publish"] = F.lit(False)
-    order = ["supplier_name", "catalog_name", "product_group", "product_name", "variant_name", "supplier_sku", "image_sku",
-             "category_slug", "brand_name", "fabric", "blouse_fabric", "work", "occasion", "size", "description",
-             "supplier_price", "gst_percent", "selling_price", "publish", "main_image_url"]
-    return rows.select(*VARIANT, *[text.get(x, F.col(x)).alias(x) for x in order],
+    return rows.select(*VARIANT, *[(text[x] if x in text else F.col(x)).alias(x) for x in fv.STORE_COLUMNS],
                        *[F.coalesce(F.get("gallery", F.lit(i)), blank).alias(f"image_{i + 1}_url") for i in range(slots)])

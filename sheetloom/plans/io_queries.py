@@ -241,7 +241,7 @@ def export_import26(spark, sf):
     return exports.import_table(products, variants, image_rows(spark, sf), b.bind(spark, sf, b.UPLOADS))
 
 
-_STORE = ["supplier_name", "catalog_name", "coalesce(product_group, '') as product_group", "product_name", "variant_name",
+STORE = ["supplier_name", "catalog_name", "coalesce(product_group, '') as product_group", "product_name", "variant_name",
           "coalesce(supplier_sku, '') as supplier_sku", "coalesce(image_sku, '') as image_sku", "coalesce(nullif(category_slug, ''), 'sarees') as category_slug",
           "coalesce(brand_name, '') as brand_name", "coalesce(fabric0, '') as fabric", "coalesce(blouse, '') as blouse_fabric", "coalesce(work, '') as work",
           "coalesce(occasion, '') as occasion", "coalesce(nullif(size, ''), psize, '') as size", "coalesce(description, '') as description",
@@ -249,12 +249,16 @@ _STORE = ["supplier_name", "catalog_name", "coalesce(product_group, '') as produ
           f"coalesce({o.money('selling_price')}, '') as selling_price", "false as publish", "main as main_image_url"]
 
 
-@query("export_store_import", sql(f"select run_id, product_ord, variant_ord, {', '.join(_STORE)}, " + ", ".join(
+cte("x_first", "r_uploads", "select run_id, variant_code, min({'s': sort_index, 'u': blob_url}).u as first_upload from r_uploads where blob_url <> '' group by 1, 2")
+
+
+@query("export_store_import", sql(f"select run_id, product_ord, variant_ord, {', '.join(STORE)}, " + ", ".join(
     f"coalesce(list_filter(gallery_image_urls, lambda u: contains(u, 'blob') and u <> main)[{i}], '') as image_{i}_url" for i in range(1, 6)) + """
-from (select *, case when contains(primary_image_url, 'blob') then primary_image_url else '' end as main from o_variants) join x_parent using (run_id, product_ord)""",
-    "o_variants x_parent"))
+from (select v.*, case when contains(primary_image_url, 'blob') then primary_image_url else coalesce(f.first_upload, '') end as main
+  from o_variants v left join x_first f on f.run_id = v.run_id and f.variant_code = v.variant_code) join x_parent using (run_id, product_ord)""",
+    "o_variants x_parent x_first"))
 def export_store_import(spark, sf):
-    return exports.store_import(*products_variants(spark, sf))
+    return exports.store_import(*products_variants(spark, sf), b.bind(spark, sf, b.UPLOADS))
 
 
 @query("formula_safe_text", sql("""

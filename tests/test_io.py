@@ -68,6 +68,35 @@ def test_folder_as_one_sheet_and_lines_of_tabs(spark, tmp_path):
                    ("b", 2): ["1", "2"], ("b", 3): [None, None], ("b", 4): ["3", "4"]}
 
 
+def test_hosted_galleries_in_blocks_and_the_store_import(spark, monkeypatch):
+    from sheetloom.operators import run
+
+    monkeypatch.setattr(run, "GALLERY_BLOCK", 3)
+    variants = spark.createDataFrame(
+        [("r", 1, 1, "V1", "https://old/p.jpg", ["https://old/g.jpg"], {"Fabric": "silk"}), ("r", 1, 2, "V2", None, ["https://old/g.jpg"], {})],
+        "run_id string, product_ord bigint, variant_ord int, variant_code string, primary_image_url string, gallery_image_urls array<string>, attributes map<string,string>")
+    uploads = spark.createDataFrame(
+        [("r", "V1", f"https://x.blob/{i}.jpg", i, i == 0, "UPLOADED") for i in range(8)] + [("r", "V2", "https://x.blob/late.jpg", 4, False, "UPLOADED")],
+        "run_id string, variant_code string, blob_url string, sort_index int, is_primary boolean, status string")
+    galleries = run.hosted_galleries(uploads)
+    blocks = {(r.variant_code, r.block): [u[-5] for u in r.urls] for r in galleries.where("variant_code = 'V1'").collect()}
+    assert blocks == {("V1", 0): list("123"), ("V1", 1): list("456"), ("V1", 2): ["7"]}
+    hosted = run.with_hosted(variants, uploads, galleries)
+    got = {r.variant_code: (r.primary_image_url, len(r.gallery_image_urls)) for r in hosted.collect()}
+    assert got == {"V1": ("https://x.blob/0.jpg", 3), "V2": (None, 1)}
+    products = spark.createDataFrame([("r", 1, "s", "c", "n", {"work": "zari"})],
+                                     "run_id string, product_ord bigint, supplier_name string, catalog_name string, product_name string, attributes map<string,string>")
+    for name in ("product_group", "category_slug", "brand_name", "description"):
+        products = products.withColumn(name, F.lit(None).cast("string"))
+    products = products.withColumn("supplier_price", F.lit(1.0)).withColumn("gst_percent", F.lit(5.0))
+    for name in ("variant_name", "supplier_sku", "image_sku", "size"):
+        hosted = hosted.withColumn(name, F.lit(None).cast("string"))
+    hosted = hosted.withColumn("supplier_cost", F.lit(None).cast("double")).withColumn("selling_price", F.lit(None).cast("double"))
+    rows = {r.variant_ord: r for r in exports.store_import(products, hosted, uploads).collect()}
+    assert (rows[1].main_image_url, rows[1].image_1_url, rows[1].fabric, rows[1].work) == ("https://x.blob/0.jpg", "https://x.blob/1.jpg", "silk", "zari")
+    assert (rows[2].main_image_url, rows[2].image_1_url, rows[2].fabric) == ("https://x.blob/late.jpg", "", "")
+
+
 def test_formula_safe_csv(spark, tmp_path):
     df = spark.createDataFrame([("=1+1", {"a": "b"}, 1.5), ("plain", None, None)], "t string, m map<string,string>, n double")
     safe = {r.n: r for r in exports.safe_table(df).collect()}
