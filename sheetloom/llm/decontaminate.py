@@ -5,10 +5,12 @@ words is one window). Words are ASCII letters lower-cased, digits and everything
 separates them. The automaton runs over a document's words once; a word inside any occurrence of a
 window is *hit*, and runs of hit words are mapped back to code-point offsets of the original text.
 
-Scale: documents are never shuffled. Windows are built by Spark and dealt by hash into shards of at most
-``shard`` (window, item) pairs on average; one shard is what is broadcast, so its size is bounded. A
-benchmark of one shard (the usual case) costs one pass; with more shards the passes follow one another
-and each result is written to the shared folder, so that a worker holds one automaton at a time.
+Scale: documents are never shuffled. (window, item) pairs are built by Spark and dealt into shards by a hash
+of both, so that the items of a window that very many of them share are spread over the shards too; a shard
+holds about ``shard`` pairs and ``SHARD_BYTES`` of text however the windows are distributed, and one shard is
+what is collected and broadcast at a time. A benchmark of one shard (the usual case) costs one pass; with more
+shards the passes follow one another, their hits and items add up, and each result is written to the shared
+folder, so that a worker holds one automaton at a time. A document's list of items is one value of its row.
 
 Defined results: a null or empty text has no words and is not contaminated; an item without words or
 without an id is never found; repeated items count once; very long texts are scanned whole.
@@ -27,6 +29,7 @@ from sheetloom.session import written
 
 WINDOW = 13
 SHARD_PAIRS = 200_000
+SHARD_BYTES = 32 << 20
 
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 _WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
@@ -129,14 +132,23 @@ def _scan(docs: DataFrame, pairs: list[tuple[bytes, str]], text_col: str, into:
     return append_struct(docs, into, RESULT, make, text_col)
 
 
+def shard_count(found: DataFrame, shard: int) -> int:
+    size = found.agg(F.count(F.lit(1)).alias("pairs"), F.sum(F.octet_length("window") + F.octet_length("item")).alias("bytes")).first()
+    return max(1, -(-size["pairs"] // shard), -(-(size["bytes"] or 0) // SHARD_BYTES))
+
+
+def shard_of(shards: int):
+    return F.pmod(F.xxhash64("window", "item"), F.lit(shards))
+
+
 def find_contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, text_col: str = "text", into: str = "contamination",
                        item_id: str = "item_id", item_text: str = "text", shard: int = SHARD_PAIRS) -> DataFrame:
     """Rows of ``docs`` with a struct: n_words, n_hit, items (ids as strings, sorted), spans, hits (word runs)."""
     found = written(windows(benchmark, size, item_id, item_text), "benchmark-windows")
-    shards = max(1, -(-found.count() // shard))
+    shards = shard_count(found, shard)
     result, earlier = docs, None
     for k in range(shards):
-        pairs = [(bytes(r["window"]), r["item"]) for r in found.where(F.pmod(F.xxhash64("window"), F.lit(shards)) == k).collect()]
+        pairs = [(bytes(r["window"]), r["item"]) for r in found.where(shard_of(shards) == k).collect()]
         last = k == shards - 1
         target = into if last else free_name(result, f"{into}_{k}")
         result = _scan(result, pairs, text_col, target, earlier, last)

@@ -44,6 +44,19 @@ def test_like_a_plain_scan(spark, shard):
         assert len(kept) == r["n_hit"]
 
 
+def test_window_that_a_third_of_the_items_share(spark):
+    items = [(i, f"read the text below {i} and {i * 7} then choose") for i in range(40)] + [(100 + i, f"other words {i} {i} here") for i in range(80)]
+    docs = [(1, "Please READ the text, below."), (2, "x other words 5 5 here"), (3, "read the text below 3 and 21 then"), (4, "clean")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = D.windows(bench, 4)
+    shards = D.shard_count(found, 40)
+    sizes = {r["s"]: r["count"] for r in found.groupBy(D.shard_of(shards).alias("s")).count().collect()}
+    assert shards > 4 and max(sizes.values()) < 80  # by windows alone, 40 pairs and their neighbours would meet in one
+    got = D.find_contamination(spark.createDataFrame(docs, "doc_id long, text string"), bench, size=4, shard=80)
+    for r in got.select("doc_id", "text", "contamination.*").collect():
+        assert (r["n_words"], r["n_hit"], r["items"]) == plain(r["text"], items, 4)
+
+
 def test_spans_in_the_original_text(spark):
     docs = spark.createDataFrame([(1, "Né, THE quick—brown fox! ends")], "doc_id long, text string")
     items = spark.createDataFrame([(5, "quick—brown FOX")], "item_id long, text string")
