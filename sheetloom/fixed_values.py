@@ -142,6 +142,12 @@ IMPORT_COLUMNS = [
     "work", "occasion", "size", "description", "supplier_price", "gst_percent", "selling_price",
     "image-sku", "image_url", "publish", "image1_url", "image2_url", "image3_url", "image4_url",
 ]
+FLAT_COLUMNS = [
+    "supplier_name", "catalog_name", "product_group", "product_name", "variant_name", "variant_code",
+    "supplier_sku", "image_sku", "product_type", "category_slug", "brand_name", "color", "size", "description",
+    "supplier_price", "supplier_cost", "gst_percent", "selling_price", "stock_quantity", "publish",
+    "review_status", "primary_image_url",
+]
 STORE_COLUMNS = [
     "supplier_name", "catalog_name", "product_group", "product_name", "variant_name", "supplier_sku", "image_sku",
     "category_slug", "brand_name", "fabric", "blouse_fabric", "work", "occasion", "size", "description",

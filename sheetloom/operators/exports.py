@@ -54,8 +54,9 @@ def write_canonical_json(documents: DataFrame, path: str) -> None:
 
 
 def write_csv(table: DataFrame, path: str) -> None:
-    """Flat table as CSV, texts safe for spreadsheets."""
-    safe_table(table).write.option("header", "true").csv(path)
+    """Flat table as CSV, texts safe for spreadsheets, white space kept and quotes doubled."""
+    (safe_table(table).write.option("header", "true").option("escape", '"').option("ignoreLeadingWhiteSpace", "false")
+     .option("ignoreTrailingWhiteSpace", "false").csv(path))
 
 
 # ------------------------------------------------------------------ nested
@@ -96,10 +97,7 @@ def canonical_flat(products: DataFrame, variants: DataFrame) -> DataFrame:
     parent = ["supplier_name", "catalog_name", "product_group", "product_name", "product_type", "category_slug",
               "brand_name", "description", "supplier_price", "gst_percent", F.col("attributes").alias("p_attributes")]
     joined = join_parent(variants, products, parent).withColumn("gallery", clean_gallery())
-    front = ["supplier_name", "catalog_name", "product_group", "product_name", "variant_name", "variant_code",
-             "supplier_sku", "image_sku", "product_type", "category_slug", "brand_name", "color", "size", "description",
-             "supplier_price", "supplier_cost", "gst_percent", "selling_price", "stock_quantity", "publish",
-             "review_status", "primary_image_url", F.col("primary_image_url").alias("image_url")]
+    front = [*fv.FLAT_COLUMNS, F.col("primary_image_url").alias("image_url")]
     names = F.array(*[F.lit(x) for x in front if isinstance(x, str)], F.lit("image_url"))
     own = F.map_filter("p_attributes", lambda k, v: ~F.array_contains(names, k))
     extra = F.map_filter("attributes", lambda k, v: ~F.array_contains(names, k) & ~F.array_contains(F.map_keys(own), k))

@@ -16,7 +16,7 @@ from sheetloom.plans.normalise_queries import products_variants
 from sheetloom.plans.oracle_base import cte, sql
 from sheetloom.plans.registry import query
 from sheetloom.session import new_path, written
-from sheetloom.sources import delimited, files
+from sheetloom.sources import delimited, files, flat
 
 # ------------------------------------------------------------ sheet files
 _DELIMITERS = {"0": ",", "1": "\t", "2": ";", "3": "|"}
@@ -176,9 +176,30 @@ select v.run_id, v.product_ord, v.variant_ord, {_FLAT}, primary_image_url as ima
      and a.name not in {o.in_list(_FLAT.split(', ') + ['image_url'])}) as attribute_count
 from o_variants v join x_parent using (run_id, product_ord)""", "o_variants x_parent o_attributes"))
 def export_canonical_flat(spark, sf):
-    flat = exports.canonical_flat(*products_variants(spark, sf))
+    table = exports.canonical_flat(*products_variants(spark, sf))
     whole = F.array_join(F.transform("gallery_image_urls", lambda u: F.coalesce(u, F.lit(""))), " ")
-    return flat.withColumns({"attribute_count": F.size("attributes").cast("bigint"), "gallery": whole}).drop("attributes", "gallery_image_urls")
+    return table.withColumns({"attribute_count": F.size("attributes").cast("bigint"), "gallery": whole}).drop("attributes", "gallery_image_urls")
+
+
+_FLAT_TEXTS = [x for x in fv.FLAT_COLUMNS if x not in ("supplier_price", "supplier_cost", "gst_percent", "selling_price", "stock_quantity", "publish")]
+_FLAT_BACK = ", ".join(f"nullif({x}, '') as {x}" if x in _FLAT_TEXTS else x for x in fv.FLAT_COLUMNS)
+
+
+@query("read_canonical_flat", sql(f"""
+select v.run_id, v.product_ord, v.variant_ord, {_FLAT_BACK},
+  array_to_string(list_transform({_CLEAN}, lambda u: coalesce(u, '')), ' ') as gallery,
+  (select coalesce(string_agg(name || '=' || value, '|' order by name), '') from o_attributes a where a.run_id = v.run_id and a.product_id = v.product_id
+     and a.name not in {o.in_list(_FLAT.split(', ') + ['image_url'])}) as attributes
+from o_variants v join x_parent using (run_id, product_ord)""", "o_variants x_parent o_attributes"))
+def read_canonical_flat(spark, sf):
+    """The flat table written as files and read back by its headers."""
+    path = new_path(spark, "flat")
+    exports.write_csv(exports.canonical_flat(*products_variants(spark, sf)), path)
+    back = flat.canonical_flat(spark, path)
+    pairs = F.transform(F.array_sort(F.map_entries("attributes")), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return back.select("run_id", "product_ord", "variant_ord", *fv.FLAT_COLUMNS,
+                       F.array_join(F.transform("gallery_image_urls", lambda u: F.coalesce(u, F.lit(""))), " ").alias("gallery"),
+                       F.array_join(pairs, "|").alias("attributes"))
 
 
 @query("product_number", sql('select run_id, product_id, no as "No" from x_parent', "x_parent"))

@@ -97,6 +97,23 @@ def test_hosted_galleries_in_blocks_and_the_store_import(spark, monkeypatch):
     assert (rows[2].main_image_url, rows[2].image_1_url, rows[2].fabric) == ("https://x.blob/late.jpg", "", "")
 
 
+def test_flat_files_with_different_columns(spark, tmp_path):
+    from sheetloom.operators import merge
+    from sheetloom.sources import flat
+
+    (tmp_path / "a.csv").write_text('catalog_name,variant_code,image10_url,image2_url,Fabric,selling_price,attributes\n'
+                                    'C,V1,u10,u2,"silk, ""soft""\nwarm",12.5,"{""Work"":""zari"",""Fabric"":""cotton""}"\nC,,,,,x,\n')
+    (tmp_path / "b.csv").write_text("product_id;image1;Fabric;Fabric;description\nP;u1;a;b;'=1+1\n")
+    back = flat.canonical_flat(spark, str(tmp_path))
+    rows = {(r.source_file[-5], r.row_number): r for r in back.collect()}
+    assert rows["a", 2].gallery_image_urls == ["u2", "u10"] and rows["a", 2].selling_price == 12.5
+    assert rows["a", 2].attributes == {"Work": "zari", "Fabric": "cotton"}
+    assert (rows["a", 3].gallery_image_urls, rows["a", 3].attributes, rows["a", 3].selling_price) == ([], {}, None)
+    assert (rows["b", 2].gallery_image_urls, rows["b", 2].attributes["Fabric"], rows["b", 2].description) == (["u1"], "a", "=1+1")
+    grouped = merge.regroup_flat(back).select("product_id", "variant_code", "variant_name").collect()
+    assert sorted(map(tuple, grouped)) == [("C", "V1", "Standard"), ("C", "VAR-2", "Standard"), ("P", "VAR-1", "Standard")]
+
+
 def test_formula_safe_csv(spark, tmp_path):
     df = spark.createDataFrame([("=1+1", {"a": "b"}, 1.5), ("plain", None, None)], "t string, m map<string,string>, n double")
     safe = {r.n: r for r in exports.safe_table(df).collect()}
