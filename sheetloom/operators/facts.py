@@ -322,17 +322,16 @@ def slip_rejects(documents: DataFrame, facts: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------- documents
 def document_confidence(documents: DataFrame, words: DataFrame) -> DataFrame:
-    """Status of each document and the mean confidence of its words.
+    """Status of each document and the mean confidence of its words ``(run_id, doc_id, word, conf)``.
 
     Words without text and boxes marked -1 do not count; without any word the
     confidence is 0.8.
     """
-    key = [x for x in DOC if x in words.columns]  # run and document where the boxes name both
-    seen = (words.where((F.col("conf") != -1) & ~c.is_blank("word")).groupBy(*key)
+    seen = (words.where((F.col("conf") != -1) & ~c.is_blank("word")).groupBy(*DOC)
             .agg(F.avg(F.col("conf").cast("decimal(9,2)")).alias("mean"), F.count(F.lit(1)).alias("word_count")))
     status = F.when(F.col("status").isin("FAILED", "UNSUPPORTED_FORMAT", "PROVIDER_UNAVAILABLE", "OCR_REQUIRED"),
                     F.col("status")).when(c.is_blank("text"), F.lit("NO_TEXT_FOUND")).otherwise(F.lit("SUCCESS"))
-    return (documents.join(seen, key, "left").select(
+    return (documents.join(seen, DOC, "left").select(
         *DOC, status.alias("status"), F.coalesce("word_count", F.lit(0)).alias("word_count"),
         F.coalesce(F.bround(F.col("mean").cast("double") / 100, 2), F.lit(0.8)).alias("confidence")))
 

@@ -228,10 +228,10 @@ from (select l.*, cast(floor(l_orderkey / 8) as bigint) as img from {lineitem} l
 """
 
 # Word boxes: one per order line, of the slip with the same order key.
-WORDS = """
-select l_orderkey as doc_id, case when l_linenumber = 4 then '  ' else 'w' || cast(l_partkey as string) end as word,
+WORDS = f"""
+select s.run_id, l_orderkey as doc_id, case when l_linenumber = 4 then '  ' else 'w' || cast(l_partkey as string) end as word,
   case when l_partkey % 11 = 0 then -1.0 else l_quantity * 2 end as conf
-from {lineitem}
+from {{lineitem}} join (select run_id, doc_id from ({SLIPS})) s on s.doc_id = l_orderkey
 """
 
 # Payloads to host: exact text copies reuse a key, other texts collide.

@@ -242,7 +242,7 @@ def slip_rejects(spark, sf):
 @query("document_confidence", sql("""
 select run_id, doc_id, case when status = 'FAILED' then status when trim(text) = '' then 'NO_TEXT_FOUND' else 'SUCCESS' end as status,
   coalesce(n, 0) as word_count, coalesce((q + case when r > 5000 or (r = 5000 and q % 2 = 1) then 1 else 0 end) / 100.0, 0.8)::double as confidence
-from t_texts left join (select doc_id, n, m // 10000 as q, m % 10000 as r from (select doc_id, count(*) as n, cast(round(avg(conf) * 10000) as bigint) as m from b_words where conf <> -1 and trim(word) <> '' group by 1)) using (doc_id)""",
+from t_texts left join (select run_id, doc_id, n, m // 10000 as q, m % 10000 as r from (select run_id, doc_id, count(*) as n, cast(round(avg(conf) * 10000) as bigint) as m from b_words where conf <> -1 and trim(word) <> '' group by 1, 2)) using (run_id, doc_id)""",
     "t_texts b_words"))
 def document_confidence(spark, sf):
     return facts.document_confidence(texts(spark, sf), b.bind(spark, sf, b.WORDS))

@@ -152,6 +152,23 @@ def read_manifest(spark, sf):
     return files.read_manifest(spark, path).withColumn("is_valid", review.is_valid()).drop("proposed_product_id")
 
 
+@query("manifest_rejects", sql("""
+select run_id, cast(floor(manifest_ord / 1000) as bigint) as block, 'Not a readable manifest' as reason, count(*) as entries_read
+from r_valid group by 1, 2""", "r_valid"))
+def manifest_rejects(spark, sf):
+    """Every document is written twice, once whole and once cut off at its end."""
+    path = new_path(spark, "manifest-json")
+    files.write_manifest(rq.manifest(spark, sf), f"{path}/whole")
+    documents = spark.read.text(f"{path}/whole")
+    documents.select(F.expr("left(value, length(value) - 2)").alias("value")).write.text(f"{path}/cut")
+    block = F.floor(F.regexp_extract("text", r'"manifest_ord":(\d+)', 1).cast("bigint") / files.ENTRIES_PER_DOCUMENT)
+    rejects = files.manifest_rejects(spark, path).select(
+        F.regexp_extract("text", r'"run_id":"([^"]*)"', 1).alias("run_id"), block.alias("block"), "reason")
+    read = files.read_manifest(spark, path).groupBy(
+        "run_id", F.floor(F.col("manifest_ord") / files.ENTRIES_PER_DOCUMENT).alias("block")).agg(F.count(F.lit(1)).alias("entries_read"))
+    return rejects.join(read, ["run_id", "block"], "left")
+
+
 # ------------------------------------------------------------- flat tables
 cte("x_attr", "o_attributes", "select run_id, product_id, lower(name) as name, min(value) as value from o_attributes where value <> '' group by 1, 2, 3")
 cte("x_parent", "o_products x_attr", """

@@ -134,3 +134,12 @@ def test_labels_and_prices_stay_in_their_rows(spark):
     assert got["weight"][1].startswith("1 kg plain line plain line") and got["weight"][1].count("plain line") == 3_000
     for df in (blocks, facts.reconciled_prices(d)):
         assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_word_boxes_of_equal_documents_of_two_runs(spark):
+    documents = spark.createDataFrame([("a", 1, "OK", "t"), ("b", 1, "OK", "t"), ("c", 1, "OK", "")],
+                                      "run_id string, doc_id bigint, status string, text string")
+    words = spark.createDataFrame([("a", 1, "w", 50.0), ("b", 1, "w", 90.0), ("b", 1, " ", 10.0), ("b", 1, "x", -1.0)],
+                                  "run_id string, doc_id bigint, word string, conf double")
+    got = {r.run_id: (r.status, r.word_count, r.confidence) for r in facts.document_confidence(documents, words).collect()}
+    assert got == {"a": ("SUCCESS", 1, 0.5), "b": ("SUCCESS", 1, 0.9), "c": ("NO_TEXT_FOUND", 0, 0.8)}

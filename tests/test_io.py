@@ -114,6 +114,15 @@ def test_flat_files_with_different_columns(spark, tmp_path):
     assert sorted(map(tuple, grouped)) == [("C", "V1", "Standard"), ("C", "VAR-2", "Standard"), ("P", "VAR-1", "Standard")]
 
 
+def test_broken_manifests_among_good_ones(spark, tmp_path):
+    good = '{"manifest_version": "1.0",\n "run_id": "r", "entries": [{"manifest_ord": 3, "image_id": "i"}]}'
+    for name, text in (("a.json", good), ("b.json", good[:-3]), ("c.json", "no json"), ("d.json", " \n")):
+        (tmp_path / name).write_text(text)
+    assert [(r.run_id, r.manifest_ord, r.image_id) for r in files.read_manifest(spark, str(tmp_path), whole=True).collect()] == [("r", 3, "i")]
+    rejects = files.manifest_rejects(spark, str(tmp_path), whole=True).collect()
+    assert sorted(r.source_file.rsplit("/", 1)[1] for r in rejects) == ["b.json", "c.json"]
+
+
 def test_formula_safe_csv(spark, tmp_path):
     df = spark.createDataFrame([("=1+1", {"a": "b"}, 1.5), ("plain", None, None)], "t string, m map<string,string>, n double")
     safe = {r.n: r for r in exports.safe_table(df).collect()}
