@@ -136,28 +136,49 @@ def _union_size(hits: DataFrame, variants: DataFrame, shared_a: Column, shared_b
             .agg(F.sum("n").alias("n"), F.min("first").alias("first"), F.max("is_shared").alias("by_shared")))
 
 
+def _path_keys() -> tuple[Column, Column, list[Column]]:
+    """What a path may name a variant by: colour and name, which many variants share, and its code."""
+    return c.clean_token("color"), c.clean_token("variant_name"), [c.clean_token("variant_code")]
+
+
+def _fact_keys() -> tuple[Column, Column, list[Column]]:
+    """What a text fact may name a variant by: SKU and name, which many share, and its own code and image SKU."""
+    return F.lower("supplier_sku"), F.lower("variant_name"), [F.lower("variant_code"), F.lower("image_sku")]
+
+
+def _path_tokens(scoped: DataFrame, variants: DataFrame) -> DataFrame:
+    """Tokens of the scoped product's variants that occur in the path, a set per image."""
+    colour, name, codes = _path_keys()
+    words = variants.select(*PRODUCT, F.explode(F.array_compact(F.array(colour, name, *codes))).alias("token"))
+    return (contained_tokens(scoped.select(*PRODUCT, "image_id", "text"), words, PRODUCT, ["image_id"])
+            .groupBy(*PRODUCT, "image_id").agg(F.collect_set("token").alias("found")))
+
+
+def _fact_tokens(scoped: DataFrame, facts: DataFrame) -> DataFrame:
+    """Texts of the facts of an image, as a set."""
+    return (facts.withColumn("token", F.lower(c.pystrip("value"))).where(F.col("token") != "")
+            .join(scoped.select(*PRODUCT, "image_id"), IMAGE)
+            .groupBy(*PRODUCT, "image_id").agg(F.collect_set("token").alias("found")))
+
+
+def _asked(variants: DataFrame, scoped: DataFrame) -> DataFrame:
+    """Variants of products that some image belongs to."""
+    return variants.join(scoped.select(*PRODUCT).distinct(), PRODUCT, "left_semi")
+
+
 def token_hits(scoped: DataFrame, variants: DataFrame) -> DataFrame:
     """Variants of the scoped product whose colour, name or code occurs in the path.
 
     ``scoped(run_id, image_id, product_ord, text)``; one row per image with
     ``n`` variants found, the ``first`` of them, and whether a colour or name hit.
     """
-    colour, name, code = (c.clean_token(x) for x in ("color", "variant_name", "variant_code"))
-    # only products some image belongs to
-    asked = variants.join(scoped.select(*PRODUCT).distinct(), PRODUCT, "left_semi")
-    words = asked.select(*PRODUCT, F.explode(F.array_compact(F.array(colour, name, code))).alias("token"))
-    hits = (contained_tokens(scoped.select(*PRODUCT, "image_id", "text"), words, PRODUCT, ["image_id"])
-            .groupBy(*PRODUCT, "image_id").agg(F.collect_set("token").alias("found")))
-    return _union_size(hits, asked, colour, name, [code])
+    asked = _asked(variants, scoped)
+    return _union_size(_path_tokens(scoped, asked), asked, *_path_keys())
 
 
 def fact_hits(scoped: DataFrame, variants: DataFrame, facts: DataFrame) -> DataFrame:
     """Variants of the scoped product named by a text fact of the image."""
-    hits = (facts.withColumn("token", F.lower(c.pystrip("value"))).where(F.col("token") != "")
-            .join(scoped.select(*PRODUCT, "image_id"), IMAGE)
-            .groupBy(*PRODUCT, "image_id").agg(F.collect_set("token").alias("found")))
-    return _union_size(hits, variants, F.lower("supplier_sku"), F.lower("variant_name"),
-                       [F.lower("variant_code"), F.lower("image_sku")])
+    return _union_size(_fact_tokens(scoped, facts), variants, *_fact_keys())
 
 
 def _sequence_number(clean_stem: Column) -> Column:
@@ -240,6 +261,13 @@ def unscoped_facts(images: DataFrame, variants: DataFrame, facts: DataFrame) ->
 
 
 # --------------------------------------------------- 3: supplier SKU
+def _sku_tokens(images: DataFrame, skus: DataFrame) -> DataFrame:
+    """Supplier SKUs (run, token) that are a token of the image's path or part of its stem, each once per image."""
+    in_stem = contained_tokens(images.select(*IMAGE, F.col("normalized_stem").alias("text")), skus, ["run_id"], ["image_id"])
+    in_path = images.select(*IMAGE, F.explode("tokens").alias("token")).join(skus, ["run_id", "token"], "left_semi")
+    return in_stem.select(*IMAGE, "token").unionByName(in_path.select(*IMAGE, "token")).distinct()
+
+
 def supplier_sku(images: DataFrame, variants: DataFrame) -> DataFrame:
     key = F.lower(c.pystrip("supplier_sku"))
     skus = (variants.where(F.col("supplier_sku") != "").withColumn("token", key).where(F.col("token") != "")
@@ -247,10 +275,7 @@ def supplier_sku(images: DataFrame, variants: DataFrame) -> DataFrame:
                 F.count(F.lit(1)).alias("n"), F.min("variant_code").alias("low"), F.max("variant_code").alias("high"),
                 F.min(F.struct("product_ord", "variant_ord", "supplier_sku")).alias("first"),
                 F.max(F.struct("product_ord", "variant_ord")).alias("last")))
-    in_stem = contained_tokens(images.select(*IMAGE, F.col("normalized_stem").alias("text")), skus, ["run_id"], ["image_id"])
-    in_path = images.select(*IMAGE, F.explode("tokens").alias("token")).join(skus, ["run_id", "token"], "left_semi")
-    found = in_stem.select(*IMAGE, "token").unionByName(in_path.select(*IMAGE, "token")).distinct()
-    per_image = (found.join(skus, ["run_id", "token"]).groupBy(*IMAGE).agg(
+    per_image = (_sku_tokens(images, skus).join(skus, ["run_id", "token"]).groupBy(*IMAGE).agg(
         F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"),
         F.min("first").alias("first"), F.max("last").alias("last")))
     number = F.regexp_extract("original_filename", r"[_\-](\d+)(?:\.\w+)?$", 1).try_cast("int")
@@ -346,6 +371,61 @@ def match_images(images: DataFrame, products: DataFrame, variants: DataFrame, fa
     return describe(found.select(*FINDING_COLUMNS), products, variants)
 
 
+# ------------------------------------------------------ candidate codes
+def _named_variants(hits: DataFrame, variants: DataFrame, shared_a: Column, shared_b: Column, own: list[Column]) -> DataFrame:
+    """Variants of the product that answer to a hit of the image, each once.
+
+    ``hits(run, product_ord, image_id, found)``. Three parts without common rows, so nothing has to be made distinct:
+    variants by their first shared token, by the second where the first is no hit, and by the first own token that is
+    a hit where neither shared one is.
+    """
+    keyed = variants.select(*VARIANT, "variant_code", shared_a.alias("a"), shared_b.alias("b"),
+                            F.array_distinct(F.array_compact(F.array(*own))).alias("own"))
+    probes = hits.select(*PRODUCT, "image_id", "found", F.explode("found").alias("token")).where(F.col("token") != "")
+
+    def is_hit(name: str) -> Column:
+        return F.coalesce((F.col(name) != "") & F.array_contains("found", F.col(name)), F.lit(False))
+
+    def by(name: str) -> DataFrame:
+        return probes.join(keyed.withColumn("token", F.explode("own") if name == "own" else F.col(name)), [*PRODUCT, "token"])
+
+    first_own = F.get(F.filter("own", lambda x: (x != "") & F.array_contains("found", x)), F.lit(0))
+    parts = [by("a"), by("b").where(~is_hit("a")),
+             by("own").where(~is_hit("a") & ~is_hit("b") & (first_own == F.col("token")))]
+    return reduce(DataFrame.unionByName, [p.select(*IMAGE, "product_ord", "variant_ord", "variant_code") for p in parts])
+
+
+def candidates(findings: DataFrame, images: DataFrame, variants: DataFrame, facts: DataFrame,
+               asked: DataFrame | None = None) -> DataFrame:
+    """Variants that an ambiguous image fits, a row each: ``run_id, image_id, product_ord, variant_ord, variant_code``.
+
+    Findings carry their number only. What makes them up is a set of tokens per image and the variants behind each
+    token, and the two are joined here for the images of ``asked(run_id, image_id)``, or for all. Of variants with one
+    code that share a supplier SKU the first is listed. Images that match, or fit nothing, have no rows.
+    """
+    open_ = findings.where(F.col("status") == "AMBIGUOUS")
+    if asked is not None:
+        open_ = open_.join(asked.select(*IMAGE).distinct(), IMAGE, "left_semi")
+    open_ = written(open_.select(*IMAGE, "product_ord", "match_strategy"), "open-images")
+    named = images.select(*IMAGE, "relative_path", "normalized_stem", "tokens").join(
+        open_.select(*IMAGE, "match_strategy"), IMAGE)
+    several = open_.where(F.col("match_strategy") == "SCOPED_PRODUCT_AMBIGUOUS").select(*IMAGE, "product_ord")
+    scoped = written(scoped_texts(named, several), "open-scoped")
+    of_product = written(_asked(variants, scoped), "open-variants")
+    in_path = written(_path_tokens(scoped, of_product), "open-tokens")
+    in_facts = _fact_tokens(scoped.join(in_path.select(*IMAGE), IMAGE, "left_anti"), facts)
+    whole = (open_.where(F.col("match_strategy") == "SCOPED_MULTI_VARIANT_AMBIGUOUS").select(*IMAGE, "product_ord")
+             .join(variants.select(*VARIANT, "variant_code"), PRODUCT))
+    skus = (variants.withColumn("token", F.lower(c.pystrip("supplier_sku"))).where(F.col("token") != "")
+            .groupBy("run_id", "token", "variant_code").agg(F.min(F.struct("product_ord", "variant_ord")).alias("place")))
+    of_sku = named.where(F.col("match_strategy") == "SHARED_SUPPLIER_SKU_AMBIGUOUS")
+    shared = (_sku_tokens(of_sku, skus.select("run_id", "token")).join(skus, ["run_id", "token"])
+              .groupBy(*IMAGE, "variant_code").agg(F.min("place").alias("place")))
+    parts = [_named_variants(in_path, of_product, *_path_keys()), _named_variants(in_facts, of_product, *_fact_keys()), whole,
+             shared.select(*IMAGE, "place.product_ord", "place.variant_ord", "variant_code")]
+    return reduce(DataFrame.unionByName, [p.select(*IMAGE, "product_ord", "variant_ord", "variant_code") for p in parts])
+
+
 def summary(findings: DataFrame) -> DataFrame:
     """Counts and match rate per run."""
     def number(status: str) -> Column:

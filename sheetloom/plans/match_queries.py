@@ -262,6 +262,33 @@ def match_all(spark, sf):
     return findings(spark, sf)
 
 
+# an image's own step says which of its candidates count
+cte("m_candidates", "m_raw m_scoped m_variants m_facts m_images", """
+select r.run_id, r.image_id, v.product_ord, v.variant_ord, v.variant_code
+from (select * from m_raw where step in (3, 4, 6) and not (step = 3 and tn = 1) and not (step = 4 and bn = 1)) r
+join m_scoped s on s.run_id = r.run_id and s.image_id = r.image_id
+join m_variants v on v.run_id = r.run_id and v.product_ord = r.sp
+where case r.step when 6 then true
+  when 3 then coalesce(color_token <> '' and (contains(path_text, color_token) or contains(stem_text, color_token)), false)
+    or coalesce(name_token <> '' and (contains(path_text, name_token) or contains(stem_text, name_token)), false)
+    or coalesce(code_token <> '' and (contains(path_text, code_token) or contains(stem_text, code_token)), false)
+  else exists (select 1 from m_facts f where f.run_id = r.run_id and f.image_id = r.image_id and f.token <> ''
+    and f.token in (lower(variant_code), lower(supplier_sku), lower(image_sku), lower(variant_name))) end
+union all
+select run_id, image_id, place.p, place.v, variant_code from (
+  select r.run_id, r.image_id, v.variant_code, min({'p': v.product_ord, 'v': v.variant_ord}) as place
+  from (select * from m_raw where step = 10) r join m_images i on i.run_id = r.run_id and i.image_id = r.image_id join m_variants v on v.run_id = r.run_id
+  where trim(v.supplier_sku) <> '' and (list_contains(i.tokens, lower(trim(v.supplier_sku))) or contains(i.normalized_stem, lower(trim(v.supplier_sku))))
+  group by 1, 2, 3)""")
+
+
+@query("match_candidates", sql("select * from m_candidates", "m_candidates"))
+def match_candidates(spark, sf):
+    """Every variant that an ambiguous image fits."""
+    images, _, variants, facts = (written(x, "in") for x in _inputs(spark, sf))
+    return match.candidates(written(findings(spark, sf), "findings"), images, variants, facts)
+
+
 @query("match_summary", sql("""
 select run_id, count(*) as total_images, count(*) filter (where status = 'MATCHED') as matched_count,
   count(*) filter (where status = 'AMBIGUOUS') as ambiguous_count, count(*) filter (where status = 'UNMATCHED') as unmatched_count,

@@ -21,6 +21,15 @@ def found(spark, paths, products, variants, facts=()):
     return {r.original_filename: r for r in named.collect()}, result, images, vs
 
 
+def codes(spark, result, images, variants, facts=(), asked=None):
+    fs = match.image_facts(images, spark.createDataFrame([("r", *f) for f in facts], FACTS))
+    rows = match.candidates(result, images, variants, fs, asked).join(images.select("run_id", "image_id", "original_filename"), ["run_id", "image_id"])
+    out = {}
+    for r in rows.orderBy("product_ord", "variant_ord").collect():
+        out.setdefault(r.original_filename, []).append(r.variant_code)
+    return out
+
+
 SHARED = [(1, 1, "SETHNI-V-1", "AM-1726I", "Red", "Red", None, None), (1, 2, "SETHNI-V-2", "AM-1726I", "Blue", "Blue", None, "https://h/x/main.png"),
           (2, 1, "OTHER-1", "ZZ-9", "Red", "Red", None, None)]
 PRODUCTS = [(1, "SETHNI-LS", "Sethnic Lifestyle"), (2, None, "Bunawat Eradi")]
@@ -50,6 +59,27 @@ def test_priorities(spark):
         assert (r.status, r.match_strategy, r.variant_code, r.confidence) == expected, name
 
 
+def test_candidates_of_ambiguous_images(spark):
+    paths = ["Sethnic Lifestyle/red and blue.jpg", "Sethnic Lifestyle/photo_1.jpg", "AM-1726I.jpg", "Sethnic Lifestyle/told.jpg",
+             "SETHNI-V-1.png", "red.jpg"]
+    facts = [(1, "told.jpg", 1, "sku", " am-1726i "), (1, "told.jpg", 2, "code", "SETHNI-V-1"), (1, "told.jpg", 3, "code", "nothing")]
+    got, result, images, vs = found(spark, paths, PRODUCTS, SHARED, facts)
+    both = ["SETHNI-V-1", "SETHNI-V-2"]
+    listed = codes(spark, result, images, vs, facts)
+    assert listed == {"red and blue.jpg": both, "photo_1.jpg": both, "AM-1726I.jpg": both, "told.jpg": both}
+    assert {n: got[n].candidate_count for n in listed} == {n: 2 for n in listed}
+    one = images.where(F.col("original_filename") == "photo_1.jpg")
+    assert codes(spark, result, images, vs, facts, one) == {"photo_1.jpg": both}
+
+
+def test_variants_with_equal_tokens_are_candidates_once(spark):
+    """Colour, name and code of a variant may be one token, and several tokens of a path may name it."""
+    variants = [(1, 1, "RED", "S", "Red", "Red", "RED", None), (1, 2, "B", "S", "Red", "Blue", None, None), (1, 3, "C", "T", None, None, None, None)]
+    got, result, images, vs = found(spark, ["Big Cat/pic red blue.jpg"], [(1, None, "Big Cat")], variants)
+    assert codes(spark, result, images, vs) == {"pic red blue.jpg": ["RED", "B", "C"]}
+    assert got["pic red blue.jpg"].candidate_count == 3
+
+
 def test_sequence_index(spark):
     variants = [(1, i, f"RAJTEX-N-V0{i}", None, f"Design 0{i}", None, None, None) for i in (1, 2, 3)]
     got, *_ = found(spark, ["Rajtex-N-001.png", "Rajtex-N-002.png", "Rajtex-N-009.png"], [(1, "Rajtex-N", "Rajtex Noor")], variants)
