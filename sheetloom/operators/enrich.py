@@ -31,10 +31,13 @@ def documents_with_candidates(documents: DataFrame, facts: DataFrame) -> DataFra
 
     per_doc = facts.groupBy("run_id", "doc_id").agg(*[last(k) for k in FACT_FIELDS])
     newest = documents.groupBy("run_id", F.lower("filename").alias("doc_key")).agg(F.max("doc_id").alias("doc_id"))
-    return (newest.join(documents.select("run_id", "doc_id", "status", "provider", "confidence"), ["run_id", "doc_id"])
+    return (newest.join(documents.select("run_id", "doc_id", "status", "provider", "confidence",
+                                   *[x for x in ("text",) if x in documents.columns]), ["run_id", "doc_id"])
             .join(per_doc, ["run_id", "doc_id"], "left")
             .select("run_id", "doc_key", F.col("status").alias("doc_status"), F.col("provider").alias("doc_provider"),
-                    F.col("confidence").alias("doc_confidence"), *[f"doc_{k}" for k in FACT_FIELDS]))
+                    F.col("confidence").alias("doc_confidence"),
+                    (F.col("text") if "text" in documents.columns else F.lit(None).cast("string")).alias("doc_text"),
+                    *[f"doc_{k}" for k in FACT_FIELDS]))
 
 
 def issue_counts(issues: DataFrame) -> DataFrame:
@@ -80,7 +83,8 @@ def with_candidates(joined: DataFrame, doc_candidates: DataFrame) -> DataFrame:
         "ocr_provider": pick("doc_provider", "ocr_provider"),
         "candidate_design_number": pick("doc_design", None), "candidate_sku": pick("doc_sku", "ocr_sku"),
         "candidate_color": pick("doc_color", "ocr_color"), "candidate_fabric": pick("doc_fabric", None),
-        "candidate_rate": pick("doc_rate", None)}).drop("doc")
+        "candidate_rate": pick("doc_rate", None), "ocr_confidence": pick("doc_confidence", "evidence_confidence").cast("double"),
+        "raw_ocr_text": pick("doc_text", None).cast("string")}).drop("doc")
 
 
 def with_colour(found: DataFrame, colours: DataFrame, heroes: DataFrame) -> DataFrame:
@@ -168,34 +172,63 @@ def with_reasons(df: DataFrame) -> DataFrame:
 
 
 REFINED_COLUMNS = [
-    "run_id", "product_id", "product_ord", "variant_ord", "variant_code", "variant_name", "supplier_sku", "original_color",
-    "size", "supplier_cost", "selling_price", "has_approved_image", "image_id", "image_filename", "approval_status",
-    "approved_by", "image_sku", "color", "image_color_status", "image_color_confidence", "image_color_hex", "ocr_status",
-    "ocr_provider", "candidate_design_number", "candidate_sku", "candidate_color", "candidate_fabric", "candidate_rate",
-    "is_uploaded", "blob_url", "gallery_count", "requires_review", "review_reasons", "validation_errors",
+    "run_id", "product_id", "product_ord", "variant_ord", "catalog_name", "product_name", "variant_code", "variant_name",
+    "product_group", "brand_name", "product_type", "category_slug", "description", "supplier_sku", "supplier_price",
+    "supplier_cost", "gst_percent", "original_color", "size", "selling_price", "stock_quantity", "has_approved_image",
+    "image_id", "image_filename", "image_path", "approval_status", "approved_by", "approved_at", "assignment_hash",
+    "image_sku", "color", "image_color_status", "image_color_confidence", "image_color_hex", "image_color_notes",
+    "ocr_status", "ocr_provider", "ocr_confidence", "candidate_design_number", "candidate_sku", "candidate_color",
+    "candidate_fabric", "candidate_rate", "raw_ocr_text", "attributes", "is_uploaded", "blob_url", "gallery_count", "requires_review", "review_reasons", "validation_errors",
     "validation_warnings",
 ]
 
 
-def refine(variants: DataFrame, manifest: DataFrame, documents: DataFrame, facts: DataFrame, colours: DataFrame,
+# of the product, under its own or another name
+PRODUCT_FIELDS = ["catalog_name", "product_name", "product_group", "brand_name", "product_type", "category_slug", "supplier_price",
+                  "gst_percent", "description"]
+NO_SLUG = "sarees"  # stands in for an empty category slug
+
+
+def with_attributes(df: DataFrame) -> DataFrame:
+    """Attributes of the product under those of the variant, under what its image says of SKU and colour."""
+    approved, matched = F.col("approved").isNotNull(), F.col("hero_name").isNotNull()
+    told = [("candidate_image_sku", F.when(approved | matched, F.col("refined_image_sku"))),
+            ("image_color_candidate", F.when(approved | matched, F.col("refined_color")))]
+    entries = F.filter(F.array(*[F.struct(F.lit(k).alias("key"), v.alias("value")) for k, v in told]), lambda e: e["value"].isNotNull())
+    return df.withColumn("attributes", overlaid(overlaid(F.col("product_attributes"), F.col("attributes")), F.map_from_entries(entries)))
+
+
+def overlaid(below: Column, above: Column) -> Column:
+    """Entries of both maps; those of ``above`` count where both have a name."""
+    empty = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
+    top = F.coalesce(above, empty)
+    return F.map_concat(F.map_filter(F.coalesce(below, empty), lambda k, v: ~F.map_contains_key(top, k)), top)
+
+
+def refine(variants: DataFrame, products: DataFrame, manifest: DataFrame, documents: DataFrame, facts: DataFrame, colours: DataFrame,
            heroes: DataFrame, issues: DataFrame) -> DataFrame:
     """One refined row per variant.
 
     ``heroes(run_id, variant_code, image_id, original_filename)`` is the first
     matched image of a variant.
     """
+    parents = products.select("run_id", "product_ord", F.col("attributes").alias("product_attributes"), *PRODUCT_FIELDS)
+    variants = variants.join(parents, ["run_id", "product_ord"], "left").withColumn(
+        "category_slug", F.coalesce(F.nullif("category_slug", F.lit("")), F.lit(NO_SLUG)))
     original = F.coalesce(F.nullif(F.try_element_at("raw_attributes", F.lit("original_color")), F.lit("")),
                           F.nullif("color", F.lit("")))
     base = with_approval(variants.withColumn("original_color", original), manifest)
     told = with_candidates(base, documents_with_candidates(documents, facts))
-    seen = with_findings(with_hosting(with_colour(told, colours, heroes)), issues)
+    seen = with_findings(with_hosting(with_attributes(with_colour(told, colours, heroes))), issues)
     return with_reasons(seen).select(
         *[F.col("refined_image_sku").alias("image_sku") if x == "image_sku" else
           F.col("refined_color").alias("color") if x == "color" else
           F.col("approved").isNotNull().alias(x) if x == "has_approved_image" else
           F.col("approved.image_id").alias(x) if x == "image_id" else
           F.col("approved.original_filename").alias(x) if x == "image_filename" else
-          F.col("approved.approved_by").alias(x) if x == "approved_by" else
+          F.col(f"approved.{x}").alias(x) if x in ("approved_by", "approved_at", "image_path", "assignment_hash") else
+          F.when(F.col("approved").isNotNull() & F.col("colour").isNull(), F.lit("Image file inaccessible for local pixel color analysis"))
+          .otherwise(F.col("colour.notes")).alias(x) if x == "image_color_notes" else
           F.col("ladder_status").alias(x) if x == "approval_status" else
           F.col("colour.confidence").alias(x) if x == "image_color_confidence" else
           F.col("colour.hex_code").alias(x) if x == "image_color_hex" else

@@ -6,6 +6,8 @@ needed expressions in front of a query.
 
 from __future__ import annotations
 
+import re
+
 from sheetloom import fixed_values as fv
 from sheetloom.functions.clean import header_key_text
 from sheetloom.operators.normalize import FIELDS, MAPPED
@@ -18,6 +20,18 @@ def cte(name: str, deps: str, text: str) -> None:
     CTES[name] = (tuple(deps.split()), text.strip())
 
 
+def renamed(names: str, other: dict[str, str], prefix: str) -> None:
+    """The expressions ``names`` again over other inputs: their own names get ``prefix``, those of ``other`` are replaced."""
+    to = other | {n: f"{prefix}{n}" for n in names.split()}
+
+    def put(text: str) -> str:
+        return re.sub(r"\b(" + "|".join(to) + r")\b", lambda m: to[m[0]], text)
+
+    for n in names.split():
+        deps, text = CTES[n]
+        cte(to[n], put(" ".join(deps)), put(text))
+
+
 def sql(body: str, names: str) -> str:
     order: list[str] = []
 

@@ -114,7 +114,7 @@ def manifest_summary(spark, sf):
     return review.summary(manifest(spark, sf))
 
 
-_PICK = "image_id, manifest_ord, original_filename, image_path, approved_by, image_sku, detected_color, evidence_confidence, evidence_status, ocr_provider, ocr_sku, ocr_color"
+_PICK = "image_id, manifest_ord, original_filename, image_path, approved_by, approved_at, assignment_hash, image_sku, detected_color, evidence_confidence, evidence_status, ocr_provider, ocr_sku, ocr_color"
 cte("r_picked", "r_valid", f"""
 select run_id, proposed_variant_code as variant_code, count(*) filter (where ok) as valid_count,
   coalesce(bool_or(approval_status = 'APPROVED' and not ok), false) as has_stale, bool_or(approval_status = 'PENDING') as has_pending,
@@ -187,7 +187,8 @@ def upload_summary(spark, sf):
 # -------------------------------------------------------------- enrichment
 cte("e_docs", "b_slips s_facts", """
 select d.*, f.* exclude (doc_id) from (
-  select run_id, lower(filename) as doc_key, arg_max(doc_id, doc_id) as doc_id, arg_max(status, doc_id) as doc_status, arg_max(provider, doc_id) as doc_provider
+  select run_id, lower(filename) as doc_key, arg_max(doc_id, doc_id) as doc_id, arg_max(status, doc_id) as doc_status, arg_max(provider, doc_id) as doc_provider,
+    arg_max(confidence, doc_id) as doc_confidence, arg_max(text, doc_id) as doc_text
   from b_slips group by 1, 2) d
 left join (select doc_id,
     arg_max(value, fact_ord) filter (where field in ('design_number', 'design_no', 'design')) as doc_design,
@@ -201,11 +202,13 @@ cte("e_issues", "", f"""
 select run_id, coalesce(variant_code, supplier_sku) as k, count(*) filter (where severity = 'ERROR') as e, count(*) filter (where severity <> 'ERROR') as w
 from ({b.oracle_text(b.ISSUES)}) group by 1, 2""")
 cte("e_heroes", "r_gallery", "select run_id, variant_code, image_id, original_filename from r_gallery where sort_index = 0")
-cte("e_1", "o_variants r_picked e_docs e_heroes", """
-select v.*, p.valid_count, p.a, coalesce(nullif(v.color, ''), null) as original_color, h.original_filename as hero_name, h.image_id as hero_image,
+cte("e_1", "o_variants o_products r_picked e_docs e_heroes", """
+select v.*, pr.catalog_name, pr.product_name, pr.product_group, pr.brand_name, pr.product_type, coalesce(nullif(pr.category_slug, ''), 'sarees') as category_slug,
+  pr.description, pr.supplier_price, pr.gst_percent, d.doc_confidence, d.doc_text, p.valid_count, p.a, coalesce(nullif(v.color, ''), null) as original_color, h.original_filename as hero_name, h.image_id as hero_image,
   case when valid_count > 0 then 'APPROVED' when has_stale then 'STALE_HASH_MISMATCH' when has_pending then 'PENDING' when has_rejected then 'REJECTED' else 'UNASSIGNED' end as ladder,
   d.doc_key is not null as has_doc, d.doc_status, d.doc_provider, d.doc_design, d.doc_sku, d.doc_color, d.doc_fabric, d.doc_rate
-from o_variants v left join r_picked p on p.run_id = v.run_id and p.variant_code = v.variant_code
+from o_variants v left join o_products pr on pr.run_id = v.run_id and pr.product_ord = v.product_ord
+left join r_picked p on p.run_id = v.run_id and p.variant_code = v.variant_code
 left join e_docs d on d.run_id = v.run_id and d.doc_key = lower(p.a.original_filename)
 left join e_heroes h on h.run_id = v.run_id and h.variant_code = v.variant_code""")
 cte("e_2", "e_1 e_colours e_issues", """
@@ -214,6 +217,7 @@ select e.*, a is not null as approved, hero_name is not null as matched,
   case when has_doc then doc_provider else a.ocr_provider end as ocr_provider,
   doc_design as candidate_design_number, case when has_doc then doc_sku else a.ocr_sku end as candidate_sku,
   case when has_doc then doc_color else a.ocr_color end as candidate_color, doc_fabric as candidate_fabric, doc_rate as candidate_rate,
+  case when has_doc then doc_confidence when a.ocr_provider is not null then a.evidence_confidence end as ocr_confidence, doc_text as raw_ocr_text,
   case when a is not null then case
       when a.detected_color <> '' then {'s': 'EXTRACTED', 'c': a.detected_color, 'f': coalesce(a.evidence_confidence, 0.8)::double, 'h': null, 'm': false, 'n': 'Pre-analyzed image color from manifest'}
       when c.status is not null then {'s': c.status, 'c': c.canonical_color, 'f': c.confidence, 'h': c.hex_code, 'm': c.is_ambiguous, 'n': c.notes}
@@ -229,8 +233,21 @@ select *, case when approved then coalesce(nullif(trim(a.image_sku), ''), nullif
   case when col.s = 'EXTRACTED' and not col.m and col.c <> '' then col.c end as new_color,
   coalesce(regexp_matches(primary_image_url, '^https?://') and contains(primary_image_url, 'blob'), false) as hosted
 from e_2""")
-cte("e_refined", "e_3", """
+# as many entries as a product has attributes, and none of a variant's own: the image's words come on top
+cte("e_named", "o_attributes", "select run_id, product_id, name, min(value) as value from o_attributes group by 1, 2, 3")
+cte("e_attributes", "e_3 e_named", """
+select run_id, product_id, variant_ord, string_agg(name || '=' || value, '|' order by name) as attributes from (
+  select e.run_id, e.product_id, e.variant_ord, n.name, n.value from e_3 e join e_named n on n.run_id = e.run_id and n.product_id = e.product_id
+  where n.name not in (case when (approved or matched) and new_sku is not null then 'candidate_image_sku' else '' end,
+    case when (approved or matched) and new_color is not null then 'image_color_candidate' else '' end)
+  union all select run_id, product_id, variant_ord, 'candidate_image_sku', new_sku from e_3 where approved or matched
+  union all select run_id, product_id, variant_ord, 'image_color_candidate', new_color from e_3 where approved or matched)
+where value is not null group by 1, 2, 3""")
+cte("e_refined", "e_3 e_attributes", """
 select run_id, product_id, product_ord, variant_ord, variant_code, variant_name, supplier_sku, original_color, size, supplier_cost, selling_price,
+  catalog_name, product_name, product_group, brand_name, product_type, category_slug, description, supplier_price, gst_percent, stock_quantity,
+  a.image_path as image_path, a.approved_at as approved_at, a.assignment_hash as assignment_hash, case when approved and col is null then 'Image file inaccessible for local pixel color analysis' else col.n end as image_color_notes, ocr_confidence, raw_ocr_text,
+  coalesce(attributes, '') as attributes,
   approved as has_approved_image, a.image_id as image_id, a.original_filename as image_filename, ladder as approval_status, a.approved_by as approved_by,
   new_sku as image_sku, new_color as color, coalesce(col.s, 'NOT_ANALYZED') as image_color_status, col.f as image_color_confidence, col.h as image_color_hex,
   ocr_status, ocr_provider, candidate_design_number, candidate_sku, candidate_color, candidate_fabric, candidate_rate,
@@ -252,7 +269,7 @@ select run_id, product_id, product_ord, variant_ord, variant_code, variant_name,
     case when not approved and not matched then 'Missing image assignment' end,
     case when selling_price is null then 'Selling price requires manual review (never auto-calculated)' end,
     case when validation_errors > 0 then 'Validation errors present (' || validation_errors || ')' end) as review_reasons
-from e_3""")
+from e_3 left join e_attributes using (run_id, product_id, variant_ord)""")
 
 
 def refined(spark, sf):
@@ -261,13 +278,15 @@ def refined(spark, sf):
     entries = written(manifest(spark, sf), "manifest")
     documents = slips(spark, sf)
     heroes = _gallery(entries).where(F.col("sort_index") == 0)
+    products, variants = products_variants(spark, sf)
     return enrich.refine(
-        products_variants(spark, sf)[1], entries, documents, fx.all_facts(documents), b.bind(spark, sf, b.COLOURS),
+        variants, products, entries, documents, fx.all_facts(documents), b.bind(spark, sf, b.COLOURS),
         heroes, b.bind(spark, sf, b.ISSUES))
 
 
-def _shown(df):
-    return df.withColumn("review_reasons", F.array_join("review_reasons", "; "))
+def shown(df):
+    pairs = F.transform(F.array_sort(F.map_entries("attributes")), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return df.withColumns({"review_reasons": F.array_join("review_reasons", "; "), "attributes": F.array_join(pairs, "|")})
 
 
 def _part(columns: str):
@@ -282,7 +301,7 @@ for _name, _columns in {
         "hosted_status": "is_uploaded, blob_url, gallery_count",
         "review_reasons": "review_reasons, validation_errors, validation_warnings"}.items():
     query(_name, _part(f"{_ID}, {_columns}"))(
-        lambda spark, sf, _c=f"{_ID}, {_columns}": _shown(refined(spark, sf)).select(*_c.split(", ")))
+        lambda spark, sf, _c=f"{_ID}, {_columns}": shown(refined(spark, sf)).select(*_c.split(", ")))
 
 
 @query("discrepancy_flags", sql(
@@ -299,12 +318,12 @@ _ALL = ", ".join(x for x in enrich.REFINED_COLUMNS if x != "requires_review")
 
 @query("enrich_variants", _part(_ALL + ", review_reasons <> '' as requires_review"))
 def enrich_variants(spark, sf):
-    return _shown(refined(spark, sf))
+    return shown(refined(spark, sf))
 
 
 @query("refined_review_required", sql("select run_id, product_id, variant_ord, review_reasons from e_refined where review_reasons <> ''", "e_refined"))
 def refined_review_required(spark, sf):
-    return _shown(refined(spark, sf).where("requires_review")).select("run_id", "product_id", "variant_ord", "review_reasons")
+    return shown(refined(spark, sf).where("requires_review")).select("run_id", "product_id", "variant_ord", "review_reasons")
 
 
 @query("refined_summary", sql("""
