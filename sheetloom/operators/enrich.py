@@ -72,19 +72,23 @@ def with_candidates(joined: DataFrame, doc_candidates: DataFrame) -> DataFrame:
     found = (joined.withColumns({"name_key": F.lower("approved.original_filename"), "path_key": F.lower("approved.image_path")})
              .join(by_name, ["run_id", "name_key"], "left").join(by_path, ["run_id", "path_key"], "left")
              .withColumn("doc", F.coalesce("by_name", "by_path")).drop("name_key", "path_key", "by_name", "by_path"))
-    has_doc, own = F.col("doc").isNotNull(), F.col("approved.ocr_provider").isNotNull()
+    has_doc, own = F.col("doc").isNotNull(), F.col("approved.ocr_evidence").isNotNull()
+    evidence = F.col("approved.ocr_evidence")
 
-    def pick(doc: str, evidence: str | None) -> Column:
-        other = F.when(own, F.col(f"approved.{evidence}")) if evidence else F.lit(None)
-        return F.when(has_doc, F.col(f"doc.{doc}")).otherwise(other)
+    def pick(doc: str, other: Column | None = None) -> Column:
+        return F.when(has_doc, F.col(f"doc.{doc}")).otherwise(F.lit(None) if other is None else F.when(own, other))
+
+    def said(*names: str) -> Column:
+        """First of the fields that the evidence fills."""
+        return F.coalesce(*[F.nullif(F.try_element_at(evidence["candidates"], F.lit(n)), F.lit("")) for n in names])
 
     return found.withColumns({
         "ocr_status": F.when(has_doc, F.col("doc.doc_status")).when(own, F.lit("SUCCESS")).otherwise(F.lit("NOT_RUN")),
-        "ocr_provider": pick("doc_provider", "ocr_provider"),
-        "candidate_design_number": pick("doc_design", None), "candidate_sku": pick("doc_sku", "ocr_sku"),
-        "candidate_color": pick("doc_color", "ocr_color"), "candidate_fabric": pick("doc_fabric", None),
-        "candidate_rate": pick("doc_rate", None), "ocr_confidence": pick("doc_confidence", "evidence_confidence").cast("double"),
-        "raw_ocr_text": pick("doc_text", None).cast("string")}).drop("doc")
+        "ocr_provider": pick("doc_provider", F.coalesce(evidence["provider"], F.lit("manifest_record"))),
+        "candidate_design_number": pick("doc_design", said("design_number")), "candidate_sku": pick("doc_sku", said("supplier_sku", "sku")),
+        "candidate_color": pick("doc_color", said("color")), "candidate_fabric": pick("doc_fabric", said("fabric")),
+        "candidate_rate": pick("doc_rate"), "ocr_confidence": pick("doc_confidence", evidence["confidence"]).cast("double"),
+        "raw_ocr_text": pick("doc_text").cast("string")}).drop("doc")
 
 
 def with_colour(found: DataFrame, colours: DataFrame, heroes: DataFrame) -> DataFrame:

@@ -25,17 +25,35 @@ def is_valid() -> Column:
                       F.lit(False))
 
 
-def create_manifest(findings: DataFrame, images: DataFrame, facts: DataFrame) -> DataFrame:
-    """One pending entry per image; a printed SKU found on the image is kept."""
+def text_evidence(facts: DataFrame, documents: DataFrame | None = None) -> DataFrame:
+    """What the text of an image's document says: ``ocr_evidence`` of provider, confidence and the last value of each field.
+
+    ``documents(run_id, doc_id, provider, confidence)`` name the reader; without them both are null.
+    """
+    last = facts.where(F.col("field").isNotNull()).groupBy(*IMAGE, "field").agg(
+        F.max_by("value", "fact_ord").alias("value"), F.max("doc_id").alias("doc_id"))
+    said = last.groupBy(*IMAGE).agg(
+        F.map_from_entries(F.sort_array(F.collect_list(F.struct("field", "value")))).alias("candidates"), F.max("doc_id").alias("doc_id"))
+    if documents is None:
+        read = said.withColumns({"provider": F.lit(None).cast("string"), "confidence": F.lit(None).cast("double")})
+    else:
+        read = said.join(documents.select("run_id", "doc_id", "provider", F.col("confidence").cast("double").alias("confidence")),
+                         ["run_id", "doc_id"], "left")
+    return read.select(*IMAGE, F.struct("provider", "confidence", "candidates").alias("ocr_evidence"))
+
+
+def create_manifest(findings: DataFrame, images: DataFrame, facts: DataFrame, documents: DataFrame | None = None) -> DataFrame:
+    """One pending entry per image; a printed SKU found on the image is kept, and all that its text says as evidence."""
     printed = facts.groupBy(*IMAGE).agg(
         *[F.min_by(F.when(F.col("field") == f, F.col("value")), F.when(F.col("field") == f, F.col("fact_ord"))).alias(n)
           for f, n in (("supplier_sku", "sku_a"), ("sku", "sku_b"))],
         F.count(F.lit(1)).alias("evidence_count"))
     named = findings.join(images.select(*IMAGE, F.col("relative_path").alias("image_path"), "original_filename"), IMAGE)
-    return named.join(printed, IMAGE, "left").select(
+    told = named.join(printed, IMAGE, "left").join(text_evidence(facts, documents), IMAGE, "left")
+    return told.select(
         *IMAGE, "image_path", "original_filename", "catalog_name", F.col("product_id").alias("proposed_product_id"),
         F.col("variant_code").alias("proposed_variant_code"), F.col("status").alias("match_status"), "match_strategy",
-        "confidence", F.coalesce("sku_a", "sku_b").alias("image_sku"),
+        "confidence", F.coalesce("sku_a", "sku_b").alias("image_sku"), "ocr_evidence",
         F.coalesce("evidence_count", F.lit(0)).alias("evidence_count"),
         F.lit("PENDING").alias("approval_status"),
         assignment_hash(F.col("image_id"), F.col("variant_code")).alias("assignment_hash"),

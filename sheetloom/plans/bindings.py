@@ -440,7 +440,8 @@ select run_id, o as manifest_ord, 'img_' || cast(o as string) as image_id, filen
   case when o % 8 = 3 then 0.7 end as evidence_confidence,
   case when o % 3 = 1 then 'UNCERTAIN' end as evidence_status,
   case when o % 4 = 0 then 'manual' end as ocr_provider, case when o % 4 = 0 then 'SKU' || cast(k + o % 2 as string) end as ocr_sku,
-  case when o % 8 = 0 then 'Teal' end as ocr_color
+  case when o % 8 = 0 then 'Teal' end as ocr_color, case when o % 16 = 0 then 'D' || cast(o % 7 as string) end as ocr_design,
+  case when o % 12 = 0 then 'Silk' end as ocr_fabric, case when o % 4 = 0 then cast(o % 9 as double) / 8 end as ocr_confidence
 from (select o_orderkey as o, o_custkey as k, {run_columns('o_custkey')},
   case when o_orderkey % 11 = 7 then 'IMG ' || cast(o_orderkey as string) || 'q.jpg'
        when o_orderkey % 11 = 0 then 'D' || cast(o_custkey as string) || '.jpg'

@@ -145,11 +145,13 @@ def read_canonical_nested(spark, sf):
 
 @query("read_manifest", sql("""
 select run_id, manifest_ord, image_id, image_path, original_filename, catalog_name, proposed_variant_code, match_status, match_strategy, confidence, image_sku, detected_color,
-  approval_status, approved_by, approved_at, assignment_hash, notes, ok as is_valid from r_valid""", "r_valid"))
+  approval_status, approved_by, approved_at, assignment_hash, notes, ok as is_valid, ocr_provider, ocr_confidence,
+  case when has_evidence then concat_ws('|', 'color=' || ocr_color, 'design_number=' || ocr_design, 'fabric=' || ocr_fabric, 'sku=' || ocr_sku) end as ocr_candidates
+from r_valid""", "r_valid"))
 def read_manifest(spark, sf):
     path = new_path(spark, "manifest-json")
     files.write_manifest(rq.manifest(spark, sf), path)
-    return files.read_manifest(spark, path).withColumn("is_valid", review.is_valid()).drop("proposed_product_id")
+    return rq.flat_evidence(files.read_manifest(spark, path)).withColumn("is_valid", review.is_valid()).drop("proposed_product_id")
 
 
 @query("manifest_rejects", sql("""

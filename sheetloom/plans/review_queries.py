@@ -22,29 +22,45 @@ def _hash(image: str, code: str) -> str:
 
 cte("r_manifest", "", f"select * exclude (hash_code), {_hash('image_id', 'hash_code')} as assignment_hash from ({b.oracle_text(b.MANIFEST)})")
 cte("r_valid", "r_manifest", f"""
-select *, approval_status = 'APPROVED' and coalesce(proposed_variant_code, '') <> ''
+select *, ocr_provider is not null as has_evidence, approval_status = 'APPROVED' and coalesce(proposed_variant_code, '') <> ''
   and assignment_hash = {_hash('image_id', 'proposed_variant_code')} as ok from r_manifest""")
 
 
 def manifest(spark, sf):
     bound = b.bind(spark, sf, b.MANIFEST)
-    return bound.withColumn("assignment_hash", review.assignment_hash(F.col("image_id"), F.col("hash_code"))).drop("hash_code")
+    said = F.filter(F.array(*[F.struct(F.lit(k).alias("key"), F.col(n).alias("value")) for k, n in _SAID.items()]), lambda e: e["value"].isNotNull())
+    evidence = F.struct(F.col("ocr_provider").alias("provider"), F.col("ocr_confidence").alias("confidence"), F.map_from_entries(said).alias("candidates"))
+    return bound.withColumns({"assignment_hash": review.assignment_hash(F.col("image_id"), F.col("hash_code")),
+                              "ocr_evidence": F.when(F.col("ocr_provider").isNotNull(), evidence)}).drop("hash_code", "ocr_provider", "ocr_confidence", *_SAID.values())
+
+
+_SAID = {"sku": "ocr_sku", "color": "ocr_color", "design_number": "ocr_design", "fabric": "ocr_fabric"}
+
+
+def flat_evidence(df):
+    """Text evidence of manifest entries as plain columns."""
+    said = F.transform(F.array_sort(F.map_entries("ocr_evidence.candidates")), lambda e: F.concat(e["key"], F.lit("="), F.coalesce(e["value"], F.lit(""))))
+    return df.withColumns({"ocr_provider": F.col("ocr_evidence.provider"), "ocr_confidence": F.col("ocr_evidence.confidence"),
+                           "ocr_candidates": F.array_join(said, "|")}).drop("ocr_evidence")
 
 
 @query("create_manifest", sql(f"""
 select f.run_id, f.image_id, i.relative_path as image_path, i.original_filename, f.catalog_name, f.product_id as proposed_product_id,
   f.variant_code as proposed_variant_code, f.status as match_status, f.match_strategy, f.confidence,
-  s.sku as image_sku, coalesce(s.n, 0) as evidence_count, 'PENDING' as approval_status,
+  s.sku as image_sku, coalesce(s.n, 0) as evidence_count, e.said as ocr_candidates, d.provider as ocr_provider, d.confidence as ocr_confidence, 'PENDING' as approval_status,
   {_hash('f.image_id', "coalesce(f.variant_code, 'UNASSIGNED')")} as assignment_hash, f.reason as notes
 from m_findings f join m_images i using (run_id, image_id)
-left join (select run_id, image_id, arg_min(value, fact_ord) filter (where field = 'sku') as sku, count(*) as n from m_facts group by 1, 2) s using (run_id, image_id)""",
-    "m_findings m_images m_facts"))
+left join (select run_id, image_id, arg_min(value, fact_ord) filter (where field = 'sku') as sku, count(*) as n, max(doc_id) as doc_id from m_facts group by 1, 2) s using (run_id, image_id)
+left join (select run_id, image_id, string_agg(field || '=' || coalesce(value, ''), '|' order by field) as said from (
+  select run_id, image_id, field, arg_max(value, fact_ord) as value from m_facts group by 1, 2, 3) group by 1, 2) e using (run_id, image_id)
+left join b_slips d on d.run_id = f.run_id and d.doc_id = s.doc_id""",
+    "m_findings m_images m_facts b_slips"))
 def create_manifest(spark, sf):
     products, variants = products_variants(spark, sf)
     images = image_rows(spark, sf)
     facts = written(image_facts(spark, sf, images), "facts")
     found = match.match_images(images, products, variants, facts)
-    return review.create_manifest(found, images, facts)
+    return flat_evidence(review.create_manifest(found, images, facts, slips(spark, sf)))
 
 
 @query("valid_approvals", sql("select run_id, image_id, proposed_variant_code as variant_code from r_valid where ok", "r_valid"))
@@ -114,7 +130,7 @@ def manifest_summary(spark, sf):
     return review.summary(manifest(spark, sf))
 
 
-_PICK = "image_id, manifest_ord, original_filename, image_path, approved_by, approved_at, assignment_hash, image_sku, detected_color, evidence_confidence, evidence_status, ocr_provider, ocr_sku, ocr_color"
+_PICK = "image_id, manifest_ord, original_filename, image_path, approved_by, approved_at, assignment_hash, image_sku, detected_color, evidence_confidence, evidence_status, has_evidence, ocr_provider, ocr_confidence, ocr_sku, ocr_color, ocr_design, ocr_fabric"
 cte("r_picked", "r_valid", f"""
 select run_id, proposed_variant_code as variant_code, count(*) filter (where ok) as valid_count,
   coalesce(bool_or(approval_status = 'APPROVED' and not ok), false) as has_stale, bool_or(approval_status = 'PENDING') as has_pending,
@@ -213,11 +229,11 @@ left join e_docs d on d.run_id = v.run_id and d.doc_key = lower(p.a.original_fil
 left join e_heroes h on h.run_id = v.run_id and h.variant_code = v.variant_code""")
 cte("e_2", "e_1 e_colours e_issues", """
 select e.*, a is not null as approved, hero_name is not null as matched,
-  case when has_doc then doc_status when a.ocr_provider is not null then 'SUCCESS' else 'NOT_RUN' end as ocr_status,
-  case when has_doc then doc_provider else a.ocr_provider end as ocr_provider,
-  doc_design as candidate_design_number, case when has_doc then doc_sku else a.ocr_sku end as candidate_sku,
-  case when has_doc then doc_color else a.ocr_color end as candidate_color, doc_fabric as candidate_fabric, doc_rate as candidate_rate,
-  case when has_doc then doc_confidence when a.ocr_provider is not null then a.evidence_confidence end as ocr_confidence, doc_text as raw_ocr_text,
+  case when has_doc then doc_status when a.has_evidence then 'SUCCESS' else 'NOT_RUN' end as ocr_status,
+  case when has_doc then doc_provider when a.has_evidence then coalesce(a.ocr_provider, 'manifest_record') end as ocr_provider,
+  case when has_doc then doc_design else a.ocr_design end as candidate_design_number, case when has_doc then doc_sku else a.ocr_sku end as candidate_sku,
+  case when has_doc then doc_color else a.ocr_color end as candidate_color, case when has_doc then doc_fabric else a.ocr_fabric end as candidate_fabric, doc_rate as candidate_rate,
+  case when has_doc then doc_confidence else a.ocr_confidence end as ocr_confidence, doc_text as raw_ocr_text,
   case when a is not null then case
       when a.detected_color <> '' then {'s': 'EXTRACTED', 'c': a.detected_color, 'f': coalesce(a.evidence_confidence, 0.8)::double, 'h': null, 'm': false, 'n': 'Pre-analyzed image color from manifest'}
       when c.status is not null then {'s': c.status, 'c': c.canonical_color, 'f': c.confidence, 'h': c.hex_code, 'm': c.is_ambiguous, 'n': c.notes}
