@@ -60,16 +60,28 @@ def write_csv(table: DataFrame, path: str) -> None:
 
 
 # ------------------------------------------------------------------ nested
+CANONICAL_PRODUCT = ["product_id", "supplier_name", "catalog_name", "product_name", "product_group", "brand_name", "product_type",
+                     "category_slug", "description", "supplier_price", "gst_percent", "moq", "dispatch_location", "attributes"]
+_IMAGE_URLS = ("blob_url", "source_url")
+
+
 def canonical_documents(products: DataFrame, variants: DataFrame, images: DataFrame) -> DataFrame:
     """Product documents with their variants and images nested.
 
     A product with very many variants, or a variant with very many images, is
     written as several parts (``variant_part``, ``image_part``) of bounded size;
     the parts together hold everything, and their reader puts them together.
-    A product without variants has one part without any.
+    A product without variants has one part without any, and one without a
+    least order has 1. Images may have a ``blob_url`` and a ``source_url``.
     """
+    fields = {n: F.col(n) for n in CANONICAL_PRODUCT if n in products.columns}
+    if "moq" in fields:
+        fields["moq"] = F.coalesce(F.nullif("moq", F.lit(0)), F.lit(1))
+    products = products.select(*PRODUCT, *[v.alias(n) for n, v in fields.items()])
+    images = images.withColumns({n: F.lit(None).cast("string") for n in _IMAGE_URLS if n not in images.columns})
     pages = (images.groupBy(*VARIANT, F.floor(F.col("sort_index") / IMAGES_PER_DOCUMENT).cast("int").alias("image_part"))
-             .agg(F.sort_array(F.collect_list(F.struct("sort_index", "image_id", "original_filename", "is_primary"))).alias("images")))
+             .agg(F.sort_array(F.collect_list(F.struct(
+                 "sort_index", "image_id", "original_filename", "is_primary", *_IMAGE_URLS))).alias("images")))
     body = F.struct(
         "variant_ord", "variant_code", "supplier_sku", "variant_name", "image_sku", "color", "size", "supplier_cost",
         "selling_price", "stock_quantity", "publish", "review_status", "primary_image_url",
@@ -79,6 +91,21 @@ def canonical_documents(products: DataFrame, variants: DataFrame, images: DataFr
             .withColumns({"variant_part": F.coalesce("variant_part", none), "image_part": F.coalesce("image_part", none)}))
 
 
+def canonical_summary(products: DataFrame, variants: DataFrame, validation: DataFrame) -> DataFrame:
+    """Head of a run's documents: their version, the totals, and what the quality rules found.
+
+    ``validation`` is :func:`quality.validation_summary`; its runs are those of the result.
+    """
+    def number(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy("run_id").agg(F.count(F.lit(1)).alias(name))
+
+    found = F.struct(*[x for x in validation.columns if x != "run_id"]).alias("validation_summary")
+    return (validation.select("run_id", found).join(number(products, "total_products"), "run_id", "left")
+            .join(number(variants, "total_variants"), "run_id", "left")
+            .select("run_id", F.lit("1.0").alias("export_version"), F.coalesce("total_products", F.lit(0)).alias("total_products"),
+                    F.coalesce("total_variants", F.lit(0)).alias("total_variants"), "validation_summary"))
+
+
 def _parts(variants: DataFrame, pages: DataFrame, body: Column) -> DataFrame:
     return (variants.join(pages, VARIANT, "left")
             .withColumn("image_part", F.coalesce("image_part", F.lit(0)))

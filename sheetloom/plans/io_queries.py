@@ -100,15 +100,16 @@ def reject_empty_sources(spark, sf):
 
 
 # --------------------------------------------------------------- documents
+_HOST = "https://x.blob.example.com/"
+
+
 def _documents(spark, sf):
     products, variants = products_variants(spark, sf)
-    parent = products.select("run_id", "product_ord", "product_id", "supplier_name", "catalog_name", "product_name",
-                             "product_group", "supplier_price")
     gallery = rq._gallery(rq.manifest(spark, sf))
     placed = gallery.join(variants.select("run_id", "variant_code", "product_ord", "variant_ord"), ["run_id", "variant_code"]).select(
         "run_id", "product_ord", "variant_ord", F.col("sort_index").cast("int").alias("sort_index"), "image_id", "original_filename",
-        (F.col("sort_index") == 0).alias("is_primary"))
-    return exports.canonical_documents(parent, variants, placed)
+        (F.col("sort_index") == 0).alias("is_primary"), F.concat(F.lit(_HOST), "image_id").alias("blob_url"))
+    return exports.canonical_documents(products, variants, placed)
 
 
 cte("x_images", "r_gallery o_variants", """
@@ -132,15 +133,40 @@ def export_canonical_nested(spark, sf):
     return _nested_shape(_documents(spark, sf))
 
 
-@query("read_canonical_nested", sql("""
-select v.run_id, p.product_id, variant_ord, variant_code, v.supplier_cost, n as images
-from o_variants v join x_images using (run_id, product_ord, variant_ord) join o_products p using (run_id, product_ord)""", "o_variants x_images o_products"))
+_P = [x for x in exports.CANONICAL_PRODUCT if x not in ("attributes", "moq")]
+_W = ["variant_ord", "variant_code", "supplier_sku", "variant_name", "image_sku", "color", "size", "supplier_cost", "selling_price", "stock_quantity", "publish",
+      "review_status", "primary_image_url"]
+
+
+@query("read_canonical_nested", sql(f"""
+select v.run_id, {', '.join(f'p.{x}' for x in _P)}, coalesce(nullif(p.moq, 0), 1) as moq, {', '.join(f'v.{x}' for x in _W)}, n as images, coalesce(i.shown, '') as shown,
+  array_to_string(list_filter(gallery_image_urls, lambda u: u <> '' and u is distinct from v.primary_image_url), ' ') as gallery, coalesce(a.attributes, '') as product_attributes
+from o_variants v join x_images using (run_id, product_ord, variant_ord) join o_products p using (run_id, product_ord)
+left join (select run_id, product_id, string_agg(name || '=' || value, '|' order by name) as attributes from e_named group by 1, 2) a
+  on a.run_id = p.run_id and a.product_id = p.product_id
+left join (select run_id, variant_code, string_agg(image_id || ' ' || (sort_index = 0) || ' {_HOST}' || image_id, '|' order by sort_index) as shown
+  from r_gallery group by 1, 2) i on i.run_id = v.run_id and i.variant_code = v.variant_code""", "o_variants x_images o_products e_named r_gallery"))
 def read_canonical_nested(spark, sf):
+    """Every field of the documents, written as JSON and read back."""
     path = new_path(spark, "canonical")
     exports.write_canonical_json(_documents(spark, sf), path)
     variants = files.canonical_variants(files.canonical_documents(spark, path))
-    return variants.select("run_id", "product_id", "variant_ord", "variant_code", "supplier_cost",
-                           F.coalesce(F.size("images"), F.lit(0)).cast("bigint").alias("images"))
+    pairs = F.transform(F.array_sort(F.map_entries("product_attributes")), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    shown = F.transform("images", lambda i: F.concat_ws(" ", i["image_id"], i["is_primary"].cast("string"), i["blob_url"]))
+    return variants.select("run_id", *_P, "moq", *_W, F.coalesce(F.size("images"), F.lit(0)).cast("bigint").alias("images"),
+                           F.array_join(shown, "|").alias("shown"), F.array_join("gallery_image_urls", " ").alias("gallery"),
+                           F.coalesce(F.array_join(pairs, "|"), F.lit("")).alias("product_attributes"))
+
+
+@query("canonical_summary", sql("""
+select run_id, '1.0' as export_version, coalesce(p.n, 0) as total_products, coalesce(v.n, 0) as total_variants, error_count, warning_count, info_count, is_valid
+from d_summary left join (select run_id, count(*) as n from d_products group by 1) p using (run_id)
+left join (select run_id, count(*) as n from d_variants group by 1) v using (run_id)""", "d_summary d_products d_variants"))
+def canonical_summary(spark, sf):
+    products, variants = b.dq_products(spark, sf), b.dq_variants(spark, sf)
+    made = exports.canonical_summary(products, variants, qq.summary(spark, sf))
+    return made.select("run_id", "export_version", "total_products", "total_variants",
+                       *[F.col(f"validation_summary.{x}").alias(x) for x in ("error_count", "warning_count", "info_count", "is_valid")])
 
 
 @query("read_manifest", sql("""

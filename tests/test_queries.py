@@ -13,7 +13,7 @@ SMALL = Path("/root/testdata/sf0.001")
 SAMPLE = ["catalogue_report", "build_products", "build_variants_wholesale", "expand_placeholders", "merge_attributes",
           "dq_all", "validation_summary", "match_all", "match_candidates", "gallery_order", "all_facts", "reconcile_prices", "enrich_variants",
           "dominant_colour", "upload_collisions", "merge_conflicts", "consolidation_summary", "scan_catalogue_cells",
-          "export_import26", "export_canonical_nested", "run_catalogue", "run_store_import", "run_refined", "run_totals", "read_manifest", "apply_review_decisions", "read_canonical_nested", "hero_and_gallery", "export_canonical_flat", "dq_shared_supplier_sku", "validate_batch_manifest", "run_metrics"]
+          "export_import26", "export_canonical_nested", "run_catalogue", "run_store_import", "run_refined", "run_totals", "read_manifest", "apply_review_decisions", "read_canonical_nested", "canonical_summary", "create_manifest", "run_uploads", "hero_and_gallery", "export_canonical_flat", "dq_shared_supplier_sku", "validate_batch_manifest", "run_metrics"]
 
 pytestmark = pytest.mark.skipif(not SMALL.exists(), reason="given tables are absent")
 
