@@ -439,13 +439,14 @@ def summary(findings: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------ documents to images
-def image_facts(images: DataFrame, facts: DataFrame) -> DataFrame:
+def image_facts(images: DataFrame, facts: DataFrame, documents: DataFrame | None = None) -> DataFrame:
     """Facts of the document that belongs to each image.
 
     ``facts(run_id, doc_id, filename, fact_ord, field, value)``.  A document is
-    found by file name, path or image id; of several with one name the last counts.
+    found by file name, path or image id; of several with one name the last counts,
+    even if its text says nothing, where ``documents(run_id, doc_id, filename)`` list them all.
     """
-    documents = facts.groupBy("run_id", F.lower("filename").alias("key")).agg(F.max("doc_id").alias("doc_id"))
+    documents = (facts if documents is None else documents).groupBy("run_id", F.lower("filename").alias("key")).agg(F.max("doc_id").alias("doc_id"))
     names = F.array(F.lower("original_filename"), F.lower("relative_path"), F.lower("image_id"))
     chosen = (images.select(*IMAGE, F.posexplode(names).alias("rank", "key"))
               .join(documents, ["run_id", "key"])

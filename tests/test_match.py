@@ -80,6 +80,15 @@ def test_variants_with_equal_tokens_are_candidates_once(spark):
     assert got["pic red blue.jpg"].candidate_count == 3
 
 
+def test_a_newer_document_without_facts_counts(spark):
+    images = im.inventory(spark.createDataFrame([("r", "src", p, 10) for p in ("a.jpg", "b.jpg")],
+                                                "run_id string, source_identity string, relative_path string, file_size_bytes bigint"))
+    facts = spark.createDataFrame([("r", 1, "a.jpg", 1, "sku", "S1"), ("r", 2, "b.jpg", 1, "sku", "S2")], FACTS)
+    documents = spark.createDataFrame([("r", 1, "a.jpg"), ("r", 3, "A.jpg"), ("r", 2, "b.jpg")], "run_id string, doc_id bigint, filename string")
+    assert {r.value for r in match.image_facts(images, facts).collect()} == {"S1", "S2"}
+    assert {r.value for r in match.image_facts(images, facts, documents).collect()} == {"S2"}
+
+
 def test_sequence_index(spark):
     variants = [(1, i, f"RAJTEX-N-V0{i}", None, f"Design 0{i}", None, None, None) for i in (1, 2, 3)]
     got, *_ = found(spark, ["Rajtex-N-001.png", "Rajtex-N-002.png", "Rajtex-N-009.png"], [(1, "Rajtex-N", "Rajtex Noor")], variants)
