@@ -72,18 +72,24 @@ def append_struct(df: DataFrame, into: str, fields: T.StructType, make: Callable
 
     ``make`` runs once per task and returns the function from a record batch to the lists of the struct's
     fields. Every input column passes through unchanged; one already called ``into`` is replaced.
+    The function may have an attribute ``forget``: a function called at the end of the task. Python workers serve
+    many tasks, of other operators too, and what one of them leaves behind counts against all that follow.
     """
     rest = [f for f in df.schema if f.name.lower() != into.lower()]
     kinds = [to_arrow_type(f.dataType) for f in fields]
 
     def run(batches):
         work = make()
-        for whole in batches:
-            for batch in chunks(whole, text):
-                made = work(batch)
-                struct = pa.StructArray.from_arrays([pa.array(made[f.name], kind) for f, kind in zip(fields, kinds, strict=True)],
-                                                    names=[f.name for f in fields])
-                yield pa.RecordBatch.from_arrays([*batch.columns, struct], names=[*batch.schema.names, into])
+        try:
+            for whole in batches:
+                for batch in chunks(whole, text):
+                    made = work(batch)
+                    struct = pa.StructArray.from_arrays([pa.array(made[f.name], kind) for f, kind in zip(fields, kinds, strict=True)],
+                                                        names=[f.name for f in fields])
+                    yield pa.RecordBatch.from_arrays([*batch.columns, struct], names=[*batch.schema.names, into])
+        finally:
+            getattr(work, "forget", lambda: None)()
+            pa.default_memory_pool().release_unused()
 
     return on_workers(df).select(*[F.col(f"`{f.name}`") for f in rest]).mapInArrow(run, T.StructType([*rest, T.StructField(into, fields)]))
 
@@ -107,5 +113,6 @@ def rows_of(df: DataFrame, schema: str, make: Callable[[], Callable[[pa.RecordBa
                     yield pack(made)
         for made in getattr(work, "rest", lambda: ())():
             yield pack(made)
+        pa.default_memory_pool().release_unused()
 
     return on_workers(df).mapInArrow(run, schema)

@@ -38,7 +38,7 @@ from sheetloom.llm.common import append_struct, as_bytes
 
 MODEL = "piece_bpe_32k.model"
 N_BEST = 4
-KEPT_SEGMENTS = 400_000
+KEPT_SEGMENTS = 200_000  # that a task remembers
 KEPT_SEARCHES = 5_000
 SPACE = "▁"
 PENALTY = 10.0  # of an unknown character below the lowest score
@@ -159,6 +159,11 @@ class Lattice:
             self.known[segment] = found
         return found
 
+    def forget(self) -> None:
+        """Drop the segments remembered; the lattice itself stays for the worker's next task."""
+        self.known.clear()
+        self.searched.clear()
+
     def search(self, segment: str, n_best: int) -> list[tuple[float, list[int]]]:
         """The N best paths of a segment, searched once while it is remembered."""
         known = self.searched.get((segment, n_best))
@@ -267,6 +272,8 @@ def encode(docs: DataFrame, n_best: int = N_BEST, path: str | None = None, text_
                 out["score"].append(score)
                 out["alternatives"].append([{"score": s, "edits": e} for s, e in others])
             return out
+
+        work.forget = model.forget
         return work
 
     return append_struct(docs, into, RESULT, make, text_col)
