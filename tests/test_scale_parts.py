@@ -6,6 +6,8 @@ from pyspark.sql import Window, functions as F
 
 from sheetloom.operators.ranking import rank_by_number, rank_by_text
 from sheetloom.operators.substring import contained_tokens
+from sheetloom.plans import bindings as b
+from sheetloom.plans import facts_queries
 
 
 def _ranked(df, columns):
@@ -35,3 +37,13 @@ def test_contained_tokens_equals_contains(spark):
                            spark.createDataFrame(tokens, "run string, token string"), ["run"], ["id"])
     want = {(r, i, t) for r, i, x in texts for q, t in tokens if q == r and t and t in x}
     assert {(r.run, r.id, r.token) for r in got.collect()} == want and want
+
+
+def test_slips_of_one_file_are_read_in_many_tasks(spark):
+    small = "/root/testdata/sf0.001"
+    for made in (facts_queries.slips(spark, small), facts_queries.texts(spark, small).where("run_id not like 'doc-%'")):
+        per_task = [r["count"] for r in made.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(per_task) >= spark.sparkContext.defaultParallelism and max(per_task) < sum(per_task) / 3
+    plain = spark.sql(b.SLIPS, orders=spark.read.parquet(f"{small}/orders.parquet"))
+    slips = facts_queries.slips(spark, small)
+    assert slips.columns == plain.columns and not plain.exceptAll(slips).count() and not slips.exceptAll(plain).count()
