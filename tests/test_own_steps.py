@@ -16,6 +16,7 @@ SMALL = "/root/testdata/sf0.001"
 PLANS = [importlib.import_module(f"sheetloom.plans.{m}_queries") for m in ("normalise", "io", "match", "review", "run")]
 NAMES = [
     "hosted_status", "match_product_scope", "product_number",
+    "export_canonical_flat",
 ]
 
 
