@@ -17,6 +17,7 @@ PLANS = [importlib.import_module(f"sheetloom.plans.{m}_queries") for m in ("norm
 NAMES = [
     "hosted_status", "match_product_scope", "product_number",
     "export_canonical_flat",
+    "export_canonical_nested",
 ]
 
 
