@@ -20,6 +20,7 @@ NAMES = [
     "export_canonical_nested",
     "export_import26",
     "export_store_import",
+    "field_provenance",
 ]
 
 
@@ -79,4 +80,4 @@ def test_no_step_goes_through_the_driver_by_its_size_on_disk(fresh, made, monkey
 
 def test_the_rows_that_merge_attributes_begins_with_do_not_either(fresh, monkeypatch):
     found = spied(monkeypatch)
-    found.extend(planned(QUERIES["merge_attr
+    found.extend(pla
