@@ -21,6 +21,7 @@ NAMES = [
     "export_import26",
     "export_store_import",
     "field_provenance",
+    "hero_and_gallery",
 ]
 
 
@@ -79,5 +80,4 @@ def test_no_step_goes_through_the_driver_by_its_size_on_disk(fresh, made, monkey
 
 
 def test_the_rows_that_merge_attributes_begins_with_do_not_either(fresh, monkeypatch):
-    found = spied(monkeypatch)
-    found.extend(pla
+    found = spied(monkeypat
