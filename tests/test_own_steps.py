@@ -22,6 +22,7 @@ NAMES = [
     "export_store_import",
     "field_provenance",
     "hero_and_gallery",
+    "match_scoped_tokens",
 ]
 
 
@@ -80,4 +81,3 @@ def test_no_step_goes_through_the_driver_by_its_size_on_disk(fresh, made, monkey
 
 
 def test_the_rows_that_merge_attributes_begins_with_do_not_either(fresh, monkeypatch):
-    found = spied(monkeypat
