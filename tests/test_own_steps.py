@@ -23,6 +23,7 @@ NAMES = [
     "field_provenance",
     "hero_and_gallery",
     "match_scoped_tokens",
+    "match_sequence_index",
 ]
 
 
@@ -80,4 +81,4 @@ def test_no_step_goes_through_the_driver_by_its_size_on_disk(fresh, made, monkey
     assert not found
 
 
-def test_the_rows_that_merge_attributes_begins_with_do_not_either(fresh, monkeypatch):
+def test_the_rows_that_merge_attributes_begins_with_do_not_
