@@ -24,6 +24,7 @@ NAMES = [
     "hero_and_gallery",
     "match_scoped_tokens",
     "match_sequence_index",
+    "match_unscoped_facts",
 ]
 
 
@@ -81,4 +82,4 @@ def test_no_step_goes_through_the_driver_by_its_size_on_disk(fresh, made, monkey
     assert not found
 
 
-def test_the_rows_that_merge_attributes_begins_with_do_not_
+def test_the_rows_that_merge_at
