@@ -82,4 +82,7 @@ def test_no_step_goes_through_the_driver_by_its_size_on_disk(fresh, made, monkey
     assert not found
 
 
-def test_the_rows_that_merge_at
+def test_the_rows_that_merge_attributes_begins_with_do_not_either(fresh, monkeypatch):
+    found = spied(monkeypatch)
+    found.extend(planned(QUERIES["merge_attributes"](fresh, SMALL)))
+    assert not found
