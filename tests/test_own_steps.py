@@ -25,6 +25,7 @@ NAMES = [
     "match_scoped_tokens",
     "match_sequence_index",
     "match_unscoped_facts",
+    "positional_image_fallback",
 ]
 
 
