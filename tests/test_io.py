@@ -175,6 +175,23 @@ def test_flat_table_keeps_a_long_gallery(spark):
     assert row.gallery_image_urls == urls and row.image4_url == "u4"
 
 
+def test_flat_table_has_a_slot_for_every_image_and_all_attributes(spark):
+    products = spark.createDataFrame([("r", 1, "s", "c", None, "n", None, None, None, None, 1.0, 5.0, {"work": "Zari", "image2_url": "a", "image9_url": "b"})],
+                                     "run_id string, product_ord bigint, supplier_name string, catalog_name string, product_group string, product_name string, "
+                                     "product_type string, category_slug string, brand_name string, description string, supplier_price double, gst_percent double, "
+                                     "attributes map<string,string>")
+    urls = [f"u{i}" for i in range(1, 8)]
+    variants = spark.createDataFrame([("r", 1, i, "V", "v", None, None, None, None, 1.0, None, 1, False, "x", "u0", g, a) for i, (g, a) in enumerate([(urls, None), (["u1"], {"work": "x", "fit": "y"})])],
+                                     "run_id string, product_ord bigint, variant_ord int, variant_code string, variant_name string, supplier_sku string, image_sku string, "
+                                     "color string, size string, supplier_cost double, selling_price double, stock_quantity int, publish boolean, review_status string, "
+                                     "primary_image_url string, gallery_image_urls array<string>, attributes map<string,string>")
+    long, short = exports.canonical_flat(products, variants).orderBy("variant_ord").collect()
+    assert [long[f"image{i}_url"] for i in range(1, 8)] == urls and "image8_url" not in long.asDict()
+    assert long.attributes == {"work": "Zari", "image9_url": "b"}
+    assert short.image1_url == "u1" and short.image7_url is None
+    assert short.attributes == {"work": "Zari", "image2_url": "a", "image9_url": "b", "fit": "y"}
+
+
 def test_unnamed_columns_long_rows_and_lines_of_tabs(spark, tmp_path):
     (tmp_path / "a.csv").write_text('Name,Note,,\nx,"a,""b""",7,\n\t\t\ny,b,,8\nz,1,2,3,4\n  \nlast,,,\n')
     (tmp_path / "b.tsv").write_text("A\tB\n1\t2\n\t\n3\t4\n")
