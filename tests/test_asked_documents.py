@@ -1,6 +1,8 @@
 """Only documents that an approved image is looked up in are read for facts, and they are the same as before."""
 
-from sheetloom.operators import enrich, facts
+from pyspark.sql import functions as F
+
+from sheetloom.operators import enrich, facts, review
 from sheetloom.plans import review_queries as rq
 from sheetloom.plans.facts_queries import slips
 
@@ -10,9 +12,6 @@ MANIFEST = ("run_id string, image_id string, manifest_ord bigint, original_filen
 
 
 def test_documents_of_approved_images_by_name_or_path(spark):
-    from pyspark.sql import functions as F
-    from sheetloom.operators import review
-
     rows = [("r", "i1", 1, "A.jpg", "all/A.jpg", "V1", "APPROVED", ""), ("r", "i2", 2, "b.jpg", "all/C.jpg", "V2", "APPROVED", ""),
             ("r", "i3", 3, "d.jpg", "all/d.jpg", "V3", "PENDING", "")]
     manifest = spark.createDataFrame(rows, MANIFEST).withColumn("assignment_hash", review.assignment_hash(F.col("image_id"), F.col("proposed_variant_code")))
@@ -28,5 +27,5 @@ def test_the_same_candidates_as_from_all_documents(spark):
     asked = enrich.asked_documents(documents, entries)
     assert 0 < asked.count() < documents.count()
     both = [sorted(map(str, enrich.documents_with_candidates(d, facts.all_facts(d)).join(
-        asked.select("run_id", "doc_id"), ["run_id", "doc_id"], "left_semi").collect())) for d in (documents, asked)]
+        asked.select("run_id", F.lower("filename").alias("doc_key")), ["run_id", "doc_key"], "left_semi").collect())) for d in (documents, asked)]
     assert both[0] == both[1]
